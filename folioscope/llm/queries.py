@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, token_files
+from . import decontamination, exact_dedup, license_scan, near_dedup, packing, token_files
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    listed = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", listed, "contaminated")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), 0, 2048, with_ids=False)
 
@@ -31,11 +38,22 @@ def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_shards(shards)
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(documents(spark, sf_dir))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
+        "op4_decontamination": op4_decontamination,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_token_shards": op7_token_shards,
+        "op8_near_dedup": op8_near_dedup,
+        "op10_license_scan": op10_license_scan,
     }
 
 
@@ -49,5 +67,28 @@ JOIN (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM di
 """
 
 
+OP4_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+sizes AS (SELECT DISTINCT least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i + 1 : i + n], ' ') AS win
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(0, len(w) - least(len(w), 10) + 1)) AS i FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i + 1 : i + n], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS i FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT dw.doc_id, dw.n, dw.i, bw.item_id FROM dw JOIN bw USING (n, win)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op4_decontamination": OP4_SQL}
