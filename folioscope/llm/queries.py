@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, license_scan, near_dedup, packing, token_files
+from . import decontamination, exact_dedup, language_id, language_model, license_scan, near_dedup, packing, token_files
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     listed = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
@@ -42,6 +46,10 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(documents(spark, sf_dir))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(documents(spark, sf_dir))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_report(documents(spark, sf_dir))
 
@@ -49,10 +57,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_language_id": op3_language_id,
         "op4_decontamination": op4_decontamination,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_token_shards": op7_token_shards,
         "op8_near_dedup": op8_near_dedup,
+        "op9_lm_scoring": op9_lm_scoring,
         "op10_license_scan": op10_license_scan,
     }
 
