@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language_id, language_model, license_scan, near_dedup, packing, token_files
+from . import decontamination, exact_dedup, language_id, language_model, license_scan, near_dedup, packing, quality, secret_scan, token_files
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,21 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    place = lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))
+    spans = lambda found: F.array_join(F.transform(found, place), ",")
+    base = F.filter("findings", lambda f: f["kind"] != "model")
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in ("assign", "access", "hex")),
+        F.sha2(spans(base), 256).alias("base_sha256"),
+        spans("findings").alias("spans"),
+        F.coalesce(F.array_max(F.transform("findings", lambda f: f["score"])), F.lit(0.0)).alias("top_score"),
+    )
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -33,6 +48,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", listed, "contaminated")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), 0, 2048, with_ids=False)
 
@@ -54,16 +73,25 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_report(documents(spark, sf_dir))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_secret_scan": op1_secret_scan,
         "op2_exact_dedup": op2_exact_dedup,
         "op3_language_id": op3_language_id,
         "op4_decontamination": op4_decontamination,
+        "op5_quality_classifier": op5_quality_classifier,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_token_shards": op7_token_shards,
         "op8_near_dedup": op8_near_dedup,
         "op9_lm_scoring": op9_lm_scoring,
         "op10_license_scan": op10_license_scan,
+        "pipeline": pipeline,
     }
 
 
