@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .base import QUERIES, SQL, Query
 
-from pyspark.sql import DataFrame, SparkSession
 
-Query = Callable[[SparkSession, str], DataFrame]
+def _load() -> None:
+    from . import capture, evidence, layout, paged, reconciliation, scalars, stream, tables, validation  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    _load()
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    _load()
+    return dict(SQL)
