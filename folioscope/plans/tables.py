@@ -13,7 +13,7 @@ from .base import query
 
 #: One table for each order status: a header, rows of priorities, subtotals of each half and a grand total.
 CELLS_SQL = """
-o AS (SELECT o_orderstatus AS s, o_orderpriority AS p, count(*) AS n, CAST(sum(CAST(o_totalprice AS BIGINT)) AS BIGINT) AS v FROM orders GROUP BY ALL),
+o AS (SELECT o_orderstatus AS s, o_orderpriority AS p, count(*) AS n, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS v FROM orders GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY p) AS k, count(*) OVER (PARTITION BY s) AS m FROM o),
 g AS (
   SELECT s, k AS row, p AS label, n, v FROM r
@@ -30,7 +30,7 @@ cells AS (
 
 
 def status_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grouped = table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("s"), F.col("o_orderpriority").alias("p")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("decimal(20,0)").cast("long")).alias("v"))
+    grouped = table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("s"), F.col("o_orderpriority").alias("p")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.floor("o_totalprice")).alias("v"))
     rank = F.array_position(F.array(*(F.lit(p) for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"))), F.col("p"))
     rows = grouped.select("s", rank.cast("long").alias("row"), F.col("p").alias("label"), "n", "v")
     part = lambda low, high, row, label, extra=0: rows.where(F.col("row").between(low, high)).groupBy("s").agg(F.sum("n").alias("n"), (F.sum("v") + extra).alias("v")).select("s", F.lit(row).cast("long").alias("row"), F.lit(label).alias("label"), "n", "v")
@@ -44,7 +44,7 @@ def status_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("column_value_kind", f"""WITH {CELLS_SQL}
 SELECT table_id, col, CASE WHEN col = 0 THEN 'text' WHEN bool_or(contains(text, '%')) THEN 'percent' WHEN bool_or(regexp_matches(text, '[$€£]')) THEN 'currency'
-  WHEN bool_or(row > 0 AND regexp_matches(text, '(?i)\\bx\\b')) THEN 'multiple' ELSE 'number' END AS value_kind FROM cells GROUP BY ALL""")
+  WHEN bool_or(row > 0 AND regexp_matches(text, '(?i)\\bx\\b')) THEN 'multiple' ELSE 'number' END AS value_kind FROM cells GROUP BY table_id, col""")
 def column_value_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TB.column_kinds(status_cells(spark, sf_dir))
 
