@@ -1 +1,147 @@
-"""Queries to come."""
+"""Queries over page-wise operators and chart evidence. Where SQL has no greedy choice, only rows are checked here and
+the tests compare with brute force."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioscope.operators import charts as C
+from folioscope.operators import paged as P
+from folioscope.sources.evidence import CHART_SQL, chart_lines, evidence_lines, page_regions, table
+
+from .base import query
+
+
+@query("proximity_bindings")
+def proximity_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.per_page(chart_lines(spark, sf_dir), ["page"], P.proximity_bindings, P.BINDING)
+
+
+NEAREST_SQL = f"""
+WITH {CHART_SQL},
+met AS (
+  SELECT v.page, v.seq, l.seq AS other, row_number() OVER (PARTITION BY v.page, v.seq ORDER BY pow(v.x + v.w / 2 - l.x - l.w / 2, 2) + pow(v.y + v.h / 2 - l.y - l.h / 2, 2), l.seq) AS rank,
+         row_number() OVER (PARTITION BY l.page, l.seq ORDER BY pow(v.x + v.w / 2 - l.x - l.w / 2, 2) + pow(v.y + v.h / 2 - l.y - l.h / 2, 2), v.seq) AS back
+  FROM chart v JOIN chart l ON v.page = l.page AND v.role = 'value' AND l.role = 'label')
+"""
+
+
+@query("nearest_label_topk", NEAREST_SQL + "SELECT page, seq, rank, other FROM met WHERE rank <= 2")
+def nearest_label_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = chart_lines(spark, sf_dir)
+    return C.nearest(lines.where("role = 'value'"), lines.where("role = 'label'"), ["page"], 2)
+
+
+@query("mutual_nearest_pairs", NEAREST_SQL + "SELECT page, seq, other FROM met WHERE rank = 1 AND back = 1")
+def mutual_nearest_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = chart_lines(spark, sf_dir)
+    return C.mutual_nearest(lines.where("role = 'value'"), lines.where("role = 'label'"), ["page"])
+
+
+PERCENT_SQL = f"""
+WITH {CHART_SQL},
+t AS (SELECT page, sum(n) AS t FROM counted GROUP BY ALL),
+obs AS (SELECT page, slot, CASE WHEN page % 7 = 3 AND slot = 0 THEN '$5' ELSE (n * 100 // t + CASE WHEN page % 6 = 5 THEN 3 ELSE 0 END) || '%' END AS value FROM counted JOIN t USING (page))
+"""
+
+
+def percent_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").cast("long").alias("page"), F.col("c_mktsegment").alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    total = counted.groupBy("page").agg(F.sum("n").alias("t"))
+    share = F.floor(F.col("n") * 100 / F.col("t")) + F.when(F.col("page") % 6 == 5, 3).otherwise(0)
+    odd = (F.col("page") % 7 == 3) & (F.col("s") == "AUTOMOBILE")
+    return counted.join(total, "page").select("page", "s", F.when(odd, "$5").otherwise(F.concat(share, F.lit("%"))).alias("value"))
+
+
+@query("percentage_totals", PERCENT_SQL + """,
+v AS (SELECT page, TRY_CAST(regexp_extract(value, '\\d+') AS DOUBLE) AS v, contains(value, '%') AS p FROM obs)
+SELECT page, count(*) AS observations, round(sum(v) FILTER (p), 5) AS total, count(*) FILTER (p) = count(*) AND sum(v) FILTER (p) BETWEEN 98 AND 102 AS reconciles FROM v GROUP BY page""")
+def percentage_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.percentage_totals(percent_observations(spark, sf_dir), ["page"])
+
+
+@query("chart_completeness", PERCENT_SQL + """
+SELECT page, count(*) AS expected, count(*) FILTER (value LIKE '%!%%' ESCAPE '!' AND (page + slot) % 4 <> 1) AS emitted, round(count(*) FILTER (value LIKE '%!%%' ESCAPE '!' AND (page + slot) % 4 <> 1) / count(*), 5) AS completeness FROM obs GROUP BY page""")
+def chart_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = percent_observations(spark, sf_dir)
+    slots = F.create_map(*(F.lit(v) for k, s in enumerate(("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")) for v in (s, k)))
+    emitted = found.where(F.col("value").contains("%") & ((F.col("page") + F.element_at(slots, F.col("s"))) % 4 != 1))
+    return C.emitted_share(found, emitted, ["page"])
+
+
+AXIS_SQL = """
+WITH ticks AS (
+  SELECT n_nationkey AS page, k, n_nationkey || '-ocr-t' || k AS evidence_id, (k * 10) || '%' AS text, 20 AS x, 800 - k * 60 + CASE WHEN n_nationkey % 4 = 1 AND k = 2 THEN 90 ELSE 0 END + n_nationkey % 3 * k AS y, 30 AS w, 18 AS h
+  FROM nation, range(6) t(k) WHERE n_nationkey % 5 <> 4 OR k < 2),
+marks AS (SELECT n_nationkey AS page, m AS mark, 120 + m * 50 AS x, 300 + (n_nationkey * 17 + m * 71) % 400 AS y, 10 AS w, 10 AS h FROM nation, range(8) t(m)),
+c AS (SELECT page, k * 10.0 AS v, min(y + h / 2) AS c FROM ticks GROUP BY ALL),
+f AS (SELECT page, count(*) AS ticks, regr_slope(v, c) AS slope, regr_intercept(v, c) AS intercept, max(c) - min(c) AS span FROM c GROUP BY page),
+axes AS (SELECT f.page, any_value(ticks) AS ticks, any_value(slope) AS slope, any_value(intercept) AS intercept, max(abs(slope * c + intercept - v)) AS residual, any_value(span) AS span FROM f JOIN c USING (page) GROUP BY f.page),
+axis AS (SELECT *, ticks >= 3 AND slope < 0 AND span >= 100 AND residual <= 3 AS accepted FROM axes)
+"""
+
+
+def _axis(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    page = F.col("n_nationkey").cast("long")
+    nation = table(spark, sf_dir, "nation").select(page.alias("page"))
+    page, k, m = F.col("page"), F.col("k"), F.col("mark")
+    ticks = nation.select("page", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("k")).where((page % 5 != 4) | (k < 2))
+    y = 800 - k * 60 + F.when((page % 4 == 1) & (k == 2), 90).otherwise(0) + page % 3 * k
+    ticks = ticks.select("page", F.concat(page, F.lit("-ocr-t"), k).alias("evidence_id"), F.concat(k * 10, F.lit("%")).alias("text"), F.lit(20).alias("x"), y.alias("y"), F.lit(30).alias("w"), F.lit(18).alias("h"))
+    marks = nation.select("page", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("mark"))
+    marks = marks.select("page", m.cast("long").alias("mark"), (120 + m * 50).alias("x"), (300 + (page * 17 + m * 71) % 400).alias("y"), F.lit(10).alias("w"), F.lit(10).alias("h"))
+    return ticks, marks
+
+
+@query("axis_calibration", AXIS_SQL + "SELECT CAST(page AS BIGINT) AS page, ticks, round(slope, 6) AS slope, round(residual, 6) AS residual, accepted FROM axis")
+def axis_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ticks, marks = _axis(spark, sf_dir)
+    return C.axis_calibration(ticks, marks, ["page"]).select("page", "ticks", F.round("slope", 6).alias("slope"), F.round("residual", 6).alias("residual"), "accepted")
+
+
+@query("scatter_point_ranges", AXIS_SQL + """
+SELECT CAST(page AS BIGINT) AS page, mark, CASE WHEN accepted THEN round(slope * (y + h / 2) + intercept - greatest(1.0, abs(slope) * (h / 2 + 5) + residual), 1) END AS low,
+       CASE WHEN accepted THEN round(slope * (y + h / 2) + intercept + greatest(1.0, abs(slope) * (h / 2 + 5) + residual), 1) END AS high FROM marks JOIN axis USING (page)""")
+def scatter_point_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ticks, marks = _axis(spark, sf_dir)
+    return C.point_ranges(marks, C.axis_calibration(ticks, marks, ["page"]), ["page"]).select("page", "mark", "low", "high")
+
+
+@query("axis_neighbours", """
+WITH m AS (SELECT n_nationkey AS page, k AS mark, 120 + k * 50 AS cx FROM nation, range(8) t(k)), t AS (SELECT n_nationkey AS page, k, 100 + k * 130 + n_nationkey AS cx, 'x' || k AS label FROM nation, range(4) t(k)),
+b AS (SELECT m.page, m.mark, arg_max(label, t.cx) FILTER (t.cx <= m.cx) AS l, arg_min(label, t.cx) FILTER (t.cx >= m.cx) AS r FROM m JOIN t ON m.page = t.page GROUP BY m.page, m.mark)
+SELECT CAST(page AS BIGINT) AS page, mark, CASE WHEN r IS NOT NULL THEN l END AS left_label, CASE WHEN l IS NOT NULL THEN r END AS right_label FROM b""")
+def axis_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("page"))
+    marks = nation.select("page", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))).alias("mark"))
+    ticks = nation.select("page", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k"))
+    marks = marks.select("page", "mark", (115 + F.col("mark") * 50).alias("x"), F.lit(10).alias("w"))
+    ticks = ticks.select("page", F.concat(F.lit("x"), "k").alias("text"), (90 + F.col("k") * 130 + F.col("page")).alias("x"), F.lit(20).alias("w"))
+    return C.neighbours(marks, ticks, ["page"])
+
+
+@query("merged_visuals")
+def merged_visuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    regions = page_regions(evidence_lines(spark, sf_dir)).where("kind IN ('visual', 'unknown')").withColumnRenamed("region", "seq")
+    return P.per_page(regions, ["doc_id", "page"], P.merge_visuals, P.VISUAL)
+
+
+@query("line_paragraphs")
+def line_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.per_page(evidence_lines(spark, sf_dir), ["doc_id", "page"], P.paragraphs, P.PARAGRAPH)
+
+
+@query("bar_bindings")
+def bar_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders a year as bars: a mark, a value in thousands and a year below for each."""
+    years = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("page"), F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    k = F.col("year") - 1990
+    height = 100 + F.col("n") % 300
+    base = years.select("page", "year", "n", (60 + k * 100).alias("at"), height.alias("height"))
+    row = lambda role, text, x, y, w, h, n: base.select("page", F.lit(role).alias("role"), (F.col("year") * 4 + n).alias("seq"), F.concat("year", F.lit(f"-ocr-{n}")).alias("evidence_id"), text.alias("text"), x.alias("x"), y.alias("y"), F.lit(w).alias("w"), h.alias("h"))
+    at, tall = F.col("at"), F.col("height")
+    mark = row("mark", F.lit(""), at, 700 - tall, 40, tall, 0)
+    value = row("line", F.concat(F.lit("$"), "n", F.lit("k")), at - 5, 680 - tall, 50, F.lit(18), 1)
+    year = row("line", F.col("year").cast("string"), at, F.lit(710), 40, F.lit(18), 2)
+    return P.per_page(mark.unionByName(value).unionByName(year), ["page"], P.bar_bindings, P.BAR)
