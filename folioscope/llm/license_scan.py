@@ -22,7 +22,7 @@ GRAM = 2
 NEAR = 2
 #: Share of a notice's word pairs that must vote, and of its words that must be in the span.
 VOTES = 0.6
-WORDS = 0.9
+WORDS = 0.87
 
 # Phrases of the contract.
 PHRASES = [
