@@ -137,6 +137,23 @@ def companion_percentages(amounts: DataFrame, lines: DataFrame, keys: Sequence[s
     return one.where("_n = 1").drop("_n")
 
 
+def attached_amounts(decided: DataFrame, claims: DataFrame, lines: DataFrame, observations: DataFrame, owned: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
+    """keys, item, obs, decision for claims whose printed and owned amount stands over the one owned percentage of an
+    observation: the amount becomes that observation's companion. claims: with block of pies only; decided: the result
+    of reconcile_items."""
+    at = [*keys, item]
+    open_ = decided.where("pair_printed AND decision = 'printed_vision_value_missing_or_ambiguous_in_source_block'").join(claims.select(*at, "block"), at)
+    for side in ("value_evidence_id", "label_evidence_id"):
+        open_ = open_.join(owned.select("block", F.col("evidence_id").alias(side)), ["block", side], "left_semi")
+    place = lines.select(*keys, F.col("evidence_id").alias("value_evidence_id"), "text", "x", "y", "w", "h")
+    stacked = companion_percentages(open_.join(place, [*keys, "value_evidence_id"]), lines, keys, item)
+    mine = stacked.join(open_.select(*at, "block"), at).join(owned.select("block", "evidence_id"), ["block", "evidence_id"], "left_semi")
+    seen = observations.select("block", "obs", F.col("value_evidence_id").alias("evidence_id"), T.evidence_key(F.col("raw_value")).alias("_key"))
+    met = mine.withColumn("_key", T.evidence_key(F.col("text"))).join(seen, ["block", "evidence_id", "_key"])
+    one = met.groupBy(*at).agg(F.count(F.lit(1)).alias("_n"), F.min("obs").alias("obs")).where("_n = 1").drop("_n")
+    return one.withColumn("decision", F.lit("printed_amount_attached_to_percentage"))
+
+
 def reconcile_cells(proposed: DataFrame, cells: DataFrame, native: DataFrame) -> DataFrame:
     """table_id, item, decision for proposed cells (table_id, item, row_label, column_label, value).
 

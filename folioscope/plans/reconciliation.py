@@ -64,13 +64,13 @@ def region_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Blocks: one chart a page, but none on pages 4, 9, ... Its observations name the segment after next where
-#: (page * slot) % 4 = 1. It owns all lines but the values of slot 3.
+#: (page * slot) % 4 = 1 and lack the slots where (page + 3 * slot) % 8 = 2. It owns all lines but the values of slot 3.
 ITEMS_SQL = f"""
 WITH {CHART_SQL}, {CLAIMS_SQL},
 obs AS (
   SELECT v.page AS block, v.slot AS obs, v.evidence_id AS value_evidence_id, v.text AS raw_value,
          CASE WHEN (v.page * v.slot) % 4 = 1 THEN (['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'])[(v.slot + 2) % 5 + 1] ELSE l.text END AS category
-  FROM chart v JOIN chart l ON v.page = l.page AND v.slot = l.slot AND v.role = 'value' AND l.role = 'label' WHERE v.page % 5 <> 4),
+  FROM chart v JOIN chart l ON v.page = l.page AND v.slot = l.slot AND v.role = 'value' AND l.role = 'label' WHERE v.page % 5 <> 4 AND (v.page + 3 * v.slot) % 8 <> 2),
 keyed AS (SELECT *, regexp_replace(lower(text), '[^a-z0-9%$€£.]+', '', 'g') AS key FROM chart),
 vm AS (SELECT c.page, c.slot, k.evidence_id, k.seq, k.x, k.y, k.w, k.h FROM claims c JOIN keyed k ON c.page = k.page AND regexp_replace(lower(c.value), '[^a-z0-9%$€£.]+', '', 'g') = k.key),
 lm AS (SELECT c.page, c.slot, k.evidence_id, k.seq, k.x, k.y, k.w, k.h FROM claims c JOIN keyed k ON c.page = k.page AND regexp_replace(lower(c.label), '[^a-z0-9%$€£.]+', '', 'g') = k.key),
@@ -102,7 +102,7 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
     block = F.when(F.col("page") % 5 != 4, F.col("page"))
     claims = chart_claims(spark, sf_dir).withColumn("block", block)
     label = lines.where("role = 'label'").select("page", "slot", F.col("text").alias("label"))
-    values = lines.where("role = 'value' AND page % 5 <> 4").join(label, ["page", "slot"])
+    values = lines.where("role = 'value' AND page % 5 <> 4 AND (page + 3 * slot) % 8 <> 2").join(label, ["page", "slot"])
     wrong = F.element_at(F.array(*(F.lit(s) for s in SEGMENTS)), ((F.col("slot") + 2) % 5 + 1).cast("int"))
     observations = values.select(F.col("page").alias("block"), F.col("slot").alias("obs"), F.when(F.col("page") * F.col("slot") % 4 == 1, wrong).otherwise(F.col("label")).alias("category"), F.col("text").alias("raw_value"), F.col("evidence_id").alias("value_evidence_id"))
     owned = lines.where(~((F.col("role") == "value") & (F.col("slot") == 3))).select(F.col("page").alias("block"), "evidence_id")

@@ -12,8 +12,6 @@ from folioscope.sources.evidence import EVIDENCE_SQL, PRINTED_SQL, evidence_line
 
 from .base import query
 
-text = F.col("text")
-
 
 @query("clean_text_paragraphs", r"""
 WITH a AS (SELECT doc_id, replace(text, chr(173), '') AS t FROM documents),
@@ -23,7 +21,7 @@ d AS (SELECT doc_id, replace(replace(regexp_replace(t, '\n{2,}', chr(1), 'g'), c
 e AS (SELECT doc_id, regexp_replace(regexp_replace(t, '^\s+', ''), '\s+$', '') AS t FROM d)
 SELECT doc_id, sha256(t) AS sha, CAST(length(t) AS BIGINT) AS chars, CAST(len(string_split(t, chr(10) || chr(10))) AS BIGINT) AS paragraphs FROM e""")
 def clean_text_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = table(spark, sf_dir, "documents").select("doc_id", T.clean_text(text).alias("t"))
+    cleaned = table(spark, sf_dir, "documents").select("doc_id", T.clean_text(F.col("text")).alias("t"))
     return cleaned.select("doc_id", F.sha2("t", 256).alias("sha"), F.length("t").cast("long").alias("chars"), F.size(F.split("t", "\n\n")).cast("long").alias("paragraphs"))
 
 
@@ -42,21 +40,21 @@ numeric_values AS (
 
 @query("numeric_value_parse", f"WITH {PRINTED_SQL}, {NUMERIC} SELECT * FROM numeric_values")
 def numeric_value_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return printed_texts(spark, sf_dir).select("line_id", T.numeric_value(text).alias("n")).select("line_id", "n.value", "n.unit", "n.normalized")
+    return printed_texts(spark, sf_dir).select("line_id", T.numeric_value(F.col("text")).alias("n")).select("line_id", "n.value", "n.unit", "n.normalized")
 
 
 @query("signed_number_parse", f"""WITH {PRINTED_SQL},
 p AS (SELECT line_id, trim(text) AS t, TRY_CAST(replace(nullif(regexp_extract(text, '[-+]?\\d[\\d,]*(\\.\\d+)?'), ''), ',', '') AS DOUBLE) AS v FROM printed)
 SELECT line_id, CASE WHEN t IN ('', '-', '–', '—') THEN NULL WHEN t LIKE '(%' AND t LIKE '%)' THEN -abs(v) ELSE v END AS number FROM p""")
 def signed_number_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return printed_texts(spark, sf_dir).select("line_id", T.signed_number(text).alias("number"))
+    return printed_texts(spark, sf_dir).select("line_id", T.signed_number(F.col("text")).alias("number"))
 
 
 @query("scalar_class_flags", rf"""WITH {PRINTED_SQL}
 SELECT line_id, regexp_matches(text, '(?i){T.NUMBER}') AS has_number,
        regexp_full_match(text, '(?i){T.TABLE_SCALAR}') AS table_scalar, regexp_full_match(text, '(?i){T.CARD_VALUE}') AS card_value FROM printed""")
 def scalar_class_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return printed_texts(spark, sf_dir).select("line_id", T.has_number(text).alias("has_number"), T.full(text, T.TABLE_SCALAR).alias("table_scalar"), T.full(text, T.CARD_VALUE).alias("card_value"))
+    return printed_texts(spark, sf_dir).select("line_id", T.has_number(F.col("text")).alias("has_number"), T.full(F.col("text"), T.TABLE_SCALAR).alias("table_scalar"), T.full(F.col("text"), T.CARD_VALUE).alias("card_value"))
 
 
 @query("token_agreement", rf"""WITH {EVIDENCE_SQL},
@@ -65,8 +63,8 @@ p AS (SELECT l.doc_id, l.seq, l.a, r.a AS b FROM w l JOIN w r ON l.doc_id = r.do
 SELECT doc_id, seq, CASE WHEN len(a) > 0 AND len(b) > 0 THEN round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 5) END AS agreement FROM p""")
 def token_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = evidence_lines(spark, sf_dir).where("seq < 40").select("doc_id", "seq", "text")
-    after = lines.select("doc_id", (F.col("seq") - 1).alias("seq"), text.alias("after"))
-    return lines.join(after, ["doc_id", "seq"]).select("doc_id", "seq", T.token_agreement(text, F.col("after")).alias("agreement"))
+    after = lines.select("doc_id", (F.col("seq") - 1).alias("seq"), F.col("text").alias("after"))
+    return lines.join(after, ["doc_id", "seq"]).select("doc_id", "seq", T.token_agreement(F.col("text"), F.col("after")).alias("agreement"))
 
 
 @query("key_forms", rf"""WITH {PRINTED_SQL}
@@ -74,7 +72,7 @@ SELECT line_id, regexp_replace(lower(text), '[^a-z0-9%$€£.]+', '', 'g') AS ev
        regexp_replace(lower(text), '[^\pL\pN_]+', '', 'g') AS word_key, regexp_replace(lower(text), '\s+', '', 'g') AS cell_key,
        coalesce(nullif(regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'document') AS slug FROM printed""")
 def key_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return printed_texts(spark, sf_dir).select("line_id", T.evidence_key(text).alias("evidence_key"), T.alnum_key(text).alias("alnum_key"), T.word_key(text).alias("word_key"), T.cell_key(text).alias("cell_key"), T.slug(text).alias("slug"))
+    return printed_texts(spark, sf_dir).select("line_id", T.evidence_key(F.col("text")).alias("evidence_key"), T.alnum_key(F.col("text")).alias("alnum_key"), T.word_key(F.col("text")).alias("word_key"), T.cell_key(F.col("text")).alias("cell_key"), T.slug(F.col("text")).alias("slug"))
 
 
 ROLE_SQL = rf"""
@@ -96,14 +94,14 @@ SELECT doc_id, seq, block_type, CASE WHEN block_type = 'heading' AND seq % 7 = 0
   WHEN block_type = 'contact' THEN 'contact_information' ELSE 'body_text' END AS semantic_role FROM typed""")
 def text_block_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = evidence_lines(spark, sf_dir)
-    typed = lines.withColumn("block_type", T.text_block_type(text, F.col("y"), 6 + F.col("seq") % 12))
-    return typed.select("doc_id", "seq", "block_type", T.semantic_role(F.col("block_type"), text, F.col("y"), F.col("page"), F.col("seq") % 7 == 0).alias("semantic_role"))
+    typed = lines.withColumn("block_type", T.text_block_type(F.col("text"), F.col("y"), 6 + F.col("seq") % 12))
+    return typed.select("doc_id", "seq", "block_type", T.semantic_role(F.col("block_type"), F.col("text"), F.col("y"), F.col("page"), F.col("seq") % 7 == 0).alias("semantic_role"))
 
 
 @query("block_type_counts", f"WITH {EVIDENCE_SQL}, {ROLE_SQL} SELECT page, block_type, count(*) AS blocks FROM typed GROUP BY ALL")
 def block_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = evidence_lines(spark, sf_dir)
-    return lines.groupBy("page", T.text_block_type(text, F.col("y"), 6 + F.col("seq") % 12).alias("block_type")).agg(F.count(F.lit(1)).alias("blocks"))
+    return lines.groupBy("page", T.text_block_type(F.col("text"), F.col("y"), 6 + F.col("seq") % 12).alias("block_type")).agg(F.count(F.lit(1)).alias("blocks"))
 
 
 @query("contact_fields", rf"""WITH {PRINTED_SQL}
@@ -111,8 +109,8 @@ SELECT line_id, nullif(regexp_extract(text, '[\pL\pN_.+-]+@[\pL\pN_.-]+\.[A-Za-z
        nullif(regexp_extract(text, '\b(?:\+?1[-. )]*)?\(?\d{{3}}\)?[-. ]\d{{3}}[-. ]\d{{4}}\b'), '') AS phone,
        CASE WHEN NOT regexp_matches(text, '\d') AND regexp_matches(text, '(?i)\b(?:LLC|INC|CORP|LTD|LLP|LP|PLC)\b') THEN text END AS organization FROM printed""")
 def contact_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    card = T.contact_details(text)
-    suffixed = F.when(text.rlike(r"(?i)\b(?:LLC|INC|CORP|LTD|LLP|LP|PLC)\b"), F.col("c.organization"))
+    card = T.contact_details(F.col("text"))
+    suffixed = F.when(F.col("text").rlike(r"(?i)\b(?:LLC|INC|CORP|LTD|LLP|LP|PLC)\b"), F.col("c.organization"))
     return printed_texts(spark, sf_dir).select("line_id", "text", card.alias("c")).select("line_id", "c.email", "c.phone", suffixed.alias("organization"))
 
 
@@ -121,7 +119,7 @@ r AS (SELECT line_id, list_transform(list_zip(regexp_extract_all(text, '{T.PERCE
              regexp_extract_all(regexp_replace(text, '{T.PERCENT_RANGE}', '|', 'g'), '(\d+(?:\.\d+)?)\s*%', 1) AS single FROM printed)
 SELECT line_id, array_to_string(ranges, ';') AS ranges, array_to_string(single, ';') AS single, CAST(len(ranges) + len(single) AS BIGINT) AS mentions FROM r""")
 def percent_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = printed_texts(spark, sf_dir).select("line_id", T.percent_mentions(text).alias("m"))
+    found = printed_texts(spark, sf_dir).select("line_id", T.percent_mentions(F.col("text")).alias("m"))
     plain = lambda v: F.regexp_replace(v.cast("string"), r"\.0$", "")
     ranges = F.transform(F.filter("m", lambda v: v["kind"] == "range"), lambda v: F.concat(plain(v["low"]), F.lit(".."), plain(v["high"])))
     single = F.transform(F.filter("m", lambda v: v["kind"] == "value"), lambda v: plain(v["low"]))
@@ -133,7 +131,7 @@ d AS (SELECT line_id, TRY_CAST(regexp_extract(text, '\b(\d{{1,2}})/(\d{{1,2}})/(
              TRY_CAST(regexp_extract(text, '\b(\d{{1,2}})/(\d{{1,2}})/(\d{{2,4}})\b', 3) AS INT) AS y FROM printed)
 SELECT line_id, m IS NOT NULL AS found, CAST(TRY_CAST(printf('%04d-%02d-%02d', CASE WHEN y < 100 THEN y + 2000 ELSE y END, m, d) AS DATE) AS VARCHAR) AS as_of FROM d""")
 def as_of_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return printed_texts(spark, sf_dir).select("line_id", T.as_of_date(text).alias("d")).select("line_id", "d.found", F.col("d.date").cast("string").alias("as_of"))
+    return printed_texts(spark, sf_dir).select("line_id", T.as_of_date(F.col("text")).alias("d")).select("line_id", "d.found", F.col("d.date").cast("string").alias("as_of"))
 
 
 @query("layout_glyphs", rf"""WITH words AS (SELECT doc_id, i, w FROM (
@@ -201,5 +199,5 @@ def map_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("text_structure")
 def text_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = table(spark, sf_dir, "documents").select("doc_id", T.text_structures(text).alias("s"))
+    found = table(spark, sf_dir, "documents").select("doc_id", T.text_structures(F.col("text")).alias("s"))
     return found.select("doc_id", F.size("s.paragraphs").alias("paragraphs"), "s.intro", "s.ordered", F.size("s.items").alias("items"))

@@ -10,8 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-EVIDENCE = T.StructType.fromDDL("doc_id long, page long, seq long, evidence_id string, text string, conf long, x long, y long, w long, h long")
-REGION = T.StructType.fromDDL("doc_id long, page long, region long, kind string, x long, y long, w long, h long, conf long")
+
+def _schema(long: str, string: str, order: str) -> T.StructType:
+    kinds = {c: T.LongType() for c in long.split()} | {c: T.StringType() for c in string.split()}
+    return T.StructType([T.StructField(c, kinds[c]) for c in order.split()])
+
+
+EVIDENCE = _schema("doc_id page seq conf x y w h", "evidence_id text", "doc_id page seq evidence_id text conf x y w h")
+REGION = _schema("doc_id page region x y w h conf", "kind", "doc_id page region kind x y w h conf")
 
 #: Regions on each surrogate page: two lanes of five bands with gaps, and across them a top band and an inset.
 REGIONS = 12

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
-EVENTS = StructType.fromDDL("event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+EVENTS = StructType([StructField("event_id", LongType()), StructField("ts", TimestampNTZType()), StructField("user_id", LongType()), StructField("event_type", StringType()), StructField("value", DoubleType()), StructField("props", StringType())])
 
 
 def event_stream(spark: SparkSession, folder: str, files_a_batch: int = 100) -> DataFrame:
