@@ -17,16 +17,21 @@ def event_stream(spark: SparkSession, folder: str, files_a_batch: int = 100) ->
     return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files_a_batch).parquet(folder)
 
 
+def _timed(events: DataFrame, late: str) -> DataFrame:
+    zoned = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return zoned.withWatermark("ts", late) if events.isStreaming else zoned
+
+
 def hourly(events: DataFrame, late: str = "1 hour") -> DataFrame:
     """Events and their value by hour and type; works on a stream and on a table. Stream rows later than `late` are left
     out once their hour is closed."""
-    timed = events.withWatermark("ts", late) if events.isStreaming else events
+    timed = _timed(events, late)
     counted = timed.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("events"), F.sum(F.floor(F.col("value") * 100).cast("long")).alias("cents"))
     return counted.select(F.col("w.start").alias("hour"), "event_type", "events", "cents")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
-    timed = events.withWatermark("ts", late) if events.isStreaming else events
+    timed = _timed(events, late)
     counted = timed.groupBy(F.session_window("ts", gap).alias("s"), "user_id").agg(F.count(F.lit(1)).alias("events"))
     return counted.select("user_id", F.col("s.start").alias("started"), "events")
 
