@@ -87,10 +87,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def text_rows(batches: Iterator[pa.RecordBatch], chars: int = 8_000_000) -> Iterator[tuple[list, list[str]]]:
-    """(doc_ids, texts) in runs of about so many characters; one longer text is a run of its own."""
+def byte_words(text: bytes) -> list[bytes]:
+    """Words of UTF-8 text between ASCII white space, A-Z as a-z: what lower() and split() of bytes do."""
+    return text.lower().split()
+
+
+def text_rows(batches: Iterator[pa.RecordBatch], chars: int = 8_000_000, raw: bool = False) -> Iterator[tuple[list, list]]:
+    """(doc_ids, texts) in runs of about so many bytes; one longer text is a run of its own. raw: texts as UTF-8."""
     for batch in batches:
         ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+        if raw:
+            texts = pc.cast(texts, pa.binary())
         at, size = 0, 0
         lengths = pc.binary_length(texts).to_pylist()
         for k, n in enumerate(lengths):

@@ -25,12 +25,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACED, ascii_lower, crc_mod, id_and_text, stored, text_rows
+from .common import byte_words, crc_mod, id_and_text, stored, text_rows
 
-END = " "  # no word has a space
+END = b" "  # no word has a space
 BLOCK_CHARS = 24_000_000
 CORE = 1e-5
 PAIRED = 1e-4  # share of words that may form trigrams
@@ -45,12 +46,16 @@ def _blocks(docs: DataFrame, folds: int, held: int) -> DataFrame:
     return rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-chars // BLOCK_CHARS)))))
 
 
+def _raw(table: pa.Table) -> list[bytes]:
+    return pc.cast(table.column("text"), pa.binary()).to_pylist()
+
+
 def _vocabulary(table: pa.Table) -> pa.Table:
     """block, word, n: the block's distinct words with their training counts (0: only held-out texts have it)."""
     counts: Counter = Counter()
-    others: set[str] = set()
-    for text, held in zip(table.column("text").to_pylist(), table.column("held_out").to_pylist(), strict=True):
-        words = SPACED.findall(ascii_lower(text))
+    others: set[bytes] = set()
+    for text, held in zip(_raw(table), table.column("held_out").to_pylist(), strict=True):
+        words = byte_words(text)
         (others if held else counts).update(words)
         if not held:
             counts[END] += 1
@@ -58,18 +63,18 @@ def _vocabulary(table: pa.Table) -> pa.Table:
     others.difference_update(counts)
     words = [*counts, *others]
     block = table.column("block")[0].as_py()
-    return pa.table({"block": pa.array([block] * len(words), pa.int64()), "word": pa.array(words, pa.string()), "n": pa.array([*counts.values(), *[0] * len(others)], pa.int64())})
+    return pa.table({"block": pa.array([block] * len(words), pa.int64()), "word": pa.array(words, pa.binary()), "n": pa.array([*counts.values(), *[0] * len(others)], pa.int64())})
 
 
 def count_words(blocks: DataFrame) -> DataFrame:
     """Stored: block, word, c (training count in all blocks), lead (true in one of the word's blocks)."""
-    listed = blocks.groupBy("block").applyInArrow(_vocabulary, "block long, word string, n long")
+    listed = blocks.groupBy("block").applyInArrow(_vocabulary, "block long, word binary, n long")
     same = Window.partitionBy("word")
     counted = listed.select("block", "word", F.sum("n").over(same).alias("c"), (F.col("block") == F.min("block").over(same)).alias("lead"))
     return stored(counted, "word-counts")
 
 
-def _gram_counter(core: list[str], paired: int):
+def _gram_counter(core: list[bytes], paired: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = {w: k for k, w in enumerate(core)}
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -79,12 +84,12 @@ def _gram_counter(core: list[str], paired: int):
             keys, where = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
             return keys, np.bincount(where, np.concatenate([n for _, n in found])).astype(np.int64)
 
-        for _, texts in text_rows(batches):
+        for _, texts in text_rows(batches, raw=True):
             flat: list[int] = []
             get = ids.get
             for text in texts:
                 flat.append(-2)  # where a text begins; as a history it is the end token
-                flat += [get(w, -1) for w in SPACED.findall(ascii_lower(text))]
+                flat += [get(w, -1) for w in byte_words(text)]
                 flat.append(end)
             a = np.array(flat, np.int64)
             history = np.where(a == -2, end, a)
@@ -113,6 +118,7 @@ class Automaton:
         self.size = len(unigram)
         norm = total + kinds + 1
         self.unigram = [(int(c) + 1) / norm for c in unigram]
+        self.single = [math.log10(p) for p in self.unigram]
         two = {(int(g) >> _BITS, int(g) & (1 << _BITS) - 1): int(n) for g, n in zip(grams, counts, strict=True) if not g >> 3 * _BITS}
         three: dict[tuple[int, int], dict[int, int]] = {}
         for g, n in zip(grams.tolist(), counts.tolist(), strict=True):
@@ -160,26 +166,24 @@ class Automaton:
     def start(self, end: int) -> int:
         return self.word_state.get(end, 0)
 
-    def score(self, words: list[tuple[int, float]], end: int) -> float:
-        """Sum of log10 probabilities of words, pairs of core number (or -1) and unigram log10 probability."""
+    def score(self, words: list[int], end: int) -> float:
+        """Sum of log10 probabilities of words, numbers of core words; -1, another word, costs the way to the root (its
+        own unigram is left to the caller)."""
         state, total, size = self.start(end), 0.0, self.size
-        arcs, fail, backoff, to_root, word_state = self.arcs, self.fail, self.backoff, self.to_root, self.word_state
-        for word, single in words:
+        arcs, fail, backoff, to_root, word_state, single = self.arcs.get, self.fail, self.backoff, self.to_root, self.word_state.get, self.single
+        for word in words:
             if word < 0:
-                total += to_root[state] + single
+                total += to_root[state]
                 state = 0
                 continue
-            while True:
-                if (arc := arcs.get(state * size + word)) is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
+            while (arc := arcs(state * size + word)) is None:
                 if not state:
-                    total += single
-                    state = word_state.get(word, 0)
+                    arc = single[word], word_state(word, 0)
                     break
                 total += backoff[state]
                 state = fail[state]
+            total += arc[0]
+            state = arc[1]
         return total
 
 
@@ -187,7 +191,7 @@ def train(blocks: DataFrame, counted: DataFrame) -> dict:
     """What scoring needs: totals, core words and kept n-grams. Its size is bounded by CORE and KEPT."""
     lead = counted.where("lead AND c > 0")
     total, kinds = lead.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    core = sorted(((r["c"], r["word"]) for r in lead.where((F.col("c") >= max(2, CORE * total)) | (F.col("word") == END)).select("word", "c").collect()), key=lambda r: (-r[0], r[1]))
+    core = sorted(((r["c"], bytes(r["word"])) for r in lead.where((F.col("c") >= max(2, CORE * total)) | (F.col("word") == F.lit(bytearray(END)))).select("word", "c").collect()), key=lambda r: (-r[0], r[1]))
     if not any(w == END for _, w in core):
         core.append((0, END))
     words = [w for _, w in core]
@@ -199,7 +203,7 @@ def train(blocks: DataFrame, counted: DataFrame) -> dict:
 
 
 @lru_cache(maxsize=1)
-def _built(held) -> tuple[Automaton, dict[str, int], int, int]:
+def _built(held) -> tuple[Automaton, dict[bytes, int], int, int]:
     model = held.value
     automaton = Automaton(model["counts"], model["total"], model["kinds"], model["grams"], model["n"])
     ids = {w: k for k, w in enumerate(model["words"])}
@@ -218,21 +222,29 @@ def score_documents(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame
 
     def score(texts: pa.Table, words: pa.Table) -> pa.Table:
         automaton, ids, end, norm = _built(shared)
+        listed = words.column("word").to_pylist()
+        local = {word: k for k, word in enumerate(listed)}
         get = ids.get
-        known, single = {}, {}
-        for word, c in zip(words.column("word").to_pylist(), words.column("c").to_pylist(), strict=True):
-            known[word] = (get(word, -1), value := math.log10((c + 1) / norm))
-            single[word] = (value, c > 0)
-        columns: list[list] = [[] for _ in range(6)]
-        for doc_id, text, out in zip(*(texts.column(c).to_pylist() for c in ("doc_id", "text", "held_out")), strict=True):
-            found = SPACED.findall(ascii_lower(text))
-            found.append(END)
-            ones = [single[w] for w in found]
-            row = (doc_id, out, len(found), sum(k for _, k in ones), sum(p for p, _ in ones), automaton.score([known[w] for w in found], end))
-            for column, value in zip(columns, row, strict=True):
-                column.append(value)
-        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+        core = np.array([get(word, -1) for word in listed], np.int64)
+        count = words.column("c").to_numpy()
+        single = np.log10((count + 1) / norm)
+        flat: list[int] = []
+        sizes, place, last = [], local.__getitem__, local[END]
+        for text in _raw(texts):
+            before = len(flat)
+            flat += map(place, byte_words(text))
+            flat.append(last)
+            sizes.append(len(flat) - before)
+        where = np.array(flat, np.int64)
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        numbers, alone = core[where], single[where]
+        base = np.add.reduceat(alone, starts)
+        rest = np.add.reduceat(np.where(numbers < 0, alone, 0.0), starts)
+        known = np.add.reduceat((count[where] > 0).astype(np.int64), starts)
+        walked = [automaton.score(numbers[a:b].tolist(), end) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        columns = [texts.column("doc_id"), texts.column("held_out"), pa.array(sizes, pa.int64()), pa.array(known), pa.array(base), pa.array(rest + np.array(walked))]
+        return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     scored = blocks.groupBy("block").cogroup(counted.select("block", "word", "c").groupBy("block")).applyInArrow(score, _SCORE)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model["total"]).cast("long").alias("train_tokens"), "base_score", "score")
