@@ -11,16 +11,20 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
+_SPACE = r"[\x09-\x0D\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 #: A space next to other white space, or at an end: there a byte-level vocabulary may join spaces.
-_JOINED_SPACES = re.compile(r" \s|\s ")
+_JOINED_SPACES = rf"\x20{_SPACE}|{_SPACE}\x20|^\x20|\x20$"
+_LATIN = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
 _MARKS = ".,;:!?|#%&*$"
 
 
 class Encoder:
     """path: a tokenizer file. spaces: whether words keep the space before them (byte-level vocabularies)."""
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 750_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -28,54 +32,94 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.spaces = bool(self.tokenizer.encode("a a", add_special_tokens=False).ids != self.tokenizer.encode("a", add_special_tokens=False).ids * 2)
+        self.mark = "\n" if self.spaces else " |"
+        (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
         self.most = most
+        #: Words and their ids; when it is full it becomes the older one, from which words in use come back.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
-    def _learn(self, missing: list[str]) -> None:
+    def _many(self, words: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters. They are encoded as one text with a mark between them that is always one
+        token of its own, and parted at the mark."""
+        out: list[bytes] = []
+        width = self.kind.itemsize
+        for at in range(0, len(words), 4000):
+            part = words[at : at + 4000]
+            text = "".join(f" {w}{self.mark}" for w in part)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(ids == self.mark_id)
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer joins words with the mark")
+            flat, ends = ids.tobytes(), (ends * width).tolist()
+            out += [flat[a:b] for a, b in zip([0, *(e + width for e in ends)], ends)]  # noqa: B905
+        return out
+
+    def _learn(self, missing: set[str]) -> None:
         """Ids of words not seen before. A Latin word and the marks after it are apart in both vocabularies, so the
         word is encoded alone."""
-        known, ended, fresh = self.known, [], set()
+        known, ended, latin, other = self.known, [], set(), []
         for word in missing:
             stem = word.rstrip(_MARKS)
-            if len(stem) < len(word) and stem.isalpha() and stem[-1] < "\u0250":
-                ended.append((word, stem))
-                word = stem
-            fresh.add(word)
-        part = [w for w in fresh if w not in known]
-        given = [w[1:] if w[:1] == "\n" else f" {w}" for w in part] if self.spaces else part
-        known.update(zip(part, self._plain(given), strict=True))
+            if _LATIN.fullmatch(stem):
+                if len(stem) < len(word):
+                    ended.append((word, stem))
+                latin.add(stem)
+            else:
+                other.append(word)
+        part = list(latin.difference(known))
+        known.update(zip(part, self._many(part), strict=True))
+        given = [w[1:] if w[:1] == "\n" else f" {w}" for w in other] if self.spaces else other
+        known.update(zip(other, self._plain(given), strict=True))
         tails = list({word[len(stem) :] for word, stem in ended})
         marks = dict(zip(tails, self._plain(tails), strict=True))
         for word, stem in ended:
             known[word] = known[stem] + marks[word[len(stem) :]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian integers of self.kind."""
-        words: list[list[str] | None] = []
-        for text in texts:
-            if self.spaces and (text[:1] == " " or text[-1:] == " " or _JOINED_SPACES.search(text)):
-                words.append(None)
-            else:
-                parts = text.split(" ")
-                if self.spaces:
-                    parts[0] = "\n" + parts[0]  # no other part starts with white space
-                words.append(parts)
+        """Ids of each text as little-endian integers of self.kind.
+
+        Arrow splits the texts and numbers their distinct words; only those pass through Python."""
+        if not texts:
+            return []
+        column = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(column, _JOINED_SPACES).to_numpy(zero_copy_only=False) if self.spaces else np.zeros(len(texts), bool)
+        plain = pc.if_else(pa.array(odd), "", column) if odd.any() else column
+        lists = pc.split_pattern(plain, " ")
+        numbered = lists.flatten().dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        where = numbered.indices.to_numpy().astype(np.int64)
+        firsts = lists.offsets.to_numpy()[:-1]
+        if self.spaces:  # the first word of a text has no space before it; no other word starts with white space
+            where[firsts] = np.arange(len(distinct), len(distinct) + len(texts))
+            distinct += ["\n" + text.split(" ", 1)[0] for text in plain.to_pylist()]
         known = self.known
-        new: set[str] = set()
-        for parts in words:
-            new.update(parts or ())
-        if len(known) + len(new) > self.most:
-            known.clear()
-        self._learn([w for w in new if w not in known])
-        whole = iter(self._plain([t for t, parts in zip(texts, words, strict=True) if parts is None]))
-        return [next(whole) if parts is None else b"".join(map(known.__getitem__, parts)) for parts in words]
+        if len(known) > self.most:
+            self.older, self.known = known, {}
+            known = self.known
+        missing = set(distinct).difference(known)
+        known.update((w, self.older[w]) for w in missing.intersection(self.older))
+        self._learn(missing.difference(known))
+        ids = [known[w] for w in distinct]
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        starts = np.cumsum(sizes) - sizes
+        size = sizes[where]
+        shift = starts[where] - (np.cumsum(size) - size)
+        out = flat[np.arange(int(size.sum())) + np.repeat(shift, size)].tobytes()
+        ends = np.cumsum(np.add.reduceat(size, firsts)) * self.kind.itemsize
+        found = [out[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        odd_at = np.flatnonzero(odd).tolist()
+        for k, whole in zip(odd_at, self._plain([texts[k] for k in odd_at]), strict=True):
+            found[k] = whole
+        return found
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """One encoder a Python worker."""
-    return Encoder(path)
+def encoder(path: str, most: int = 750_000) -> Encoder:
+    """One encoder a Python worker. It keeps up to twice `most` words, about 200 bytes each."""
+    return Encoder(path, most)
