@@ -33,8 +33,9 @@ def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens, one row a piece."""
-    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), 0, 2048, with_ids=False)
+    """Sequences of at most 2048 tokens, one row a piece. The workers hold what earlier stages left, so they remember
+    fewer words."""
+    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), 0, 2048, with_ids=False, words=150_000)
 
 
 STAGES = [

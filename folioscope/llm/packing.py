@@ -121,12 +121,12 @@ def evolve(length: list[int], size: int, seed: int) -> list[Bin]:
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, with_ids: bool = True) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, with_ids: bool = True, words: int = 750_000) -> DataFrame:
     """Pieces of every document: place, length, crc32 of the ids as little-endian 32-bit integers, and the ids so."""
     rows = id_and_text(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(tokenizer)
+        tool = encoder(tokenizer, words)
         end = np.array([end_id], tool.kind).tobytes()
         for doc_ids, texts in text_rows(batches):
             columns: list[list] = [[] for _ in range(6)]
@@ -188,5 +188,6 @@ def pack_pieces(pieces: DataFrame, size: int) -> DataFrame:
     return done
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int, with_ids: bool = True) -> DataFrame:
-    return pack_pieces(stored(cut_pieces(docs, tokenizer, end_id, size, with_ids), "pieces"), size)
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int, with_ids: bool = True, words: int = 750_000) -> DataFrame:
+    """Cuts and packs. words: how many words a worker's encoder remembers, which bounds its memory."""
+    return pack_pieces(stored(cut_pieces(docs, tokenizer, end_id, size, with_ids, words), "pieces"), size)
