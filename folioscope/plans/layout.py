@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions import text as T
+from folioscope.operators import assembly as A
 from folioscope.operators import layout as L
 from folioscope.sources.evidence import CHART_SQL, EVIDENCE_SQL, chart_lines, evidence_lines, page_regions
 
@@ -109,3 +110,22 @@ def visual_footnotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = [*PAGE, "region"]
     frame = lines.groupBy(*keys).agg(F.min("y").alias("top"), (F.max(F.col("y") + F.col("h")) - F.min("y")).alias("height"))
     return L.footnotes(lines.join(frame, keys), keys, F.col("top"), F.col("height")).select(*keys, "seq")
+
+
+@query("inline_sections", f"""WITH {EVIDENCE_SQL},
+z AS (SELECT doc_id, page, seq, x, y, seq // 10 AS region, CASE WHEN seq % 5 = 2 THEN 'PART ' || seq || ': ' || text ELSE text END AS text FROM evidence),
+t AS (SELECT *, nullif(regexp_extract(text, '^\\s*(\\p{{Lu}}[\\p{{Lu}}\\d &/''-]{{2,}}):', 1), '') AS t FROM z),
+e AS (SELECT doc_id, page, region FROM t GROUP BY ALL HAVING count(t) >= 2)
+SELECT doc_id, page, region, seq, count(t) OVER w AS section, last_value(t IGNORE NULLS) OVER w AS title FROM t JOIN e USING (doc_id, page, region) WINDOW w AS (PARTITION BY t.doc_id, t.page, t.region ORDER BY y, x, seq ROWS UNBOUNDED PRECEDING)""")
+def inline_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = evidence_lines(spark, sf_dir).withColumn("region", F.floor(F.col("seq") / 10))
+    lines = lines.withColumn("text", F.when(F.col("seq") % 5 == 2, F.concat(F.lit("PART "), "seq", F.lit(": "), "text")).otherwise(F.col("text")))
+    return A.inline_sections(lines, [*PAGE, "region"]).select(*PAGE, "region", "seq", "section", "title")
+
+
+@query("page_blocks")
+def page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = evidence_lines(spark, sf_dir)
+    regions = page_regions(lines)
+    features = regions.select(*PAGE, "region", (F.col("doc_id") % 5).alias("bar_candidates"), (F.col("region") % 3).alias("point_candidates"))
+    return A.page_blocks(lines, regions, features)
