@@ -71,12 +71,13 @@ def linked_scalars(cells: DataFrame) -> DataFrame:
     return cells.where((F.col("col") > 0) & numeric).join(labelled, ["table_id", "row"], "left_semi").groupBy("table_id").agg(F.count(F.lit(1)).alias("linked"))
 
 
-def ground_cells(cells: DataFrame, lines: DataFrame, columns: int, width: Column) -> DataFrame:
+def ground_cells(cells: DataFrame, lines: DataFrame, columns: int, width: Column, in_order: bool = False) -> DataFrame:
     """Cells whose exact text is printed once where row label and column header say.
 
     lines: table_id, evidence_id, text, box of the lines that the table owns. Labels and headers must be printed once.
     Two-column tables need the value right of its label, wider ones under its header. A printed value that would serve
-    several cells serves none of them."""
+    several cells serves none of them; with in_order it serves the first cell whose only choice it is, table by table."""
+    status = "ocr_value_and_row" if columns == 2 else "ocr_row_and_column"
     keyed = lines.select("table_id", "evidence_id", "h", T.alnum_key(F.col("text")).alias("key"), (F.col("x") + F.col("w") / 2).alias("cx"), (F.col("y") + F.col("h") / 2).alias("cy")).where("key <> ''")
     once = keyed.groupBy("table_id", "key").agg(F.count(F.lit(1)).alias("n"), F.min("cx").alias("ox"), F.min("cy").alias("oy"), F.min("h").alias("oh")).where("n = 1").drop("n")
     key = T.alnum_key(F.coalesce("text", F.lit("")))
@@ -89,9 +90,13 @@ def ground_cells(cells: DataFrame, lines: DataFrame, columns: int, width: Column
     else:
         heads = cells.where("row = 0 AND col > 0").select("table_id", "col", key.alias("key")).join(once, ["table_id", "key"]).select("table_id", "col", F.col("ox").alias("hx"))
         met = met.join(heads, ["table_id", "col"]).where(F.abs(F.col("cx") - F.col("hx")) <= F.greatest(F.lit(35.0), width / (columns * 1.4)))
+    if in_order:
+        from .paged import GROUNDED, ground_in_order, per_page
+
+        found = per_page(met.select("table_id", "row", "col", "evidence_id"), ["table_id"], ground_in_order, GROUNDED)
+        return found.withColumn("grounding_status", F.lit(status))
     single = met.groupBy("table_id", "row", "col").agg(F.count(F.lit(1)).alias("n"), F.min("evidence_id").alias("evidence_id")).where("n = 1")
     free = single.groupBy("table_id", "evidence_id").agg(F.count(F.lit(1)).alias("uses")).where("uses = 1")
-    status = "ocr_value_and_row" if columns == 2 else "ocr_row_and_column"
     return single.join(free, ["table_id", "evidence_id"], "left_semi").select("table_id", "row", "col", "evidence_id", F.lit(status).alias("grounding_status"))
 
 

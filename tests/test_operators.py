@@ -84,6 +84,8 @@ def test_grounding_uses_a_value_once_and_declines_ties(spark):
     printed = spark.createDataFrame([("t", f"e{k}", t, x, y, 40, 10) for k, (t, x, y) in enumerate(made)], "table_id string, evidence_id string, text string, x long, y long, w long, h long")
     found = {(r.row, r.evidence_id) for r in TB.ground_cells(table, printed, 2, F.lit(500)).collect()}
     assert found == {(1, "e1"), (2, "e3")}
+    ordered = {(r.row, r.evidence_id) for r in TB.ground_cells(table, printed, 2, F.lit(500), in_order=True).collect()}
+    assert ordered == found
 
 
 def test_two_lines_make_a_label(spark):
