@@ -128,5 +128,21 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+OP8_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + least(len(w), 5)], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM d UNION SELECT u.b, r.c FROM r JOIN u ON r.doc_id = u.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id, d.doc_id = min(r.c) AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op4_decontamination": OP4_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op4_decontamination": OP4_SQL, "op8_near_dedup": OP8_SQL}
