@@ -16,8 +16,19 @@ NUMBER = r"(?:[$€£]\s*)?\(?\d[\d,.]*(?:\s*(?:%|x|million|billion|bn|mm|m|b|k)
 TABLE_SCALAR = r"\s*[+-]?(?:[$€£]\s*)?\d[\d,]*(?:\.\d+)?\s*(?:%|x|million|billion|bn|mm|m|b|k)?\s*"
 CARD_VALUE = r"[$€£]?\s*\d[\d,.]*(?:\s*[-–—]\s*\d[\d,.]*)?\s*(?:%|％|x)?"
 SIGNED = r"[-+]?\d+(?:\.\d+)?"
-PERCENT_RANGE = r"(\d+(?:\.\d+)?)\s*%?\s*[-–—]\s*(\d+(?:\.\d+)?)\s*%"
-PERCENT_VALUE = r"\d+(?:\.\d+)?\s*%"
+PERCENT_RANGE = r"(?Ui)(?<![\w.])(\d+(?:\.\d+)?)\s*%?\s*(?:-|–|—|to)\s*(\d+(?:\.\d+)?)\s*%\+?"
+PERCENT_VALUE = r"(?U)(?<![\w.])(\d+(?:\.\d+)?)\s*%\+?"
+# Bullets, besides every private-use character.
+BULLETS = ("•", "●", "▪", "◦", "‣", "►", "▸", "➢", "➤", "-", "–", "*")
+# Patterns of contact cards.
+EMAIL = r"(?U)[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}"
+PHONE = r"\b(?:\+?1[-. )]*)?\(?\d{3}\)?[-. ]\d{3}[-. ]\d{4}\b"
+CARD_PHONE = r"\b\d{3}[-.) ]\d{3}[- ]\d{4}\b"
+WEBSITE = r"(?Ui)(?<![@\w])(?:https?://|www\.)?[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,}(?:/[^\s|│]*)?"
+COMPANY = r"(?i)\b(?:LLC|L\.L\.C\.|INC\.?|CORP\.?|LTD\.?|LLP|LP|PLC)\b"
+STREET = r"(?i)\b(?:STREET|ST|AVENUE|AVE|ROAD|RD|DRIVE|DR|LANE|LN|BOULEVARD|BLVD|PARKWAY|PKWY|HIGHWAY|HWY|COURT|CT|CIRCLE|CIR|TRAIL|TRL|WAY|SUITE|STE)\b"
+LOCALITY = r"^(.*?)(?:,\s*|\s+)([A-Z]{2})\s+(\d{5}(?:-\d{4})?)$"
+NAME = r"^[A-Z][A-Za-zÀ-ÖØ-öø-ÿ'’.-]*(?: [A-Z][A-Za-zÀ-ÖØ-öø-ÿ'’.-]*){1,3}$"
 # Phrases that mark legal text.
 LEGAL_SIGNALS = ("confidential", "important note", "legal notice", "disclaimer", "offer to sell", "solicitation", "securities", "offering materials", "terms and conditions")
 
@@ -110,7 +121,7 @@ def text_block_type(text: Column, y: Column, font: Column) -> Column:
     heading = (count <= 14) & ~text.rlike(r"[.,;:]$") & ((font >= 14) | upper | is_title(text))
     return (
         F.when((y >= 890) | ((font > 0) & (font <= 8) & (y >= 820)), "footnote")
-        .when(text.contains("@") | text.rlike(r"\b\d{3}[-.) ]\d{3}[- ]\d{4}\b"), "contact")
+        .when(text.contains("@") | text.rlike(CARD_PHONE), "contact")
         .when(heading, "heading")
         .otherwise("text")
     )
@@ -130,42 +141,37 @@ def semantic_role(block_type: Column, text: Column, y: Column, page: Column, nes
 
 
 def email(text: Column) -> Column:
-    return _first(text, r"(?U)[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}")
+    return _first(text, EMAIL)
 
 
 def phone(text: Column) -> Column:
-    return _first(text, r"\b(?:\+?1[-. )]*)?\(?\d{3}\)?[-. ]\d{3}[-. ]\d{4}\b")
+    return _first(text, PHONE)
 
 
 def website(text: Column) -> Column:
     """The first host-like string that no word or @ precedes, with a scheme put before it."""
-    found = _first(text, r"(?Ui)(?<![@\w])(?:https?://|www\.)?[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,}(?:/[^\s|│]*)?")
+    found = _first(text, WEBSITE)
     return F.when(found.rlike("(?i)^https?://"), found).otherwise(F.concat(F.lit("https://"), found))
 
 
-_SUFFIX = r"(?i)\b(?:LLC|L\.L\.C\.|INC\.?|CORP\.?|LTD\.?|LLP|LP|PLC)\b"
-_STREET = r"(?i)\b(?:STREET|ST|AVENUE|AVE|ROAD|RD|DRIVE|DR|LANE|LN|BOULEVARD|BLVD|PARKWAY|PKWY|HIGHWAY|HWY|COURT|CT|CIRCLE|CIR|TRAIL|TRL|WAY|SUITE|STE)\b"
-
-
 def contact_details(raw: Column) -> Column:
     """Struct name, organization, street, city, state, postal_code, email, phone, website of a contact card."""
     lines = F.filter(F.transform(F.split(raw, "\n"), lambda v: F.btrim(F.regexp_replace(v, r"\s+", " "), F.lit(" |│"))), lambda v: v != "")
     flat = clean_text(raw)
     upper = lambda v: (F.upper(v) == v) & (F.lower(v) != v) & F.size(F.split(v, " ")).between(1, 10)
-    organization = F.get(F.filter(F.slice(lines, 1, 3), lambda v: ~v.rlike(r"\d") & (v.rlike(_SUFFIX) | upper(v))), F.lit(0))
+    organization = F.get(F.filter(F.slice(lines, 1, 3), lambda v: ~v.rlike(r"\d") & (v.rlike(COMPANY) | upper(v))), F.lit(0))
     organization = F.rtrim(F.regexp_replace(organization, ",+$", ""))
     first = F.trim(F.get(F.split(F.get(lines, F.lit(0)), r"\s*[|│]\s*"), F.lit(0)))
-    person = first.rlike(r"^[A-Z][A-Za-zÀ-ÖØ-öø-ÿ'’.-]*(?: [A-Z][A-Za-zÀ-ÖØ-öø-ÿ'’.-]*){1,3}$")
+    person = first.rlike(NAME)
     shouted = (F.upper(first) == first) & (F.lower(first) != first)
-    named = person & ~shouted & ~first.rlike(_SUFFIX) & (F.coalesce(organization, F.lit("")) != first) & (email(flat).isNotNull() | phone(flat).isNotNull())
-    at = F.get(F.filter(F.transform(lines, lambda v, i: F.when(v.rlike(r"\d") & v.rlike(_STREET), i)), lambda i: i.isNotNull()), F.lit(0))
+    named = person & ~shouted & ~first.rlike(COMPANY) & (F.coalesce(organization, F.lit("")) != first) & (email(flat).isNotNull() | phone(flat).isNotNull())
+    at = F.get(F.filter(F.transform(lines, lambda v, i: F.when(v.rlike(r"\d") & v.rlike(STREET), i)), lambda i: i.isNotNull()), F.lit(0))
     street, after = F.get(lines, at), F.get(lines, at + 1)
-    locality = r"^(.*?)(?:,\s*|\s+)([A-Z]{2})\s+(\d{5}(?:-\d{4})?)$"
     return F.struct(
         F.when(named, first).alias("name"),
         organization.alias("organization"),
         street.alias("street"),
-        *(F.trim(_first(after, locality, k)).alias(name) for k, name in ((1, "city"), (2, "state"), (3, "postal_code"))),
+        *(F.trim(_first(after, LOCALITY, k)).alias(name) for k, name in ((1, "city"), (2, "state"), (3, "postal_code"))),
         email(flat).alias("email"),
         phone(flat).alias("phone"),
         website(flat).alias("website"),
@@ -178,7 +184,7 @@ def percent_mentions(text: Column) -> Column:
     highs = F.regexp_extract_all(text, F.lit(PERCENT_RANGE), F.lit(2))
     ranges = F.zip_with(lows, highs, lambda a, b: F.struct(F.lit("range").alias("kind"), a.cast("double").alias("low"), b.cast("double").alias("high")))
     rest = F.regexp_replace(text, PERCENT_RANGE, "|")
-    values = F.transform(F.regexp_extract_all(rest, F.lit(r"(\d+(?:\.\d+)?)\s*%"), F.lit(1)), lambda v: F.struct(F.lit("value").alias("kind"), v.cast("double").alias("low"), v.cast("double").alias("high")))
+    values = F.transform(F.regexp_extract_all(rest, F.lit(PERCENT_VALUE), F.lit(1)), lambda v: F.struct(F.lit("value").alias("kind"), v.cast("double").alias("low"), v.cast("double").alias("high")))
     return F.concat(ranges, values)
 
 
@@ -193,7 +199,7 @@ def as_of_date(text: Column) -> Column:
 def is_bullet(text: Column) -> Column:
     """A bullet sign, or one private-use character."""
     plain = F.trim(text)
-    return plain.isin("•", "▪", "‣", "-", "–", "*", "◦", "●", "■") | plain.rlike(r"^\p{Co}$")
+    return plain.isin(*BULLETS) | plain.rlike(r"^\p{Co}$")
 
 
 def is_layout_glyph(source: Column, text: Column) -> Column:

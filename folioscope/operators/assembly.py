@@ -227,7 +227,7 @@ def payload_bindings(payloads: DataFrame) -> DataFrame:
 
 
 def page_blocks(lines: DataFrame, regions: DataFrame, features: DataFrame) -> DataFrame:
-    """doc_id, page, region, type, text, lines, status of the blocks of every page: lines to their owner, visuals to their
+    """doc_id, page, region, type, semantic_role, text, lines, status of the blocks of every page: lines to their owner, visuals to their
     kind, text by its type, and a fallback block for lines that no region owns.
 
     features: page keys, region and the counters of B.COUNTERS; regions without counters have zeros."""
@@ -246,8 +246,12 @@ def page_blocks(lines: DataFrame, regions: DataFrame, features: DataFrame) -> Da
     text_type = T.text_block_type(F.col("text"), F.col("top"), F.lit(10))
     kind = F.when(F.col("kind") == "decoration", "decoration").when(F.col("kind") == "table", "table").when((F.col("kind") == "visual") & (F.col("_v.kind") != "normal_text"), F.col("_v.kind")).otherwise(text_type)
     status = F.when(kind.isin("decoration", "text", "heading", "footnote", "contact"), "passed").otherwise("needs_review")
-    made = visual.select(*page, "region", kind.alias("type"), "text", "lines", status.alias("status"))
-    loose = owned.where("region IS NULL").select(*page, (-1 - F.col("seq")).alias("region"), F.lit("unresolved_source_text").alias("type"), "text", F.lit(1).cast("long").alias("lines"), F.lit("needs_review").alias("status"))
+    made = visual.select(*page, "region", kind.alias("type"), "text", "lines", "top", status.alias("status"))
+    words = T.semantic_role(F.col("type"), F.col("text"), F.col("top"), F.col("page"), F.lit(False))
+    listed = F.element_at(F.create_map(*(F.lit(v) for pair in B.ROLES.items() for v in pair)), F.col("type"))
+    role = F.when(F.col("type").isin("text", "heading", "footnote", "contact"), words).otherwise(listed)
+    made = made.select(*page, "region", "type", role.alias("semantic_role"), "text", "lines", "status")
+    loose = owned.where("region IS NULL").select(*page, (-1 - F.col("seq")).alias("region"), F.lit("text").alias("type"), F.lit("unresolved_source_text").alias("semantic_role"), "text", F.lit(1).cast("long").alias("lines"), F.lit("needs_review").alias("status"))
     return made.unionByName(loose)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What a block may be.
-BLOCK_TYPES = ("chart", "comparison_panel", "contact", "decoration", "footnote", "group", "heading", "kpi_panel", "map", "photograph", "table", "text", "unclassified_visual", "unresolved_source_text")
+BLOCK_TYPES = ("heading", "text", "footnote", "contact", "table", "comparison_panel", "chart", "map", "kpi_panel", "photograph", "brand_mark", "decoration", "unclassified_visual", "group")
 STATUSES = ("passed", "needs_review", "failed")
 
 

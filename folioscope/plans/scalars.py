@@ -114,9 +114,13 @@ def contact_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printed_texts(spark, sf_dir).select("line_id", "text", card.alias("c")).select("line_id", "c.email", "c.phone", suffixed.alias("organization"))
 
 
+#: The range pattern without look-behind, which DuckDB lacks.
+RANGE_SQL = r"(?i)(?:^|[^\w.])(\d+(?:\.\d+)?)\s*%?\s*(?:-|–|—|to)\s*(\d+(?:\.\d+)?)\s*%"
+
+
 @query("percent_mentions", rf"""WITH {PRINTED_SQL},
-r AS (SELECT line_id, list_transform(list_zip(regexp_extract_all(text, '{T.PERCENT_RANGE}', 1), regexp_extract_all(text, '{T.PERCENT_RANGE}', 2)), lambda p: p[1] || '..' || p[2]) AS ranges,
-             regexp_extract_all(regexp_replace(text, '{T.PERCENT_RANGE}', '|', 'g'), '(\d+(?:\.\d+)?)\s*%', 1) AS single FROM printed)
+r AS (SELECT line_id, list_transform(list_zip(regexp_extract_all(text, '{RANGE_SQL}', 1), regexp_extract_all(text, '{RANGE_SQL}', 2)), lambda p: p[1] || '..' || p[2]) AS ranges,
+             regexp_extract_all(regexp_replace(text, '{RANGE_SQL}', '|', 'g'), '(?:^|[^\w.])(\d+(?:\.\d+)?)\s*%', 1) AS single FROM printed)
 SELECT line_id, array_to_string(ranges, ';') AS ranges, array_to_string(single, ';') AS single, CAST(len(ranges) + len(single) AS BIGINT) AS mentions FROM r""")
 def percent_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = printed_texts(spark, sf_dir).select("line_id", T.percent_mentions(F.col("text")).alias("m"))
@@ -136,7 +140,7 @@ def as_of_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("layout_glyphs", rf"""WITH words AS (SELECT doc_id, i, w FROM (
   SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS w, unnest(range(len(regexp_split_to_array(text, '\s+')))) AS i FROM documents WHERE text IS NOT NULL))
-SELECT doc_id, count(*) FILTER (regexp_full_match(trim(w), '[�|~/•→&]{{1,2}}')) AS glyphs, count(*) FILTER (trim(w) IN ('•', '▪', '‣', '-', '–', '*', '◦', '●', '■')) AS bullets FROM words GROUP BY 1""")
+SELECT doc_id, count(*) FILTER (regexp_full_match(trim(w), '[�|~/•→&]{{1,2}}')) AS glyphs, count(*) FILTER (trim(w) IN ('•', '●', '▪', '◦', '‣', '►', '▸', '➢', '➤', '-', '–', '*')) AS bullets FROM words GROUP BY 1""")
 def layout_glyphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.explode(F.split("text", r"\s+")).alias("w"))
     count = lambda c: F.sum(c.cast("long"))
