@@ -7,8 +7,7 @@ the ids of its space-separated words one after another. Texts for which that is
 from __future__ import annotations
 
 import os
-import re
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,8 @@ import pyarrow.compute as pc
 _SPACE = r"[\x09-\x0D\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 #: A space next to other white space, or at an end: there a byte-level vocabulary may join spaces.
 _JOINED_SPACES = rf"\x20{_SPACE}|{_SPACE}\x20|^\x20|\x20$"
-_LATIN = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+_LATIN = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+$"
+_LARGE = partial(pa.scalar, type=pa.large_string())
 _MARKS = ".,;:!?|#%&*$"
 
 
@@ -36,7 +36,8 @@ class Encoder:
         (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
         self.most = most
         #: Words and their ids; when it is full it becomes the older one, from which words in use come back.
-        self.known: dict[str, bytes] = {}
+        #: The word "" has no ids: it is a text without words, or stands between spaces that are dropped.
+        self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
@@ -59,65 +60,98 @@ class Encoder:
             out += [flat[a:b] for a, b in zip([0, *(e + width for e in ends)], ends)]  # noqa: B905
         return out
 
-    def _learn(self, missing: set[str]) -> None:
-        """Ids of words not seen before. A Latin word and the marks after it are apart in both vocabularies, so the
-        word is encoded alone."""
-        known, ended, latin, other = self.known, [], set(), []
-        for word in missing:
-            stem = word.rstrip(_MARKS)
-            if _LATIN.fullmatch(stem):
-                if len(stem) < len(word):
-                    ended.append((word, stem))
-                latin.add(stem)
-            else:
-                other.append(word)
-        part = list(latin.difference(known))
-        known.update(zip(part, self._many(part), strict=True))
-        given = [w[1:] if w[:1] == "\n" else f" {w}" for w in other] if self.spaces else other
-        known.update(zip(other, self._plain(given), strict=True))
-        tails = list({word[len(stem) :] for word, stem in ended})
-        marks = dict(zip(tails, self._plain(tails), strict=True))
-        for word, stem in ended:
-            known[word] = known[stem] + marks[word[len(stem) :]]
+    def _ids(self, latin: list[str], other: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters and then of other words, from what is known or else by the tokenizer."""
+        known = self.known
+        if len(known) > self.most:
+            self.older, self.known = known, {"": b""}
+            known = self.known
+        for words, encode in ((latin, self._many), (other, self._others)):
+            missing = set(words).difference(known)
+            known.update((w, self.older[w]) for w in missing.intersection(self.older))
+            new = list(missing.difference(known))
+            known.update(zip(new, encode(new), strict=True))
+        return [*map(known.__getitem__, latin), *map(known.__getitem__, other)]
+
+    def _others(self, words: list[str]) -> list[bytes]:
+        return self._plain([w[1:] if w[:1] == "\n" else f" {w}" for w in words] if self.spaces else words)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of self.kind.
 
-        Arrow splits the texts and numbers their distinct words; only those pass through Python."""
+        Arrow splits the texts at spaces and numbers their distinct words; only those pass through Python. A word of
+        Latin letters and the marks after it are apart in both vocabularies, so each is looked up on its own."""
         if not texts:
             return []
         column = pa.array(texts, pa.large_string())
         odd = pc.match_substring_regex(column, _JOINED_SPACES).to_numpy(zero_copy_only=False) if self.spaces else np.zeros(len(texts), bool)
         plain = pc.if_else(pa.array(odd), "", column) if odd.any() else column
         lists = pc.split_pattern(plain, " ")
-        numbered = lists.flatten().dictionary_encode()
-        distinct = numbered.dictionary.to_pylist()
-        where = numbered.indices.to_numpy().astype(np.int64)
-        firsts = lists.offsets.to_numpy()[:-1]
-        if self.spaces:  # the first word of a text has no space before it; no other word starts with white space
-            where[firsts] = np.arange(len(distinct), len(distinct) + len(texts))
-            distinct += ["\n" + text.split(" ", 1)[0] for text in plain.to_pylist()]
-        known = self.known
-        if len(known) > self.most:
-            self.older, self.known = known, {}
-            known = self.known
-        missing = set(distinct).difference(known)
-        known.update((w, self.older[w]) for w in missing.intersection(self.older))
-        self._learn(missing.difference(known))
-        ids = [known[w] for w in distinct]
-        flat = np.frombuffer(b"".join(ids), self.kind)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        words, firsts = lists.flatten(), lists.offsets.to_numpy()[:-1]
+        stems = pc.utf8_rtrim(words, characters=_MARKS)
+        numbered = stems.dictionary_encode()
+        is_latin = pc.match_substring_regex(numbered.dictionary, _LATIN).to_numpy(zero_copy_only=False)
+        stem_at = numbered.indices.to_numpy()
+        marks = (pc.binary_length(words).to_numpy() - pc.binary_length(stems).to_numpy()).astype(np.int64)
+        whole = (marks > 0) & (~is_latin[stem_at] | (marks > 7))
+        if self.spaces:
+            whole[firsts] = True  # no space before them; no other word starts with white space
+        whole_at = np.flatnonzero(whole)
+        taken = words.take(pa.array(whole_at))
+        if self.spaces:
+            lead = np.zeros(len(words), bool)
+            lead[firsts] = True
+            taken = pc.if_else(pa.array(lead[whole_at]), pc.binary_join_element_wise(_LARGE("\n"), taken, _LARGE("")), taken)
+        taken = taken.dictionary_encode()
+        marks[whole] = 0
+
+        # Numbers of distinct pieces: Latin stems, other stems, whole words, runs of marks, and last the empty piece.
+        order = np.concatenate([np.flatnonzero(is_latin), np.flatnonzero(~is_latin)])
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        where = np.empty((len(words), 2), np.int64)
+        where[:, 0] = rank[stem_at]
+        where[whole_at, 0] = len(order) + taken.indices.to_numpy()
+        runs, run_at, marked = self._runs(words, marks)
+        where[:, 1] = len(order) + len(taken.dictionary) + len(runs)
+        where[marked, 1] = len(order) + len(taken.dictionary) + run_at
+        cut = int(is_latin.sum())
+        # A stem that only whole words have is not asked for; the empty word stands in for it.
+        used = np.zeros(len(order), bool)
+        used[where[~whole, 0]] = True
+        asked = pc.if_else(pa.array(used), numbered.dictionary.take(pa.array(order)), _LARGE("")).to_pylist()
+        latin, rest = asked[:cut], asked[cut:]
+        pieces = self._ids(latin, rest + taken.dictionary.to_pylist()) + self._plain(runs) + [b""]
+
+        flat = np.frombuffer(b"".join(pieces), self.kind)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.kind.itemsize
         starts = np.cumsum(sizes) - sizes
-        size = sizes[where]
-        shift = starts[where] - (np.cumsum(size) - size)
+        at = where.ravel()
+        size = sizes[at]
+        shift = starts[at] - (np.cumsum(size) - size)
         out = flat[np.arange(int(size.sum())) + np.repeat(shift, size)].tobytes()
-        ends = np.cumsum(np.add.reduceat(size, firsts)) * self.kind.itemsize
+        ends = np.cumsum(np.add.reduceat(size, 2 * firsts)) * self.kind.itemsize
         found = [out[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
         odd_at = np.flatnonzero(odd).tolist()
-        for k, whole in zip(odd_at, self._plain([texts[k] for k in odd_at]), strict=True):
-            found[k] = whole
+        for k, ids in zip(odd_at, self._plain([texts[k] for k in odd_at]), strict=True):
+            found[k] = ids
         return found
 
+    @staticmethod
+    def _runs(words: pa.Array, marks: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct runs of up to seven marks at the ends of words, the number of each word's run, and those words."""
+        _, offsets, data = words.buffers()
+        ends = np.frombuffer(offsets, np.int64)[words.offset + 1 : words.offset + 1 + len(words)]
+        letters = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        marked = np.flatnonzero(marks)
+        end, left = ends[marked], marks[marked]
+        key = np.zeros(len(marked), np.uint64)
+        for j in range(int(left.max(initial=0))):
+            more = left > j
+            key[more] |= letters[end[more] - 1 - j].astype(np.uint64) << np.uint64(8 * j)
+        keys, at = np.unique(key, return_inverse=True)
+        return [int(k).to_bytes(8, "big").lstrip(b"\0").decode() for k in keys], at, marked
+
 
 @lru_cache(maxsize=4)
 def encoder(path: str, most: int = 750_000) -> Encoder:
