@@ -49,12 +49,11 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
         planes, zeros, now = [], [], ids
         for bit in range(bits - 1, -1, -1):
-            ones = (now >> bit).astype(np.uint8) & 1
-            planes.append(np.packbits(ones))
-            up = ones.view(bool)
-            low = now[~up]
+            up = (now & now.dtype.type(1 << bit)) != 0
+            planes.append(np.packbits(up))
+            low = np.compress(~up, now)
             zeros.append(len(low))
-            now = np.concatenate([low, now[up]])
+            now = np.concatenate([low, np.compress(up, now)])
         return cls(len(ids), planes, zeros)
 
     def decode(self, kind=np.uint16) -> np.ndarray:
@@ -63,8 +62,8 @@ class WaveletMatrix:
         for bit, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros), strict=True)):
             up = np.unpackbits(plane, count=self.size).view(bool)
             before = np.empty_like(now)
-            before[~up] = now[:zeros]
-            before[up] = now[zeros:] | kind(1 << bit)
+            before[np.flatnonzero(~up)] = now[:zeros]
+            before[np.flatnonzero(up)] = now[zeros:] | kind(1 << bit)
             now = before
         return now
 
@@ -165,7 +164,7 @@ def write_token_shards(docs: DataFrame, tokenizer: str, end_id: int) -> DataFram
     ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, part = encoder(tokenizer), TaskContext.get().partitionId()
+        tool, part = encoder(tokenizer, 500_000), TaskContext.get().partitionId()
         end = np.array([end_id], tool.kind).tobytes()
         bits = max(int(tool.tokenizer.get_vocab_size()), end_id + 1).bit_length()
         done, shard, held, ids, sizes = 0, 0, 0, [], []
@@ -213,7 +212,7 @@ def read_token_shards(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 doc_ids, lengths, matrix = read_shard(row["payload"])
-                wide = matrix.decode(np.uint16 if len(matrix.planes) <= 16 else np.uint32).astype("<u4").tobytes()
+                wide = matrix.decode(np.uint16 if len(matrix.planes) <= 16 else np.uint32).astype("<u4").view(np.uint8)
                 ends = np.cumsum(lengths, dtype=np.int64)
                 view = memoryview(wide)
                 crcs = [zlib.crc32(view[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
