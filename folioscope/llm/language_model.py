@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import byte_words, crc_mod, id_and_text, stored, text_rows
 
 END = b" "  # no word has a space
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 16_000_000
 CORE = 1e-5
 PAIRED = 1e-4  # share of words that may form trigrams
 KEPT = 2e-6
