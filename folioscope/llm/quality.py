@@ -3,7 +3,7 @@
 Every line is labelled good or bad from features of itself and of the lines before and after it. Forward-backward
 marginals, weighted by line length, add up to the document's share of bad text, which a logistic curve turns into a
 score. Both are fitted with numpy on a bounded sample: about SAMPLE labelled documents of each class from the training
-folds, chosen by a hash of doc_id, the first TRAIN_LINES lines of each. Scoring reads whole texts.
+folds, chosen by a hash of doc_id, with their whole texts.
 
 Defined results: null text is one empty line and gets a score like any text. Without labels of both classes every
 score is the share of label 1 (1.0 if there is no label). A doc_id labelled twice counts once, with its worse label.
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from .common import crc_mod, id_and_text, text_rows
 
 SAMPLE = 1500
-TRAIN_LINES = 48
 ROUNDS = 150
 
 # Characters that prose uses, and marks that it seldom uses.
@@ -213,14 +212,14 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in text_rows([batch]):
             rows = []
             for text in texts:
-                features, _, length = line_features(["\n".join(text.split("\n", TRAIN_LINES)[:TRAIN_LINES])])
+                features, _, length = line_features([text])
                 rows.append(np.concatenate([features, length[:, None]], 1).astype("<f4").tobytes())
             yield pa.record_batch([pa.array(labels[at : at + len(ids)], pa.int32()), pa.array(rows, pa.binary())], names=["quality", "lines"])
             at += len(ids)
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1) -> dict:
-    """The fitted model. Its sample is bounded by SAMPLE and TRAIN_LINES."""
+    """The fitted model. Its sample is bounded by SAMPLE; the sampled texts are whole."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality"))
     known = known.where(crc_mod(F.col("doc_id"), folds) != held)
     sizes = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}  # two rows

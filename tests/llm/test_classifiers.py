@@ -80,3 +80,13 @@ def test_quality_of_odd_texts(spark, docs, no_docs):
     kept = Q.drop_rejected(docs, labels)
     want = {r.doc_id for r in Q.quality_scores(docs, labels).where("predicted = 1").collect()}
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == want
+
+
+def test_training_reads_whole_texts():
+    import pyarrow as pa
+
+    text = "\n".join(["A plain line of prose."] * 60 + ["$$ || ## @@"] * 60)
+    (batch,) = Q._pack(iter([pa.record_batch([pa.array([1]), pa.array([text]), pa.array([0])], names=["doc_id", "text", "quality"])]))
+    features, _, length = Q.line_features([text])
+    lines = np.frombuffer(batch.column("lines")[0].as_py(), "<f4").reshape(120, -1)
+    assert np.array_equal(lines, np.concatenate([features, length[:, None]], 1).astype("<f4"))
