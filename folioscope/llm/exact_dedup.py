@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text, stored
@@ -117,11 +117,14 @@ class CuckooIndex:
                 self.delete(key)
 
 
+def _digest() -> Column:
+    spaced = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
+    return F.unhex(F.sha2(spaced, 256))
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, digest (SHA-256 of the text with each run of white space made one space)."""
-    rows = id_and_text(docs)
-    spaced = F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")
-    return rows.select("doc_id", F.unhex(F.sha2(spaced, 256)).alias("digest"))
+    return id_and_text(docs).select("doc_id", _digest().alias("digest"))
 
 
 _GROUP = "digest binary, keep_id long, group_size long"
@@ -195,6 +198,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    gone = exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone_id"]), "left_anti")
+    """The rows of docs that stay, with all their columns. Only the rows that are copies go, not others of their doc_id."""
+    rows = docs.withColumn("_digest", _digest())
+    kept = exact_groups(docs)
+    gone = kept.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.unhex("text_sha256").alias("_gone_digest")).distinct()
+    same = rows["doc_id"].cast("long").eqNullSafe(gone["_gone_id"]) & (rows["_digest"] == gone["_gone_digest"])
+    return rows.join(gone, same, "left_anti").drop("_digest")

@@ -5,12 +5,12 @@ of the first collection and hash j of the second, so 32 minhashes make 64 tables
 texts share can make a shared table key, so the rest is dropped before the pairs are formed.
 
 Candidates are confirmed on full shingle sets without forming all pairs of a bucket:
-1. each text is compared with one pivot of its buckets (the smallest id), then with a second one (the largest id) in
+1. each text is compared with one pivot of its buckets (the smallest rep), then with a second one (the largest rep) in
    buckets that still hold several components;
 2. texts of buckets that still hold several components are joined by an exact prefix filter (shingles by document
    frequency, rarest first, with length and position bounds), across components only. It loses no link among them.
 
-Equal sets are one class from the start, so copies never form pairs. A pair at similarity 0.85 meets in a table with
+Equal sets are one class, named by a hash of the set (rep), from the start, so copies never form pairs. A pair at similarity 0.85 meets in a table with
 probability 0.9999.
 
 Defined results: null or blank text has n_shingles 0 and is linked with nothing. Rows with null doc_id keep
@@ -67,10 +67,19 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, pa.Array]]:
+    """What text_rows gives, with the marks of the same rows."""
+    for batch in batches:
+        at = 0
+        for ids, texts in text_rows([batch]):
+            yield ids, texts, batch.column("mark").slice(at, len(ids))
+            at += len(ids)
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = WordHash()
     none = np.zeros(0, np.uint64)
-    for ids, texts in text_rows(batches):
+    for ids, texts, marks in _marked(batches):
         sizes, keys, first, second = [], [], [], []
         for text in texts:
             distinct = shingles(SPACED.findall(ascii_lower(text)), known)
@@ -84,7 +93,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 first.append(none)
                 second.append(none)
-        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _lists(first), _lists(second)], names=["doc_id", "n_shingles", "set_key", "first", "second"])
+        yield pa.record_batch([pa.array(ids, pa.int64()), marks, pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _lists(first), _lists(second)], names=["doc_id", "mark", "n_shingles", "set_key", "first", "second"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,8 +103,13 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array([xxhash.xxh3_128_digest(r.tobytes()) for r in rows], pa.binary()), _lists(rows)], names=["doc_id", "set_key", "shingles"])
 
 
+def _mark(text: str) -> Column:
+    """Digest of a text, which tells rows with the same doc_id apart."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    return id_and_text(docs).mapInArrow(_sketch, "doc_id long, n_shingles long, set_key binary, first array<long>, second array<long>")
+    return id_and_text(docs).withColumn("mark", _mark("text")).mapInArrow(_sketch, "doc_id long, mark binary, n_shingles long, set_key binary, first array<long>, second array<long>")
 
 
 def _shared_cells(classes: DataFrame, column: str) -> DataFrame:
@@ -188,13 +202,13 @@ def near_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The stored sketches, and set_key to component of every class of equal sets."""
     sketch = stored(sketches(docs), "sketches")
     named = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stored(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("first").alias("first"), F.first("second").alias("second")), "classes")
+    classes = stored(named.groupBy("set_key").agg(F.xxhash64("set_key").alias("rep"), F.min("doc_id").alias("first_id"), F.first("first").alias("first"), F.first("second").alias("second")), "classes")
     members = bucket_members(classes)
 
-    wanted = members.select("rep").distinct().join(classes.select("rep", "set_key"), "rep")
-    texts = id_and_text(docs).join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    full = texts.mapInArrow(_sets, "doc_id long, set_key binary, shingles array<long>").withColumnRenamed("doc_id", "rep")
-    sets = stored(full.join(wanted, ["rep", "set_key"], "left_semi").dropDuplicates(["rep"]).select("rep", "shingles"), "sets")
+    wanted = members.select("rep").distinct().join(classes.select("rep", "set_key", F.col("first_id").alias("doc_id")), "rep")
+    texts = id_and_text(docs).join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    full = texts.mapInArrow(_sets, "doc_id long, set_key binary, shingles array<long>")
+    sets = stored(full.join(wanted, ["doc_id", "set_key"]).dropDuplicates(["rep"]).select("rep", "shingles"), "sets")
 
     star = members.where("rep <> low").groupBy(F.col("rep").alias("a")).agg(F.min("low").alias("b"))
     links = stored(confirmed(star, sets), "links")
@@ -207,20 +221,28 @@ def near_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = stored(prefix_pairs(sets.join(open_, "rep")), "prefix-pairs")
     links = links.unionByName(confirmed(pairs, sets))
     found = components(links)
-    mapped = classes.select("set_key", "rep").join(found, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
+    mapped = classes.select("set_key", "rep", "first_id").join(found, "rep", "left").withColumn("node", F.coalesce("component", "rep"))
+    least = mapped.groupBy("node").agg(F.min("first_id").alias("least"))
+    mapped = mapped.join(least, "node").select("set_key", F.col("least").alias("component"))
     return sketch, mapped
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row."""
+def _grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, mark, n_shingles, component_id, kept for every row."""
     sketch, mapped = near_components(docs)
-    joined = sketch.select("doc_id", "n_shingles", "set_key").join(mapped, "set_key", "left")
+    joined = sketch.select("doc_id", "mark", "n_shingles", "set_key").join(mapped, "set_key", "left")
     linked = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
-    out = joined.select("doc_id", "n_shingles", linked.alias("component_id"))
+    out = joined.select("doc_id", "mark", "n_shingles", linked.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def near_groups(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row."""
+    return _grouped(docs).drop("mark")
+
+
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    gone = near_groups(docs).where("NOT kept").select(F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone_id"], "left_anti")
+    """The rows of docs that stay, with all their columns. Only the rows that are copies go, not others of their doc_id."""
+    rows = docs.withColumn("_mark", _mark("text"))
+    gone = _grouped(docs).where("NOT kept").select(F.col("doc_id").alias("_gone_id"), F.col("mark").alias("_gone_mark")).distinct()
+    return rows.join(gone, (rows["doc_id"].cast("long") == gone["_gone_id"]) & (rows["_mark"] == gone["_gone_mark"]), "left_anti").drop("_mark")

@@ -32,6 +32,12 @@ def test_dropping_keeps_columns_and_one_of_each(docs, rows):
     assert set(left) == {digest(t) for _, t, *_ in rows} and len(left) == len(set(left))
 
 
+def test_dropping_takes_copies_and_not_their_namesakes(spark):
+    rows = [(None, "same"), (1, "same"), (None, "alone"), (5, "A"), (5, "B"), (3, "B")]
+    kept = X.drop_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, "same"), (None, "alone"), (5, "A"), (3, "B")], key=str)
+
+
 def test_change_index(spark, docs):
     rows = X.digests(docs).cache()
     index = X.build_index(rows)

@@ -94,3 +94,10 @@ def test_dropping(docs):
     kept = N.drop_near_copies(docs)
     assert kept.columns == docs.columns
     assert 304 not in {r.doc_id for r in kept.select("doc_id").collect()}
+
+
+def test_dropping_takes_copies_and_not_their_namesakes(spark):
+    other, text = (" ".join(f"{mark}{k}" for k in range(60)) for mark in "ab")
+    rows = [(5, other), (5, text), (3, text + " more"), (None, text)]
+    kept = N.drop_near_copies(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(5, other), (3, text + " more"), (None, text)], key=str)
