@@ -1,213 +1,279 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Counting. Documents are dealt to blocks of about BLOCK_CHARS characters. Every block lists its distinct words with
-their training counts; a window over each word adds them up and sends the total back to the blocks that use the word.
-So every word of the corpus counts, and no task or driver ever holds the vocabulary of the corpus.
+Counting. Every task numbers the words of its texts block by block (about BLOCK_BYTES of text each). A block then asks
+for the training counts of its distinct words, bigrams and trigrams: sorted lists, cut by hash into shards, go to the
+shards' tasks, which add the lists of all blocks up and send the totals back. So every n-gram of the whole corpus counts,
+those seen once too; no n-gram is pruned, no task or driver ever holds the corpus's table, and a frequent word is one
+entry a block. Words travel as strings; n-grams as hashes of so many bits that two of them meet with probability 1e-7.
 
-Model. Words above a share CORE of all training tokens (at most 1 / CORE of them) form n-grams; bigrams and trigrams
-above a share KEPT (at most 1 / KEPT of each) become arcs. Those bounds do not depend on the corpus, so the automaton
-can be broadcast. Probabilities are discounted counts; what the discount leaves over backs off, with weights that make
-each state's distribution sum to one. States are word histories; the failure arc of a state leads to the history one
-word shorter and costs its backoff weight. Unigrams are add-one over the whole vocabulary and one unknown word.
+Model. A hierarchy of Dirichlet priors: P(w) = (c(w) + 1) / (N + V + 1) and P(w | h) = (c(hw) + k P(w | h')) / (c(h) + k),
+where h' lacks the first word of h and k is PRIOR of h's length. As an automaton: a state for each history, an arc
+for each n-gram of training, and a failure arc from h to h' of weight k / (c(h) + k). Every state's distribution sums to
+one. A block builds the part of the automaton that its texts can reach.
 
-Scoring. One left-to-right pass over the words of a document carries the state and adds up log10 probabilities.
+Scoring. One left-to-right traversal carries the state and adds up log10 weights; all documents of a block step together.
+Long documents are cut where they are walked: two words fix the state, so a segment begins with the two before it.
 
 Defined results: null or blank text is the end token alone. With no training text every probability is one. Rows with
-the same doc_id are scored one by one.
+the same doc_id, null too, are scored one by one. Ties cannot arise: no result depends on an order.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+import xxhash
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_words, crc_mod, id_and_text, stored, text_rows
+from .common import byte_words, crc_mod, id_and_text, mixed, stored, text_rows
 
 END = b" "  # no word has a space
-BLOCK_CHARS = 16_000_000
-CORE = 1e-5
-PAIRED = 1e-4  # share of words that may form trigrams
-KEPT = 2e-6
-DISCOUNT = 0.5
-_BITS = 17  # 1 / CORE words and the end token fit
+BLOCK_BYTES = 12_000_000
+#: Entries (words and n-grams of blocks) that one shard's task adds up, on average.
+SHARD_ENTRIES = 3_000_000
+#: Prior weight of the shorter history, for histories of one and of two words.
+PRIOR = (2.0, 1.0)
+#: Hash bits beyond those that number all tokens.
+SPARE_BITS = 24
+SEGMENT = 1024
+
+
+def packed(values: np.ndarray) -> bytes:
+    """An array of integers, byte plane by byte plane, compressed: planes of zeros cost nothing."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(blob: bytes, kind) -> np.ndarray:
+    kind = np.dtype(kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
+def _join(words: list[bytes]) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b"\n".join(words))
 
 
-def _blocks(docs: DataFrame, folds: int, held: int) -> DataFrame:
-    rows = id_and_text(docs).withColumn("held_out", crc_mod(F.col("doc_id"), folds) == held)
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    return rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-chars // BLOCK_CHARS)))))
-
-
-def _raw(table: pa.Table) -> list[bytes]:
-    return pc.cast(table.column("text"), pa.binary()).to_pylist()
-
-
-def _vocabulary(table: pa.Table) -> pa.Table:
-    """block, word, n: the block's distinct words with their training counts (0: only held-out texts have it)."""
-    counts: Counter = Counter()
-    others: set[bytes] = set()
-    for text, held in zip(_raw(table), table.column("held_out").to_pylist(), strict=True):
-        words = byte_words(text)
-        (others if held else counts).update(words)
-        if not held:
-            counts[END] += 1
-    others.add(END)
-    others.difference_update(counts)
-    words = [*counts, *others]
-    block = table.column("block")[0].as_py()
-    return pa.table({"block": pa.array([block] * len(words), pa.int64()), "word": pa.array(words, pa.binary()), "n": pa.array([*counts.values(), *[0] * len(others)], pa.int64())})
-
-
-def count_words(blocks: DataFrame) -> DataFrame:
-    """Stored: block, word, c (training count in all blocks), lead (true in one of the word's blocks)."""
-    listed = blocks.groupBy("block").applyInArrow(_vocabulary, "block long, word binary, n long")
-    same = Window.partitionBy("word")
-    counted = listed.select("block", "word", F.sum("n").over(same).alias("c"), (F.col("block") == F.min("block").over(same)).alias("lead"))
-    return stored(counted, "word-counts")
-
-
-def _gram_counter(core: list[bytes], paired: int):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = {w: k for k, w in enumerate(core)}
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        end = ids[END]
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys, where = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-            return keys, np.bincount(where, np.concatenate([n for _, n in found])).astype(np.int64)
-
-        for _, texts in text_rows(batches, raw=True):
-            flat: list[int] = []
-            get = ids.get
-            for text in texts:
-                flat.append(-2)  # where a text begins; as a history it is the end token
-                flat += [get(w, -1) for w in byte_words(text)]
-                flat.append(end)
-            a = np.array(flat, np.int64)
-            history = np.where(a == -2, end, a)
-            two = (history[:-1] >= 0) & (a[1:] >= 0) & ~((a[:-1] == end) & (a[1:] == -2))
-            pairs = history[:-1][two] << _BITS | a[1:][two]
-            low = (history >= 0) & (history < paired)
-            three = low[:-2] & low[1:-1] & low[2:] & (a[1:-1] != -2) & (a[2:] != -2) & (a[:-2] != end) & (a[1:-1] != end)
-            triples = history[:-2][three] << 2 * _BITS | history[1:-1][three] << _BITS | a[2:][three] | 1 << 3 * _BITS
-            for keys in (pairs, triples):
-                found.append(np.unique(keys, return_counts=True))
-            if sum(len(k) for k, _ in found) > 3_000_000:
-                found = [merged()]
-        if found:
-            keys, counts = merged()
-            for at in range(0, len(keys), 200_000):
-                yield pa.record_batch([pa.array(keys[at : at + 200_000]), pa.array(counts[at : at + 200_000])], names=["gram", "n"])
-
-    return count
+def _split(blob: bytes, count: int) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(blob).split(b"\n") if count else []
+
+
+class _Numbers(dict):
+    """Numbers words as they come; the end token is 0."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+_BLOCK = "block long, n_tokens long, doc_ids array<long>, held array<boolean>, sizes array<long>, n_words long, words binary, ids binary"
+
+
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of _BLOCK: the documents of a block, its distinct words and all their numbers."""
+    part, made = TaskContext.get().partitionId(), 0
+    numbers, flat = _Numbers({END: 0}), array("I")
+    doc_ids, held, sizes = [], [], []
+    taken = 0
+
+    def block() -> pa.RecordBatch:
+        row = [part << 32 | made, len(flat), doc_ids, held, sizes, len(numbers), _join(list(numbers)), packed(np.frombuffer(flat, np.uint32))]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.binary()]
+        names = ["block", "n_tokens", "doc_ids", "held", "sizes", "n_words", "words", "ids"]
+        return pa.record_batch([pa.array([value], kind) for value, kind in zip(row, kinds, strict=True)], names=names)
+
+    for batch in batches:
+        marks, at = batch.column("held_out").to_pylist(), 0
+        for ids, texts in text_rows([batch], raw=True):
+            for doc_id, text in zip(ids, texts, strict=True):
+                before = len(flat)
+                flat.extend(map(numbers.__getitem__, byte_words(text)))
+                flat.append(0)
+                doc_ids.append(doc_id)
+                held.append(marks[at])
+                sizes.append(len(flat) - before)
+                at += 1
+                taken += len(text) + 1
+                if taken >= BLOCK_BYTES:
+                    yield block()
+                    numbers, flat, doc_ids, held, sizes = _Numbers({END: 0}), array("I"), [], [], []
+                    made, taken = made + 1, 0
+    if doc_ids:
+        yield block()
+
+
+class Grams:
+    """The distinct bigrams and trigrams of a block. ids: word numbers, each document ending in the end token 0, which is
+    also what stands before a document's first word."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, held: np.ndarray):
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes
+        ids = ids.astype(np.uint64)
+        before = np.empty_like(ids)
+        before[1:] = ids[:-1]
+        before[self.starts] = 0
+        training = np.repeat(~held, sizes)
+        self.pairs, place = np.unique(before << np.uint64(32) | ids, return_inverse=True)
+        self.pair_count = np.bincount(place, training, len(self.pairs)).astype(np.int64)
+        later = np.ones(len(ids), bool)
+        later[self.starts] = False
+        later = np.flatnonzero(later)
+        self.triples, first, where = np.unique(place[later - 1].astype(np.uint64) << np.uint64(32) | ids[later], return_index=True, return_inverse=True)
+        self.triple_count = np.bincount(where, training[later], len(self.triples)).astype(np.int64)
+        self.head = (self.triples >> np.uint64(32)).astype(np.int64)  # a trigram's first two words, as a pair's number
+        self.tail = place[later[first]]  # and its last two
+
+    def keys(self, word_hash: np.ndarray, bits: int) -> np.ndarray:
+        """Hashes of the pairs and then of the triples."""
+        low = np.uint64(0xFFFFFFFF)
+        pairs = mixed(mixed(word_hash[self.pairs >> np.uint64(32)]) + word_hash[self.pairs & low])
+        triples = mixed(mixed(pairs[self.head] + np.uint64(1)) + word_hash[self.triples & low])
+        return np.concatenate([pairs, triples]) >> np.uint64(64 - bits)
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def _opened(row: dict) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A block's words, their hashes, word numbers, tokens per document and marks of held-out documents."""
+    words = _split(row["words"], row["n_words"])
+    return words, _hashes(words), unpacked(row["ids"], np.uint32), np.array(row["sizes"], np.int64), np.array(row["held"], bool)
+
+
+def _cuts(keys: np.ndarray, bits: int, shard_bits: int) -> np.ndarray:
+    """Where each shard's part of sorted keys begins, and the end."""
+    marks = np.arange((1 << shard_bits) - 1, dtype=np.uint64) + np.uint64(1)
+    inner = np.searchsorted(keys, marks << np.uint64(bits - shard_bits))
+    return np.concatenate([[0], inner, [len(keys)]])
+
+
+_ASKED = "shard long, block long, n_words long, words binary, word_counts binary, grams binary, gram_counts binary"
+
+
+def _requests(bits: int, shard_bits: int):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                words, word_hash, ids, sizes, held = _opened(row)
+                grams = Grams(ids, sizes, held)
+                word_count = np.bincount(ids, np.repeat(~held, sizes), len(words)).astype(np.uint32)
+                by_word = np.argsort(word_hash, kind="stable")
+                keys = grams.keys(word_hash, bits)
+                by_gram = np.argsort(keys, kind="stable")
+                keys, counts = keys[by_gram], np.concatenate([grams.pair_count, grams.triple_count])[by_gram].astype(np.uint32)
+                word_cuts, gram_cuts = _cuts(word_hash[by_word], 64, shard_bits), _cuts(keys, bits, shard_bits)
+                rows = []
+                for shard in range(1 << shard_bits):
+                    at, to = gram_cuts[shard : shard + 2]
+                    own = by_word[word_cuts[shard] : word_cuts[shard + 1]]
+                    if to > at or len(own):
+                        rows.append((shard, row["block"], len(own), _join([words[w] for w in own.tolist()]), packed(word_count[own]), packed(np.diff(keys[at:to], prepend=np.uint64(0))), packed(counts[at:to])))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+                names = [c.split(" ")[0] for c in _ASKED.split(", ")]
+                yield pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    return ask
+
+
+_TOLD = "shard long, block long, word_totals binary, gram_totals binary, kinds long, tokens long"
+
+
+def _add_up(table: pa.Table) -> pa.Table:
+    """The totals of one shard for every block that asked. kinds and tokens of the shard stand in its first row."""
+    column = {c: table.column(c).to_pylist() for c in ("shard", "block", "n_words", "words", "word_counts", "grams", "gram_counts")}
+    listed = [_split(blob, n) for blob, n in zip(column["words"], column["n_words"], strict=True)]
+    words = pa.array([w for part in listed for w in part], pa.binary()).dictionary_encode()
+    at = words.indices.to_numpy().astype(np.int64)
+    word_totals = np.bincount(at, np.concatenate([unpacked(b, np.uint32) for b in column["word_counts"]]), len(words.dictionary)).astype(np.uint64)
+    keys = [np.cumsum(unpacked(b, np.uint64), dtype=np.uint64) for b in column["grams"]]
+    _, where = np.unique(np.concatenate(keys), return_inverse=True)
+    gram_totals = np.bincount(where, np.concatenate([unpacked(b, np.uint32) for b in column["gram_counts"]])).astype(np.uint64)
+    word_ends, gram_ends = np.cumsum(column["n_words"]), np.cumsum([len(k) for k in keys])
+    answers = [packed(word_totals[at[e - n : e]]) for e, n in zip(word_ends.tolist(), column["n_words"], strict=True)]
+    told = [packed(gram_totals[where[e - len(k) : e]]) for e, k in zip(gram_ends.tolist(), keys, strict=True)]
+    rest = [0] * (len(keys) - 1)
+    return pa.table(
+        {
+            "shard": pa.array(column["shard"], pa.int64()),
+            "block": pa.array(column["block"], pa.int64()),
+            "word_totals": pa.array(answers, pa.binary()),
+            "gram_totals": pa.array(told, pa.binary()),
+            "kinds": pa.array([int((word_totals > 0).sum()), *rest], pa.int64()),
+            "tokens": pa.array([int(word_totals.sum()), *rest], pa.int64()),
+        }
+    )
 
 
 class Automaton:
-    """The backoff automaton over core words 0..size-1. It holds log10 weights."""
-
-    def __init__(self, unigram: np.ndarray, total: int, kinds: int, grams: np.ndarray, counts: np.ndarray):
-        """unigram: training counts of the core words; total, kinds: tokens and distinct words in training."""
-        self.size = len(unigram)
-        norm = total + kinds + 1
-        self.unigram = [(int(c) + 1) / norm for c in unigram]
-        self.single = [math.log10(p) for p in self.unigram]
-        two = {(int(g) >> _BITS, int(g) & (1 << _BITS) - 1): int(n) for g, n in zip(grams, counts, strict=True) if not g >> 3 * _BITS}
-        three: dict[tuple[int, int], dict[int, int]] = {}
-        for g, n in zip(grams.tolist(), counts.tolist(), strict=True):
-            if g >> 3 * _BITS:
-                g -= 1 << 3 * _BITS
-                three.setdefault((g >> 2 * _BITS, g >> _BITS & (1 << _BITS) - 1), {})[g & (1 << _BITS) - 1] = n
-        follow: dict[int, dict[int, int]] = {}
-        for (a, b), n in two.items():
-            follow.setdefault(a, {})[b] = n
-        words = {a: k + 1 for k, a in enumerate(sorted(follow))}
-        pairs = {h: len(words) + 1 + k for k, h in enumerate(sorted(h for h in three if h in two))}
-        self.word_state = words
-        states = 1 + len(words) + len(pairs)
-        self.fail = [0] * states
-        self.backoff = [0.0] * states
-        self.arcs: dict[int, tuple[float, int]] = {}
-        bigram: dict[tuple[int, int], float] = {}
-        for a, state in words.items():
-            seen = int(unigram[a])
-            for b, n in follow[a].items():
-                bigram[a, b] = (n - DISCOUNT) / seen
-                self.arcs[state * self.size + b] = (math.log10(bigram[a, b]), pairs.get((a, b), words.get(b, 0)))
-            self.backoff[state] = self._left(sum(bigram[a, b] for b in follow[a]), sum(self.unigram[b] for b in follow[a]))
-        for (a, b), state in pairs.items():
-            self.fail[state] = words.get(b, 0)
-            given = {c: (n - DISCOUNT) / two[a, b] for c, n in three[a, b].items()}
-            for c, p in given.items():
-                self.arcs[state * self.size + c] = (math.log10(p), pairs.get((b, c), words.get(c, 0)))
-            lower = sum(self.word_probability(b, c, bigram) for c in given)
-            self.backoff[state] = self._left(sum(given.values()), lower)
-        self.to_root = list(self.backoff)
-        for state in range(len(words) + 1, states):
-            self.to_root[state] += self.backoff[self.fail[state]]
-
-    def word_probability(self, history: int, word: int, bigram: dict) -> float:
-        if (history, word) in bigram:
-            return bigram[history, word]
-        state = self.word_state.get(history, 0)
-        return 10 ** self.backoff[state] * self.unigram[word] if state else self.unigram[word]
-
-    @staticmethod
-    def _left(given: float, lower: float) -> float:
-        return math.log10(max(1 - given, 1e-9) / max(1 - lower, 1e-9))
-
-    def start(self, end: int) -> int:
-        return self.word_state.get(end, 0)
-
-    def score(self, words: list[int], end: int) -> float:
-        """Sum of log10 probabilities of words, numbers of core words; -1, another word, costs the way to the root (its
-        own unigram is left to the caller)."""
-        state, total, size = self.start(end), 0.0, self.size
-        arcs, fail, backoff, to_root, word_state, single = self.arcs.get, self.fail, self.backoff, self.to_root, self.word_state.get, self.single
-        for word in words:
-            if word < 0:
-                total += to_root[state]
-                state = 0
-                continue
-            while (arc := arcs(state * size + word)) is None:
-                if not state:
-                    arc = single[word], word_state(word, 0)
-                    break
-                total += backoff[state]
-                state = fail[state]
-            total += arc[0]
-            state = arc[1]
-        return total
-
-
-def train(blocks: DataFrame, counted: DataFrame) -> dict:
-    """What scoring needs: totals, core words and kept n-grams. Its size is bounded by CORE and KEPT."""
-    lead = counted.where("lead AND c > 0")
-    total, kinds = lead.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    core = sorted(((r["c"], bytes(r["word"])) for r in lead.where((F.col("c") >= max(2, CORE * total)) | (F.col("word") == F.lit(bytearray(END)))).select("word", "c").collect()), key=lambda r: (-r[0], r[1]))
-    if not any(w == END for _, w in core):
-        core.append((0, END))
-    words = [w for _, w in core]
-    paired = sum(1 for c, _ in core if c >= PAIRED * total)
-    training = blocks.where("NOT held_out").select("doc_id", "text")
-    grams = training.mapInArrow(_gram_counter(words, paired), "gram long, n long")
-    kept = grams.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= max(2, KEPT * total)).toArrow()
-    return {"total": int(total), "kinds": int(kinds), "words": words, "counts": np.array([c for c, _ in core]), "grams": kept.column("gram").to_numpy(), "n": kept.column("n").to_numpy()}
-
-
-@lru_cache(maxsize=1)
-def _built(held) -> tuple[Automaton, dict[bytes, int], int, int]:
-    model = held.value
-    automaton = Automaton(model["counts"], model["total"], model["kinds"], model["grams"], model["n"])
-    ids = {w: k for k, w in enumerate(model["words"])}
-    return automaton, ids, ids[END], model["total"] + model["kinds"] + 1
+    """Arcs as sorted keys (state, word) with weight and target. State 0 is the root, which has an arc for every word;
+    1 + w is the history of word w, and the states after those are histories of two words, by number of pair."""
+
+    def __init__(self, word_totals: np.ndarray, grams: Grams, gram_totals: np.ndarray, tokens: int, kinds: int):
+        low, wide = np.uint64(0xFFFFFFFF), np.uint64(32)
+        words, pairs = len(word_totals), len(grams.pairs)
+        first, second = (grams.pairs >> wide).astype(np.int64), (grams.pairs & low).astype(np.int64)
+        pair_totals, triple_totals = gram_totals[:pairs].astype(np.float64), gram_totals[pairs:].astype(np.float64)
+        word_totals = word_totals.astype(np.float64)
+        single = (word_totals + 1) / (tokens + kinds + 1)
+        two = (pair_totals + PRIOR[0] * single[second]) / (word_totals[first] + PRIOR[0])
+        three = (triple_totals + PRIOR[1] * two[grams.tail]) / (pair_totals[grams.head] + PRIOR[1])
+        self.single = np.log10(single)
+        self.fail = np.concatenate([np.zeros(1 + words, np.int64), 1 + second])
+        self.backoff = np.log10(np.concatenate([[1.0], PRIOR[0] / (word_totals + PRIOR[0]), PRIOR[1] / (pair_totals + PRIOR[1])]))
+        seen2, seen3 = np.flatnonzero(pair_totals), np.flatnonzero(triple_totals)
+        self.keys = np.concatenate([grams.pairs[seen2] + (np.uint64(1) << wide), grams.triples[seen3] + (np.uint64(1 + words) << wide)])
+        self.weight = np.log10(np.concatenate([two[seen2], three[seen3]]))
+        self.target = 1 + words + np.concatenate([seen2, grams.tail[seen3]])
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weights and next states: an arc if there is one, else failure arcs until there is."""
+        weight, target = np.zeros(len(state)), np.zeros(len(state), np.int64)
+        open_ = np.arange(len(state))
+        while len(open_):
+            now = state[open_]
+            root = now == 0
+            done = open_[root]
+            weight[done] += self.single[word[done]]
+            target[done] = 1 + word[done]
+            open_, now = open_[~root], now[~root]
+            key = now.astype(np.uint64) << np.uint64(32) | word[open_].astype(np.uint64)
+            at = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
+            hit = self.keys[at] == key if len(self.keys) else np.zeros(len(key), bool)
+            weight[open_[hit]] += self.weight[at[hit]]
+            target[open_[hit]] = self.target[at[hit]]
+            open_, now = open_[~hit], now[~hit]
+            weight[open_] += self.backoff[now]
+            state = state.copy()
+            state[open_] = self.fail[now]
+        return weight, target
+
+    def walk(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The weight of every token; documents are ids[start:end], each begun in the state after an end token."""
+        pieces = -(-(ends - starts) // SEGMENT)
+        number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        first = np.repeat(starts, pieces) + number * SEGMENT
+        size = np.minimum(np.repeat(ends, pieces) - first, SEGMENT)
+        order = np.argsort(-size, kind="stable")
+        first, size, number = first[order], size[order], number[order]
+        state = np.where(number == 0, 1, 0)
+        later = np.flatnonzero(number)
+        for back in (2, 1):
+            state[later] = self.step(state[later], ids[first[later] - back])[1]
+        out = np.empty(len(ids))
+        alive = np.searchsorted(-size, -np.arange(1, SEGMENT + 1), side="right")
+        for t in range(int(size.max(initial=0))):
+            at = first[: alive[t]] + t
+            out[at], state = self.step(state[: alive[t]], ids[at])
+        return out
 
 
 _SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -215,36 +281,29 @@ _SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score
 
 def score_documents(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Training leaves out fold `held`."""
-    blocks = _blocks(docs, folds, held)
-    counted = count_words(blocks)
-    model = train(blocks, counted)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(texts: pa.Table, words: pa.Table) -> pa.Table:
-        automaton, ids, end, norm = _built(shared)
-        listed = words.column("word").to_pylist()
-        local = {word: k for k, word in enumerate(listed)}
-        get = ids.get
-        core = np.array([get(word, -1) for word in listed], np.int64)
-        count = words.column("c").to_numpy()
-        single = np.log10((count + 1) / norm)
-        flat: list[int] = []
-        sizes, place, last = [], local.__getitem__, local[END]
-        for text in _raw(texts):
-            before = len(flat)
-            flat += map(place, byte_words(text))
-            flat.append(last)
-            sizes.append(len(flat) - before)
-        where = np.array(flat, np.int64)
-        ends = np.cumsum(sizes)
-        starts = ends - sizes
-        numbers, alone = core[where], single[where]
-        base = np.add.reduceat(alone, starts)
-        rest = np.add.reduceat(np.where(numbers < 0, alone, 0.0), starts)
-        known = np.add.reduceat((count[where] > 0).astype(np.int64), starts)
-        walked = [automaton.score(numbers[a:b].tolist(), end) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        columns = [texts.column("doc_id"), texts.column("held_out"), pa.array(sizes, pa.int64()), pa.array(known), pa.array(base), pa.array(rest + np.array(walked))]
+    rows = id_and_text(docs).withColumn("held_out", crc_mod(F.col("doc_id"), folds) == held)
+    blocks = stored(rows.mapInArrow(_encode, _BLOCK), "blocks")
+    entries = int(2 * (blocks.agg(F.sum("n_tokens")).first()[0] or 0))
+    bits = min(64, entries.bit_length() + SPARE_BITS)
+    shard_bits = max(0, -(-entries // SHARD_ENTRIES) - 1).bit_length()
+    asked = blocks.mapInArrow(_requests(bits, shard_bits), _ASKED)
+    told = stored(asked.groupBy("shard").applyInArrow(_add_up, _TOLD), "totals")
+    kinds, tokens = (int(x or 0) for x in told.agg(F.sum("kinds"), F.sum("tokens")).first())
+
+    def score(block: pa.Table, totals: pa.Table) -> pa.Table:
+        row = block.to_pylist()[0]
+        words, word_hash, ids, sizes, held_out = _opened(row)
+        grams = Grams(ids, sizes, held_out)
+        totals = totals.sort_by("shard")
+        word_totals, gram_totals = np.zeros(len(words), np.uint64), np.zeros(len(grams.pairs) + len(grams.triples), np.uint64)
+        word_totals[np.argsort(word_hash, kind="stable")] = np.concatenate([unpacked(b, np.uint64) for b in totals.column("word_totals").to_pylist()])
+        gram_totals[np.argsort(grams.keys(word_hash, bits), kind="stable")] = np.concatenate([unpacked(b, np.uint64) for b in totals.column("gram_totals").to_pylist()])
+        automaton = Automaton(word_totals, grams, gram_totals, tokens, kinds)
+        base = np.add.reduceat(automaton.single[ids], grams.starts)
+        known = np.add.reduceat((word_totals[ids] > 0).astype(np.int64), grams.starts)
+        total = np.add.reduceat(automaton.walk(ids, grams.starts, grams.ends), grams.starts)
+        columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(held_out), pa.array(sizes), pa.array(known), pa.array(base), pa.array(total)]
         return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    scored = blocks.groupBy("block").cogroup(counted.select("block", "word", "c").groupBy("block")).applyInArrow(score, _SCORE)
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model["total"]).cast("long").alias("train_tokens"), "base_score", "score")
+    scored = blocks.groupBy("block").cogroup(told.select("block", "shard", "word_totals", "gram_totals").groupBy("block")).applyInArrow(score, _SCORE)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

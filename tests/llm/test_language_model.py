@@ -13,86 +13,87 @@ from folioscope.llm import language_model as L
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
+END = " "
 
 
-def test_base_equals_brute_force_over_several_blocks(docs, rows, monkeypatch):
-    monkeypatch.setattr(L, "BLOCK_CHARS", 20_000)
-    words = [(d, [*WORD.findall((t or "").translate(LOWER)), " "]) for d, t, *_ in rows]
-    fold = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
-    counts = Counter(w for d, ws in words if not fold(d) for w in ws)
-    total, kinds = sum(counts.values()), len(counts)
-    want = sorted((d, fold(d), len(ws), sum(counts[w] > 0 for w in ws), total, round(sum(math.log10((counts[w] + 1) / (total + kinds + 1)) for w in ws), 6)) for d, ws in words)
-    found = L.score_documents(docs).collect()
-    assert sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in found) == want
-    assert all(r.score < 0 for r in found)
-
-
-def automaton(seed: int = 0):
-    """An automaton from the n-grams of a random text over six words, number 5 being the end."""
-    rng = random.Random(seed)
-    texts = [[rng.choice((0, 0, 1, 2, 3, 4)) for _ in range(rng.randint(0, 12))] for _ in range(60)]
-    one, two, three = Counter(), Counter(), Counter()
-    for t in texts:
-        w = [*t, 5]
-        one.update(w)
-        h = [5, *w]
-        two.update(zip(h, h[1:], strict=False))
-        three.update((a, b, c) for a, b, c in zip(h, h[1:], h[2:], strict=False) if b != 5)
-    keep2 = {k: n for k, n in two.items() if n >= 3}
-    keep3 = {k: n for k, n in three.items() if n >= 2 and 5 not in k[:1]}
-    bits = L._BITS
-    grams = [a << bits | b for a, b in keep2] + [1 << 3 * bits | a << 2 * bits | b << bits | c for a, b, c in keep3]
-    counts = list(keep2.values()) + list(keep3.values())
-    total = sum(one.values())
-    return L.Automaton(np.array([one[k] for k in range(6)]), total, 6, np.array(grams), np.array(counts)), total
-
-
-def test_every_state_is_a_distribution():
-    found, total = automaton()
-    unknown = 1 / (total + 7)
-
-    def walk(state: int, word: int) -> float:
-        log = 0.0
-        while (arc := found.arcs.get(state * found.size + word)) is None and state:
-            log += found.backoff[state]
-            state = found.fail[state]
-        return 10 ** (log + (arc[0] if arc else found.single[word]))
-
-    assert len(found.fail) > 8
-    for state in range(len(found.fail)):
-        known = sum(walk(state, w) for w in range(6))
-        assert known + 10 ** found.to_root[state] * unknown == pytest.approx(1, abs=1e-9)
-
-
-def test_score_is_the_sum_of_its_steps():
-    found, _ = automaton(4)
-    rng = random.Random(9)
-    for _ in range(50):
-        words = [rng.choice((0, 1, 2, 3, 4, -1)) for _ in range(rng.randint(0, 15))] + [5]
-        total, history = 0.0, [5]
-        for w in words:
-            if w < 0:
-                total += found.to_root[_state(found, history)]
-                history = []
-            else:
-                state = _state(found, history)
-                while (arc := found.arcs.get(state * found.size + w)) is None and state:
-                    total += found.backoff[state]
-                    state = found.fail[state]
-                total += arc[0] if arc else found.single[w]
-                history.append(w)
-        assert found.score(words, 5) == pytest.approx(total)
-
-
-def _state(found: L.Automaton, history: list[int]) -> int:
-    """The state of a history, from its last two words alone."""
-    if not history:
-        return 0
-    last = found.word_state.get(history[-1], 0)
-    if len(history) > 1 and (before := found.word_state.get(history[-2], 0)):
-        arc = found.arcs.get(before * found.size + history[-1])
-        return arc[1] if arc else last
-    return last
+def fold(doc_id) -> bool:
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 7 == 2
+
+
+class Brute:
+    """The model by its formulas, over all training texts at once."""
+
+    def __init__(self, rows):
+        self.words = [(d, [*WORD.findall((t or "").translate(LOWER)), END]) for d, t in rows]
+        self.one, self.two, self.three = Counter(), Counter(), Counter()
+        for d, ws in self.words:
+            if not fold(d):
+                h = [END, *ws]
+                self.one.update(ws)
+                self.two.update(zip(h, h[1:], strict=False))
+                self.three.update(zip(h, h[1:], h[2:], strict=False))
+        self.total, self.kinds = sum(self.one.values()), len(self.one)
+
+    def p(self, word, history):
+        if not history:
+            return (self.one[word] + 1) / (self.total + self.kinds + 1)
+        lower = self.p(word, history[1:])
+        seen, whole = (self.two[*history, word], self.one[history[0]]) if len(history) == 1 else (self.three[*history, word], self.two[tuple(history)])
+        k = L.PRIOR[len(history) - 1]
+        return (seen + k * lower) / (whole + k)
+
+    def row(self, doc_id, ws):
+        h = [END, *ws]
+        base = sum(math.log10(self.p(w, ())) for w in ws)
+        score = sum(math.log10(self.p(w, h[max(0, k - 1) : k + 1])) for k, w in enumerate(ws))
+        return doc_id, fold(doc_id), len(ws), sum(self.one[w] > 0 for w in ws), self.total, round(base, 6), round(score, 6)
+
+    def rows(self):
+        return sorted((self.row(*r) for r in self.words), key=str)
+
+
+def got(frame):
+    return sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in frame.collect()), key=str)
+
+
+@pytest.mark.parametrize("block,shard,segment", [(20_000, 700, 7), (1 << 30, 1 << 30, 1024)])
+def test_equals_brute_force(docs, rows, monkeypatch, block, shard, segment):
+    """Base columns and the model's score, over several blocks, shards and segments, and over one."""
+    for name, value in (("BLOCK_BYTES", block), ("SHARD_ENTRIES", shard), ("SEGMENT", segment)):
+        monkeypatch.setattr(L, name, value)
+    assert got(L.score_documents(docs)) == Brute([(d, t) for d, t, *_ in rows]).rows()
+
+
+def test_every_history_is_a_distribution():
+    rng = random.Random(0)
+    texts = [" ".join(rng.choice("aaabcde") for _ in range(rng.randint(0, 12))) for _ in range(60)]
+    model = Brute([(k, t) for k, t in enumerate(texts)])
+    words = [*"abcde", END]
+    for history in [(), *((a,) for a in words), *((a, b) for a in words for b in "abcde")]:
+        assert sum(model.p(w, history) for w in words) + model.p("unseen", history) == pytest.approx(1)
+
+
+def test_a_passage_seen_twice_scores_apart(spark):
+    """What occurs twice is an arc at any size of the corpus: nothing is pruned by its share."""
+    rng = random.Random(2)
+    text = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    free = [k for k in range(3000) if not fold(k)]
+    rows = [(k, text(100)) for k in free[:1500]]
+    held = [k for k in range(3000) if fold(k)][:2]
+    rows += [(free[1500], rows[0][1]), (held[0], rows[0][1]), (held[1], text(100))]
+    found = {r.doc_id: r for r in L.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    gain = lambda d: (found[d].score - found[d].base_score) / found[d].n_tokens
+    assert gain(held[0]) > 2 and gain(held[1]) < 0.1 and gain(free[0]) > gain(free[1])
+
+
+def test_packing_round_trip():
+    for values in (np.array([], np.uint64), np.array([1, 2**63, 5], np.uint64)):
+        assert L.unpacked(L.packed(values), np.uint64).tolist() == values.tolist()
+
+
+def test_null_and_repeated_ids(spark):
+    rows = [(None, "a b c"), (None, "a b"), (1, "a b c"), (1, "x"), (1, "x"), (2, None)]
+    assert got(L.score_documents(spark.createDataFrame(rows, "doc_id long, text string"))) == Brute(rows).rows()
 
 
 def test_empty_table(no_docs):
@@ -100,6 +101,6 @@ def test_empty_table(no_docs):
 
 
 def test_nothing_to_learn_from(spark):
-    only = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2)
+    only = next(k for k in range(100) if fold(k))
     (row,) = L.score_documents(spark.createDataFrame([(only, "a b")], "doc_id long, text string")).collect()
-    assert row.train_tokens == 0 and row.n_known == 0 and row.n_tokens == 3
+    assert row.train_tokens == 0 and row.n_known == 0 and row.n_tokens == 3 and row.score == row.base_score == 0
