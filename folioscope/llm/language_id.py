@@ -6,7 +6,9 @@ training folds, chosen by a hash of doc_id. The matrix of log probabilities (lan
 a batch is scored as a sparse matrix (bucket numbers and document offsets) times it.
 
 Defined results: null text and text without a letter are `und` with score 0. Without any training label every
-document is `und`. Ties go to the language that is first in the alphabet. Rows with the same doc_id are scored one by one.
+document is `und`. Ties go to the language that is first in the alphabet. Rows with the same doc_id, null too, are scored
+one by one, and a row's result does not depend on the rows scored with it. Labels are meant to be languages: the model
+holds a row of BUCKETS numbers for each distinct lang, and more than MOST_LANGUAGES of them are an error.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from .common import crc_mod, id_and_text, text_rows
 
 BUCKETS = 1 << 15
 PER_LANGUAGE = 4000
+#: Distinct labels up to which a model is built (64 MB of matrix).
+MOST_LANGUAGES = 512
 #: Evidence of about so many characters counts in full for the score; more does not make it surer.
 SURE_CHARS = 60
 
@@ -34,7 +38,7 @@ def _letters() -> np.ndarray:
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bucket numbers (three rows, for n = 1, 2, 3), where each text starts, and its count of letters."""
-    padded = [f" {t.lower()}  " for t in texts]
+    padded = [f"  {t.lower()} " for t in texts]  # two blanks before the next text: no n-gram holds letters of two texts
     codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32)
     starts = np.concatenate([[0], np.cumsum([len(p) for p in padded])[:-1]])
     is_letter = _letters()[codes]
@@ -68,7 +72,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, folds: int = 4, held: int = 2) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages in order, their log priors, and log probabilities (languages x BUCKETS)."""
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_mod(F.col("doc_id"), folds) != held))
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one row a language
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} distinct labels: lang does not name languages")
     langs = sorted(sizes)
     if not langs:
         return [], np.zeros(0), np.zeros((0, BUCKETS), np.float32)

@@ -37,8 +37,8 @@ END = b" "  # no word has a space
 BLOCK_BYTES = 12_000_000
 #: Entries (words and n-grams of blocks) that one shard's task adds up, on average.
 SHARD_ENTRIES = 3_000_000
-#: Prior weight of the shorter history, for histories of one and of two words.
-PRIOR = (2.0, 1.0)
+#: Prior weight of the shorter history, for histories of one and of two words (tried on held-out texts).
+PRIOR = (100.0, 4.0)
 #: Hash bits beyond those that number all tokens.
 SPARE_BITS = 24
 SEGMENT = 1024
@@ -75,7 +75,7 @@ class _Numbers(dict):
 _BLOCK = "block long, n_tokens long, doc_ids array<long>, held array<boolean>, sizes array<long>, n_words long, words binary, ids binary"
 
 
-def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
     """Rows of _BLOCK: the documents of a block, its distinct words and all their numbers."""
     part, made = TaskContext.get().partitionId(), 0
     numbers, flat = _Numbers({END: 0}), array("I")
@@ -100,7 +100,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sizes.append(len(flat) - before)
                 at += 1
                 taken += len(text) + 1
-                if taken >= BLOCK_BYTES:
+                if taken >= block_bytes:
                     yield block()
                     numbers, flat, doc_ids, held, sizes = _Numbers({END: 0}), array("I"), [], [], []
                     made, taken = made + 1, 0
@@ -217,18 +217,18 @@ class Automaton:
     """Arcs as sorted keys (state, word) with weight and target. State 0 is the root, which has an arc for every word;
     1 + w is the history of word w, and the states after those are histories of two words, by number of pair."""
 
-    def __init__(self, word_totals: np.ndarray, grams: Grams, gram_totals: np.ndarray, tokens: int, kinds: int):
+    def __init__(self, word_totals: np.ndarray, grams: Grams, gram_totals: np.ndarray, tokens: int, kinds: int, prior: tuple[float, float] = PRIOR):
         low, wide = np.uint64(0xFFFFFFFF), np.uint64(32)
         words, pairs = len(word_totals), len(grams.pairs)
         first, second = (grams.pairs >> wide).astype(np.int64), (grams.pairs & low).astype(np.int64)
         pair_totals, triple_totals = gram_totals[:pairs].astype(np.float64), gram_totals[pairs:].astype(np.float64)
         word_totals = word_totals.astype(np.float64)
         single = (word_totals + 1) / (tokens + kinds + 1)
-        two = (pair_totals + PRIOR[0] * single[second]) / (word_totals[first] + PRIOR[0])
-        three = (triple_totals + PRIOR[1] * two[grams.tail]) / (pair_totals[grams.head] + PRIOR[1])
+        two = (pair_totals + prior[0] * single[second]) / (word_totals[first] + prior[0])
+        three = (triple_totals + prior[1] * two[grams.tail]) / (pair_totals[grams.head] + prior[1])
         self.single = np.log10(single)
         self.fail = np.concatenate([np.zeros(1 + words, np.int64), 1 + second])
-        self.backoff = np.log10(np.concatenate([[1.0], PRIOR[0] / (word_totals + PRIOR[0]), PRIOR[1] / (pair_totals + PRIOR[1])]))
+        self.backoff = np.log10(np.concatenate([[1.0], prior[0] / (word_totals + prior[0]), prior[1] / (pair_totals + prior[1])]))
         seen2, seen3 = np.flatnonzero(pair_totals), np.flatnonzero(triple_totals)
         self.keys = np.concatenate([grams.pairs[seen2] + (np.uint64(1) << wide), grams.triples[seen3] + (np.uint64(1 + words) << wide)])
         self.weight = np.log10(np.concatenate([two[seen2], three[seen3]]))
@@ -256,12 +256,12 @@ class Automaton:
             state[open_] = self.fail[now]
         return weight, target
 
-    def walk(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def walk(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, segment: int = SEGMENT) -> np.ndarray:
         """The weight of every token; documents are ids[start:end], each begun in the state after an end token."""
-        pieces = -(-(ends - starts) // SEGMENT)
+        pieces = -(-(ends - starts) // segment)
         number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        first = np.repeat(starts, pieces) + number * SEGMENT
-        size = np.minimum(np.repeat(ends, pieces) - first, SEGMENT)
+        first = np.repeat(starts, pieces) + number * segment
+        size = np.minimum(np.repeat(ends, pieces) - first, segment)
         order = np.argsort(-size, kind="stable")
         first, size, number = first[order], size[order], number[order]
         state = np.where(number == 0, 1, 0)
@@ -269,7 +269,7 @@ class Automaton:
         for back in (2, 1):
             state[later] = self.step(state[later], ids[first[later] - back])[1]
         out = np.empty(len(ids))
-        alive = np.searchsorted(-size, -np.arange(1, SEGMENT + 1), side="right")
+        alive = np.searchsorted(-size, -np.arange(1, segment + 1), side="right")
         for t in range(int(size.max(initial=0))):
             at = first[: alive[t]] + t
             out[at], state = self.step(state[: alive[t]], ids[at])
@@ -279,13 +279,15 @@ class Automaton:
 _SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def score_documents(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
+def score_documents(
+    docs: DataFrame, folds: int = 7, held: int = 2, prior: tuple[float, float] = PRIOR, block_bytes: int = BLOCK_BYTES, shard_entries: int = SHARD_ENTRIES, segment: int = SEGMENT
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Training leaves out fold `held`."""
     rows = id_and_text(docs).withColumn("held_out", crc_mod(F.col("doc_id"), folds) == held)
-    blocks = stored(rows.mapInArrow(_encode, _BLOCK), "blocks")
+    blocks = stored(rows.mapInArrow(lambda batches: _encode(batches, block_bytes), _BLOCK), "blocks")
     entries = int(2 * (blocks.agg(F.sum("n_tokens")).first()[0] or 0))
     bits = min(64, entries.bit_length() + SPARE_BITS)
-    shard_bits = max(0, -(-entries // SHARD_ENTRIES) - 1).bit_length()
+    shard_bits = max(0, -(-entries // shard_entries) - 1).bit_length()
     asked = blocks.mapInArrow(_requests(bits, shard_bits), _ASKED)
     told = stored(asked.groupBy("shard").applyInArrow(_add_up, _TOLD), "totals")
     kinds, tokens = (int(x or 0) for x in told.agg(F.sum("kinds"), F.sum("tokens")).first())
@@ -298,10 +300,10 @@ def score_documents(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame
         word_totals, gram_totals = np.zeros(len(words), np.uint64), np.zeros(len(grams.pairs) + len(grams.triples), np.uint64)
         word_totals[np.argsort(word_hash, kind="stable")] = np.concatenate([unpacked(b, np.uint64) for b in totals.column("word_totals").to_pylist()])
         gram_totals[np.argsort(grams.keys(word_hash, bits), kind="stable")] = np.concatenate([unpacked(b, np.uint64) for b in totals.column("gram_totals").to_pylist()])
-        automaton = Automaton(word_totals, grams, gram_totals, tokens, kinds)
+        automaton = Automaton(word_totals, grams, gram_totals, tokens, kinds, prior)
         base = np.add.reduceat(automaton.single[ids], grams.starts)
         known = np.add.reduceat((word_totals[ids] > 0).astype(np.int64), grams.starts)
-        total = np.add.reduceat(automaton.walk(ids, grams.starts, grams.ends), grams.starts)
+        total = np.add.reduceat(automaton.walk(ids, grams.starts, grams.ends, segment), grams.starts)
         columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(held_out), pa.array(sizes), pa.array(known), pa.array(base), pa.array(total)]
         return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 

@@ -38,6 +38,46 @@ def test_prediction_ignores_other_columns(spark, docs):
     assert sorted(map(tuple, I.identify(docs).collect())) == sorted(map(tuple, I.identify(renamed).collect()))
 
 
+def test_a_prediction_depends_on_its_own_text_alone(docs, rows):
+    """Bit for bit the same alone, and in any batch."""
+    model = I.train(docs)
+    texts = ["hello there", "xyz", "", "qrs tuv", *(t or "" for _, t, *_ in rows[:50])]
+    alone = [tuple(x[0] for x in I.predict([t], model)) for t in texts]
+    for batch in (texts, texts[::-1]):
+        found = dict(zip(batch, zip(*I.predict(batch, model), strict=True), strict=True))
+        assert [found[t] for t in texts] == alone
+
+
+def brute_language(text, model):
+    """Naive Bayes over the n-grams of one text, each hashed by itself in whole numbers."""
+    langs, prior, weights = model
+    cleaned = "".join(c if c.isalpha() else " " for c in f"  {text.lower()} ")
+    if not cleaned.strip():
+        return "und"
+    mask, shift = 0xFFFFFFFF, 32 - I.BUCKETS.bit_length() + 1
+    totals = np.array(prior, float)
+    for k in range(len(cleaned)):
+        a, b, c = (ord(x) for x in (cleaned + "  ")[k : k + 3])
+        one = a * 0x9E3779B1 & mask
+        two = ((one ^ b) * 0x85EBCA6B & mask) + 1 & mask
+        three = ((two ^ c) * 0xC2B2AE35 & mask) + 2 & mask
+        for bucket in (one >> shift, two >> shift, three >> shift):
+            totals += weights[:, bucket]
+    return langs[int(totals.argmax())]
+
+
+def test_language_query_equals_brute_force(docs, rows):
+    model = I.train(docs)
+    want = sorted((d, brute_language(t or "", model)) for d, t, *_ in rows)
+    assert sorted((r.doc_id, r.lang_pred) for r in I.identify(docs).collect()) == want
+
+
+def test_too_many_labels(docs, monkeypatch):
+    monkeypatch.setattr(I, "MOST_LANGUAGES", 1)
+    with pytest.raises(ValueError):
+        I.train(docs)
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(2)
     transition = rng.normal(size=(2, 2))

@@ -57,11 +57,10 @@ def got(frame):
 
 
 @pytest.mark.parametrize("block,shard,segment", [(20_000, 700, 7), (1 << 30, 1 << 30, 1024)])
-def test_equals_brute_force(docs, rows, monkeypatch, block, shard, segment):
+def test_equals_brute_force(docs, rows, block, shard, segment):
     """Base columns and the model's score, over several blocks, shards and segments, and over one."""
-    for name, value in (("BLOCK_BYTES", block), ("SHARD_ENTRIES", shard), ("SEGMENT", segment)):
-        monkeypatch.setattr(L, name, value)
-    assert got(L.score_documents(docs)) == Brute([(d, t) for d, t, *_ in rows]).rows()
+    found = L.score_documents(docs.coalesce(1), block_bytes=block, shard_entries=shard, segment=segment)
+    assert got(found) == Brute([(d, t) for d, t, *_ in rows]).rows()
 
 
 def test_every_history_is_a_distribution():
