@@ -36,14 +36,15 @@ def test_base_equals_brute_force(rows):
 def test_network_recall_and_false_alarms():
     network = S.trained()
     texts, spans, labels = S.labelled_findings(600, seed=77)
-    found = network.score(S.windows(texts, spans)) >= network.threshold
+    found = network.score(*S.windows(texts, spans)) >= network.threshold
     assert found[labels == 1].mean() >= 0.95 and found[labels == 0].mean() <= 0.05
 
 
 def test_gradient():
     """The fitted direction is that of finite differences."""
     texts, spans, labels = S.labelled_findings(64, seed=1)
-    x = S.windows(texts, spans)
+    x, first = S.windows(texts, spans)
+    labels = np.repeat(labels, np.diff(np.append(first, len(x))))
     network = S.Network()
     loss = lambda: float(np.mean(np.logaddexp(0, network.raw(x)) - labels * network.raw(x)))
     before = loss()
@@ -66,3 +67,52 @@ def test_model_spans_do_not_touch_base_spans():
     assert all(e <= a or b <= s for s, e in S.other_candidates(text, base) for a, _, b in base)
     kinds = [f["kind"] for f in S.scan_texts([text], S.trained())[0]]
     assert kinds == ["model", "assign"]
+
+
+def test_threshold_keeps_the_recall_on_held_back_findings():
+    network = S.trained()
+    texts, spans, labels = S.labelled_findings()
+    cut = len(spans) * 3 // 4
+    found = network.score(*S.windows(texts, spans[cut:])) >= network.threshold
+    assert found[labels[cut:] == 1].mean() >= S.RECALL
+
+
+def test_windows_cover_a_long_candidate():
+    """Every character of a long run is in a window, and a key anywhere in it raises the run's score."""
+    inside = S.WIDTH - 2 * S.CONTEXT
+    for size in (inside, inside + 1, 64, 155, 1000):
+        text = "x " + "a" * size + " y"
+        x, first = S.windows([text], [(0, 2, 2 + size)])
+        assert first.tolist() == [0] and len(x) == (1 if size <= inside else -(-(size - inside) // S.STRIDE) + 1)
+    path = "/".join(["folder", "another", "things", "reports"] * 6) + "/1"
+    key = "q8Zr2Lw0Vb7Nc5Xk1Td9Pf3Hs6Jm4GyA9x"
+    network = S.trained()
+    middle = path[:80] + key + path[80:]
+    plain, hidden = (network.score(*S.windows([t], [(0, 0, len(t))]))[0] for t in (path, middle))
+    assert hidden > plain
+
+
+def test_spans_of_the_query_equal_brute_force(spark, rows):
+    """Every run of key characters, judged alone with no batch around it."""
+    network = S.trained()
+    table = [*((1000 + k, t) for k, t in enumerate(PLANTED)), *((d, t) for d, t, *_ in rows if d != 307), (2000, "see " + "ab9-" * 40 + " and Xk1Td9Pf3Hs6Jm4GyQ8Zr2Lw0Vb7Nc5")]
+    found = {r.doc_id: [(f.start, f.kind, f.end) for f in r.findings] for r in S.scan(spark.createDataFrame(table, "doc_id long, text string")).collect()}
+    for doc_id, text in table:
+        text = text or ""
+        want = [(a, S.KINDS[k], b) for a, k, b in brute(text)]
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}={0,2}", text):
+            a, b = m.span()
+            free = all(e <= a or b <= s for s, _, e in want if _ != "model")
+            if re.search("[0-9]", m[0]) and free and network.score(*S.windows([text], [(0, a, b)]))[0] >= network.threshold:
+                want.append((a, "model", b))
+        assert found[doc_id] == sorted(want, key=lambda f: (f[0], S.KINDS.index(f[1])))
+    assert any(f[1] == "model" for f in found[2000])
+
+
+def test_many_candidates_take_linear_time():
+    import time
+
+    text = " ".join("token=abcdefabcdef12 " + "ab9-" * 6 for _ in range(20_000))
+    began = time.time()
+    assert len(S.other_candidates(text, S.base_matches(text))) == 20_000
+    assert time.time() - began < 5
