@@ -53,6 +53,12 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def row_key(doc_id, text):
+    """128 bits that tell rows apart by doc_id (null is one of its own) and text (null: empty). Rows with one key are
+    the same in both, so whatever is found for the key holds for each of them."""
+    return F.unhex(F.md5(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("null")), F.coalesce(text, F.lit("")))))
+
+
 def ascii_lower(text: str) -> str:
     return text.lower() if text.isascii() else text.translate(_UPPER)
 

@@ -14,7 +14,7 @@ def words(text):
 
 
 def brute(rows, items):
-    out = {}
+    out = []
     for doc_id, text, *_ in rows:
         w = words(text)
         hit, found = set(), set()
@@ -26,9 +26,12 @@ def brute(rows, items):
                 if tuple(w[i : i + n]) in windows:
                     hit.update(range(i, i + n))
                     found.add(str(item_id))
-        old = out.get(doc_id, (0, 0, 0, []))
-        out[doc_id] = max(old, (len(w), len(hit), len(found), sorted(found)))
-    return out
+        out.append((doc_id, len(w), len(hit), len(found), sorted(found)))
+    return sorted(out, key=str)
+
+
+def got(frame):
+    return sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, list(r.item_ids)) for r in frame.collect()), key=str)
 
 
 def test_equals_brute_force(spark, rows):
@@ -41,17 +44,16 @@ def test_equals_brute_force(spark, rows):
     items.append((17, "the the the the the the the the the the the"))
     table = spark.createDataFrame([*rows, *extra], "doc_id long, text string, lang string, source string, n_chars long")
     found = D.contamination(table, spark.createDataFrame(items, "item_id long, text string"))
-    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, list(r.item_ids)) for r in found.collect()}
-    assert got == brute([*rows, *extra], items)
-    assert any(v[1] for v in got.values())
+    want = brute([*rows, *extra], items)
+    assert got(found) == want
+    assert any(v[2] for v in want)
 
 
 def test_joins_without_broadcast(spark, rows, monkeypatch):
-    monkeypatch.setattr(D, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(D, "BROADCAST_BYTES", -1)
     items = spark.createDataFrame([(1, " ".join(words(rows[3][1])[:12])), (2, "a b c")], "item_id long, text string")
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, list(r.item_ids)) for r in D.contamination(table, items).collect()}
-    assert got == brute(rows, [(1, " ".join(words(rows[3][1])[:12])), (2, "a b c")])
+    assert got(D.contamination(table, items)) == brute(rows, [(1, " ".join(words(rows[3][1])[:12])), (2, "a b c")])
 
 
 def test_clashing_columns_and_dropping(spark, docs, no_docs):
@@ -66,3 +68,21 @@ def test_plan_is_native(spark, docs):
     items = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "item_id long, text string")
     plan = D.contamination(docs, items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_null_and_repeated_ids_are_judged_by_their_own_text(spark):
+    item = " ".join(f"w{k}" for k in range(12))
+    other = " ".join(f"v{k}" for k in range(12))
+    rows = [(None, item), (None, "clean words"), (None, item), (7, f"x {item} y"), (7, f"{other} z"), (7, "clean"), (8, None), (9, item), (9, item)]
+    table, items = spark.createDataFrame(rows, "doc_id long, text string"), [(1, item), (2, other)]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    assert got(D.contamination(table, frame)) == brute(rows, items)
+    kept = sorted(map(tuple, D.drop_contaminated(table, frame).collect()), key=str)
+    assert kept == sorted([(None, "clean words"), (7, "clean"), (8, None)], key=str)
+
+
+def test_a_window_of_many_items(spark):
+    text = " ".join(f"w{k}" for k in range(10))
+    items = [(k, f"{text} end{k}") for k in range(300)]
+    found = D.contamination(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert got(found) == brute([(1, text)], items)
