@@ -2,27 +2,37 @@
 
 The hash of every word pair of every document is joined to the places of the templates' word pairs. A match votes for
 the diagonal (place in the document less place in the template). Neighbouring diagonals merge, so that a few words
-more or less in a copy do not split it; spans with enough votes are verified on the words. Short phrases must have all
-votes on one diagonal and equal words; long notices may differ in some words.
-
-Defined results: null text has no words. Rows with the same doc_id are one document (n_words of the longest, spans of
-all). The templates are a fixed table of a few hundred word pairs, which bounds the broadcast.
+more or less in a copy do not split it; a diagonal is a span by itself, too. Spans with enough votes are verified word by word in order: a phrase must be
+equal, a notice may be few edits away (words put in, left out or changed), fewer the shorter it is; its score is one less
+the edits' share of the longer side. Texts are split once; a fixed bit table of the templates' pairs leaves a few places
+of each text, and only texts with a span are read again.
+
+Defined results: one row for each row of the documents. Rows are told apart by doc_id and text (row_key), so null and
+repeated doc_ids are judged text by text. Null text has no words. Ties among spans go by place and then by label; their
+order changes no result. The templates are a fixed table of under two thousand word pairs, which bounds the broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, stored
-from .grams import gram_hashes, word_array
+from .common import ascii_lower, id_and_text, row_key, stored
+from .grams import WORD, gram_hashes, word_array
 
 GRAM = 2
 #: Diagonals this close are one span.
 NEAR = 2
-#: Share of a notice's word pairs that must vote, and of its words that must be in the span.
+#: Share of a notice's word pairs that must vote.
 VOTES = 0.6
-WORDS = 0.87
+#: A notice of n words may be (n - FIRM) / PER_EDIT edits away.
+FIRM = 5
+PER_EDIT = 4
+#: Notices with so many pairs take no notice of diagonals with a single vote.
+LONG = 30
+_BITS = 16
 
 # Phrases of the contract.
 PHRASES = [
@@ -32,57 +42,139 @@ PHRASES = [
 ]
 # Opening words of well-known public licence notices, with labels of this module's own.
 NOTICES = [
-    ("agpl-notice", "gnu affero general public license"),
-    ("apache-notice", "licensed under the apache license version 2 0"),
-    ("bsd-notice", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("cc-by-nc-notice", "licensed under cc by nc 4 0"),
-    ("cc-by-sa-notice", "licensed under cc by sa 4 0"),
-    ("cc-notice", "licensed under a creative commons attribution 4 0 international license"),
-    ("gpl-notice", "this work is licensed under the gnu general public license version 3"),
-    ("isc-notice", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("mit-notice", "released under the mit license"),
-    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("mpl-notice", "subject to the terms of the mozilla public license v 2 0"),
+    ("agpl-notice", "GNU Affero General Public License"),
+    ("apache-notice", "Licensed under the Apache License, Version 2.0"),
+    ("bsd-notice", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("cc-by-nc-notice", "licensed under CC BY-NC 4.0"),
+    ("cc-by-sa-notice", "licensed under CC BY-SA 4.0"),
+    ("cc-notice", "licensed under a Creative Commons Attribution 4.0 International License"),
+    ("gpl-notice", "This work is licensed under the GNU General Public License version 3"),
+    ("isc-notice", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("mit-notice", "Released under the MIT License"),
+    ("mit-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("mpl-notice", "subject to the terms of the Mozilla Public License, v. 2.0"),
+]
+# Whole texts of well-known public licences and licence headers.
+TEXTS = [
+    (
+        "apache-header",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
+        the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by
+        applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
+        governing permissions and limitations under the License.""",
+    ),
+    (
+        "bsd-full",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice,
+        this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+        distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+        WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+        PURPOSE ARE DISCLAIMED.""",
+    ),
+    (
+        "gpl-header",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+        version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+        implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
+        details. You should have received a copy of the GNU General Public License along with this program.""",
+    ),
+    (
+        "isc-full",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS
+        PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+        WARRANTIES OF MERCHANTABILITY AND FITNESS.""",
+    ),
+    (
+        "mit-full",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+        persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice
+        and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS
+        PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+    ),
+    (
+        "mpl-header",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    ),
 ]
 
 
-def templates(spark) -> DataFrame:
+def template_words() -> list[tuple[str, bool, list[str]]]:
+    """label, whether it is a phrase, words."""
+    split = lambda text: re.findall(WORD, ascii_lower(text))
+    return [(label, True, split(text)) for label, text in PHRASES] + [(label, False, split(text)) for label, text in NOTICES + TEXTS]
+
+
+def templates(spark: SparkSession) -> DataFrame:
     """template, label, exact, words, at, hash: one row per word pair of each template."""
-    rows = [(k, label, exact, text.split(" ")) for k, (label, text, exact) in enumerate([(a, b, True) for a, b in PHRASES] + [(a, b, False) for a, b in NOTICES])]
+    rows = [(k, *template) for k, template in enumerate(template_words())]
     table = spark.createDataFrame(rows, "template int, label string, exact boolean, words array<string>")
     return table.select("*", F.posexplode(gram_hashes(F.col("words"), GRAM)).alias("at", "hash"))
 
 
+def _slot(hash_: Column) -> Column:
+    return hash_.bitwiseAND((1 << _BITS) - 1).cast("int")
+
+
+def _code(words: Column) -> Column:
+    """One character for each word, so that edits of words are edits of characters."""
+    letter = lambda w: F.hex(F.pmod(F.xxhash64(w), F.lit(20_000)) + 0x4E00)
+    return F.decode(F.unhex(F.array_join(F.transform(words, letter), "")), "UTF-16BE")
+
+
 def license_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, spans: array of (first, last, label, exact, score), verified, in order of place."""
-    rows = id_and_text(docs)
+    """doc_id, row_key, n_words, spans: array of (first, last, label, exact, score), verified, in order of place."""
+    rows = id_and_text(docs).withColumn("row_key", row_key(F.col("doc_id"), F.col("text")))
     known = templates(docs.sparkSession)
-    words = rows.select("doc_id", word_array(F.col("text")).alias("words"))
-    pairs = words.select("doc_id", F.posexplode(gram_hashes(F.col("words"), GRAM)).alias("place", "hash"))
+    table = bytearray(1 << _BITS)
+    for row in known.select(_slot(F.col("hash")).alias("slot")).distinct().collect():  # as many as the templates' pairs
+        table[row["slot"]] = 1
+    listed = lambda h: F.substring(F.lit(bytes(table)), _slot(h) + 1, 1) == F.lit(b"\x01")
+
+    words = rows.select("doc_id", "row_key", word_array(F.col("text")).alias("words"))
+    hashed = words.select("doc_id", "row_key", F.size("words").cast("long").alias("n_words"), gram_hashes(F.col("words"), GRAM).alias("hashes"))
+    at = F.filter(F.transform("hashes", lambda h, i: F.when(listed(h), i)), lambda i: i.isNotNull())
+    places = F.transform(at, lambda i: F.struct(i.alias("place"), F.get("hashes", i).alias("hash")))
+    marked = stored(hashed.select("doc_id", "row_key", "n_words", places.alias("places")), "license-places")
+
+    pairs = marked.where(F.size("places") > 0).dropDuplicates(["row_key"]).select("row_key", F.explode("places").alias("p")).select("row_key", "p.*")
     votes = pairs.join(F.broadcast(known), "hash").withColumn("diagonal", F.col("place") - F.col("at"))
-    keys = ["doc_id", "template"]
+    keys = ["row_key", "template"]
     line = votes.groupBy(*keys, "diagonal").agg(F.collect_set("at").alias("ats"), F.min("place").alias("first"), F.max("place").alias("last"), F.first("label").alias("label"), F.first("exact").alias("exact"), F.first("words").alias("notice"))
+    line = stored(line.where(F.col("exact") | (F.size("notice") <= LONG) | (F.size("ats") > 1)), "license-lines")
     step = Window.partitionBy(*keys).orderBy("diagonal")
-    far = (F.col("diagonal") - F.lag("diagonal", 1).over(step)) > F.when(F.col("exact"), 0).otherwise(NEAR)
-    line = line.withColumn("band", F.sum(F.coalesce(far, F.lit(True)).cast("int")).over(step))
-    band = line.groupBy(*keys, "band").agg(F.size(F.array_distinct(F.flatten(F.collect_set("ats")))).alias("votes"), F.min("first").alias("first"), (F.max("last") + GRAM - 1).alias("last"), F.first("label").alias("label"), F.first("exact").alias("exact"), F.first("notice").alias("notice"))
-    share = F.col("votes") / (F.size("notice") - GRAM + 1)
-    enough = band.where(F.when(F.col("exact"), share >= 1).otherwise(share >= VOTES))
-    spans = stored(enough.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("first", "last", "label", "exact", "notice"))).alias("spans")), "license-spans")
-
-    again = rows.join(spans, "doc_id", "left").select("doc_id", "spans", word_array(F.col("text")).alias("words"))
-    again = again.select("doc_id", F.size("words").cast("long").alias("n_words"), F.transform("spans", _scored(F.col("words"))).alias("spans"))
-    real = F.filter("spans", lambda s: F.when(s["exact"], s["score"] >= 1).otherwise(s["score"] >= WORDS))
-    each = again.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(real, F.array()))))).alias("spans"))
-    return each
-
-
-def _scored(words):
-    def score(span):
+    far = F.col("diagonal") - F.lag("diagonal", 1).over(step) > NEAR
+    banded = line.where("NOT exact").withColumn("band", F.sum(F.coalesce(far, F.lit(True)).cast("int")).over(step))
+    band = banded.groupBy(*keys, "band").agg(F.array_distinct(F.flatten(F.collect_set("ats"))).alias("ats"), F.min("first").alias("first"), F.max("last").alias("last"), *(F.first(c).alias(c) for c in ("label", "exact", "notice")))
+    # A diagonal stands for itself as well: repeats close by would stretch its band.
+    each = line.drop("diagonal").unionByName(band.drop("band")).withColumn("last", F.col("last") + GRAM - 1)
+    share = F.size("ats") / (F.size("notice") - GRAM + 1)
+    enough = each.where(F.when(F.col("exact"), share >= 1).otherwise(share >= VOTES))
+    spans = stored(enough.groupBy("row_key").agg(F.array_sort(F.collect_set(F.struct("first", "last", "label", "exact", "notice"))).alias("spans")), "license-spans")
+
+    again = rows.join(spans, "row_key").select("row_key", "spans", word_array(F.col("text")).alias("words"))
+    scored = again.select("row_key", F.transform("spans", _scored(F.col("words"))).alias("spans")).dropDuplicates(["row_key"])
+    real = F.transform(F.filter("spans", lambda s: s["good"]), lambda s: s.dropFields("good"))
+    scored = scored.select("row_key", real.alias("spans"))
+    none = F.array().cast(scored.schema["spans"].dataType)
+    return marked.select("doc_id", "row_key", "n_words").join(scored, "row_key", "left").withColumn("spans", F.coalesce("spans", none))
+
+
+def _scored(words: Column):
+    def score(span: Column) -> Column:
         inside = F.slice(words, span["first"] + 1, span["last"] - span["first"] + 1)
-        same = F.when(inside == span["notice"], 1.0).otherwise(0.0)
-        alike = F.size(F.array_intersect(inside, span["notice"])) / F.size(F.array_distinct(span["notice"]))
-        return F.struct(span["first"].cast("long").alias("first"), span["last"].cast("long").alias("last"), span["label"].alias("label"), span["exact"].alias("exact"), F.when(span["exact"], same).otherwise(alike).alias("score"))
+        longer = F.greatest(F.size(inside), F.size(span["notice"]))
+        edits = F.when(span["exact"], F.when(inside == span["notice"], 0).otherwise(longer)).otherwise(F.levenshtein(_code(inside), _code(span["notice"])))
+        allowed = F.when(span["exact"], 0).otherwise(F.greatest(F.floor((F.size(span["notice"]) - FIRM) / PER_EDIT), F.lit(0)))
+        return F.struct(span["first"].cast("long").alias("first"), span["last"].cast("long").alias("last"), span["label"].alias("label"), span["exact"].alias("exact"), (1 - edits / longer).alias("score"), (edits <= allowed).alias("good"))
 
     return score
 
