@@ -2,12 +2,18 @@
 
 Every line is labelled good or bad from features of itself and of the lines before and after it. Forward-backward
 marginals, weighted by line length, add up to the document's share of bad text, which a logistic curve turns into a
-score. Both are fitted with numpy on a bounded sample: about SAMPLE labelled documents of each class from the training
-folds, chosen by a hash of doc_id, with their whole texts.
-
-Defined results: null text is one empty line and gets a score like any text. Without labels of both classes every
-score is the share of label 1 (1.0 if there is no label). A doc_id labelled twice counts once, with its worse label.
-Rows with the same doc_id are scored one by one.
+score.
+
+Fitting. A bounded sample, about SAMPLE labelled documents of each class from the training folds, chosen by a hash of
+doc_id, with their whole texts. Three quarters of it fit the field: weights and transitions climb one objective, the mean
+over documents of log p(line labels | lines) / lines, less a quadratic penalty. Lines of a good document are good. Those
+of a bad one are bad at first; a first fit then tells which of them look good all the same, and the second fit, which
+counts, has those as good: so bad documents hold changes of label, from which the transitions learn. The other quarter
+fits the curve.
+
+Defined results: null text is one empty line and gets a score like any text. Labels other than 0 and 1 are left out.
+Without labels of both classes every score is the share of label 1 (1.0 if there is no label). A doc_id labelled twice
+counts once, with its worse label. Rows with the same doc_id, null too, are scored one by one.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from .common import crc_mod, id_and_text, text_rows
 
 SAMPLE = 1500
 ROUNDS = 150
+PENALTY = 1e-4
 
 # Characters that prose uses, and marks that it seldom uses.
 _PROSE_MARKS = ".,;:'\"!?()-"
@@ -102,13 +109,14 @@ def with_neighbours(features: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     return np.concatenate([features, before, after, np.ones((len(features), 1), np.float32)], 1)
 
 
-def marginals(emission: np.ndarray, transition: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def marginals(emission: np.ndarray, transition: np.ndarray, per_text: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forward-backward over all chains at once: P(bad) of each line, expected transitions, and log normalisers.
 
-    emission: log potentials (lines x 2); transition: 2 x 2 log potentials.
+    emission: log potentials (lines x 2); transition: 2 x 2 log potentials; weight: of each chain's transitions.
     """
+    weight = np.ones(len(per_text)) if weight is None else weight
     order = np.argsort(-per_text, kind="stable")
-    sizes = per_text[order]
+    sizes, weight = per_text[order], weight[order]
     first = (np.cumsum(per_text) - per_text)[order]
     longest = int(sizes[0])
     alive = [int(np.searchsorted(-sizes, -t, side="left")) for t in range(longest + 1)]  # chains longer than t
@@ -143,7 +151,7 @@ def marginals(emission: np.ndarray, transition: np.ndarray, per_text: np.ndarray
             e = emission[at]
             right = np.exp(e - e.max(1, keepdims=True)) * beta[:n]
             joint = alpha[at - 1][:, :, None] * weights[None] * right[:, None, :]
-            pairs += (joint / joint.sum((1, 2), keepdims=True)).sum(0)
+            pairs += (joint * (weight[:n] / joint.sum((1, 2)))[:, None, None]).sum(0)
             left = right @ weights.T
             beta[:n] = left / left.sum(1, keepdims=True)
     unsorted = np.empty_like(z)
@@ -151,31 +159,49 @@ def marginals(emission: np.ndarray, transition: np.ndarray, per_text: np.ndarray
     return bad, pairs, unsorted
 
 
-def fit(features: np.ndarray, per_text: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of the bad label and transition potentials, by gradient ascent on the conditional likelihood.
-    labels: 1 for a good document; its label is that of its lines."""
-    x = with_neighbours(features, per_text)
-    truth = np.repeat(1 - labels, per_text).astype(float)
-    weight = np.repeat(1 / per_text, per_text)
-    same = np.zeros((2, 2))
-    links = np.maximum(per_text - 1, 0)
-    for k, label in enumerate((1, 0)):
-        same[k, k] = links[labels == label].sum()
-    w, transition = np.zeros(x.shape[1]), np.zeros((2, 2))
-    state = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(transition), np.zeros_like(transition)]
-    docs = len(per_text)
+def objective(x: np.ndarray, per_text: np.ndarray, truth: np.ndarray, w: np.ndarray, transition: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """The mean over documents of log p(truth | lines) / lines, less the penalty, and its gradients.
+    truth: 1 for a bad line."""
+    emission = np.stack([np.zeros(len(x)), x @ w], 1)
+    weight = 1 / (per_text * len(per_text))
+    bad, pairs, z = marginals(emission, transition, per_text, weight)
+    each = np.repeat(weight, per_text)
+    inner = np.ones(len(x), bool)
+    inner[np.cumsum(per_text) - 1] = False
+    inner = np.flatnonzero(inner)  # lines that another line of their text follows
+    steps = np.zeros((2, 2))
+    np.add.at(steps, (truth[inner], truth[inner + 1]), each[inner])
+    value = (each * emission[:, 1] * truth).sum() + (steps * transition).sum() - weight @ z
+    value -= PENALTY / 2 * ((w**2).sum() + (transition**2).sum())
+    return float(value), x.T @ ((truth - bad) * each) - PENALTY * w, steps - pairs - PENALTY * transition
+
+
+def climb(x: np.ndarray, per_text: np.ndarray, truth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the bad label and transition potentials that climb the objective (Adam steps)."""
+    values = [np.zeros(x.shape[1]), np.zeros((2, 2))]
+    first, second = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values]
     for step in range(1, ROUNDS + 1):
-        emission = np.stack([np.zeros(len(x)), x @ w], 1)
-        bad, pairs, _ = marginals(emission, transition, per_text)
-        gw = x.T @ ((truth - bad) * weight) / docs - 1e-4 * w
-        gt = (same - pairs) / max(1, links.sum()) - 0.05 * transition
-        for value, grad, m, v in ((w, gw, state[0], state[1]), (transition, gt, state[2], state[3])):
-            m *= 0.9
-            m += 0.1 * grad
-            v *= 0.99
-            v += 0.01 * grad * grad
+        _, *grads = objective(x, per_text, truth, *values)
+        for value, grad, m, v in zip(values, grads, first, second, strict=True):
+            m += 0.1 * (grad - m)
+            v += 0.01 * (grad * grad - v)
             value += 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return w, transition
+    return values[0], values[1]
+
+
+def line_labels(x: np.ndarray, per_text: np.ndarray, labels: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """1 for the lines of bad documents that look bad on their own by the first fit; all of them where none does."""
+    bad_document = np.repeat(1 - labels, per_text)
+    looks = ((x @ w >= 0) & (bad_document == 1)).astype(np.int64)
+    some = np.add.reduceat(looks, np.cumsum(per_text) - per_text) > 0
+    return np.where(np.repeat(some, per_text), looks, bad_document)
+
+
+def fit(features: np.ndarray, per_text: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The field's weights and transitions. labels: 1 for a good document."""
+    x = with_neighbours(features, per_text).astype(np.float64)
+    w, _ = climb(x, per_text, np.repeat(1 - labels, per_text))
+    return climb(x, per_text, line_labels(x, per_text, labels, w))
 
 
 def bad_share(features: np.ndarray, per_text: np.ndarray, length: np.ndarray, w: np.ndarray, transition: np.ndarray) -> np.ndarray:
@@ -207,42 +233,52 @@ def _curve(x: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        labels = batch.column("quality").to_pylist()
+        labels, marks = batch.column("quality").to_pylist(), batch.column("held").to_pylist()
         at = 0
         for ids, texts in text_rows([batch]):
             rows = []
             for text in texts:
                 features, _, length = line_features([text])
                 rows.append(np.concatenate([features, length[:, None]], 1).astype("<f4").tobytes())
-            yield pa.record_batch([pa.array(labels[at : at + len(ids)], pa.int32()), pa.array(rows, pa.binary())], names=["quality", "lines"])
+            part = slice(at, at + len(ids))
+            yield pa.record_batch([pa.array(labels[part], pa.int32()), pa.array(marks[part], pa.bool_()), pa.array(rows, pa.binary())], names=["quality", "held", "lines"])
             at += len(ids)
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1) -> dict:
     """The fitted model. Its sample is bounded by SAMPLE; the sampled texts are whole."""
-    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality"))
+    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality"))
     known = known.where(crc_mod(F.col("doc_id"), folds) != held)
     sizes = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}  # two rows
     if set(sizes) != {0, 1}:
         return {"constant": 1.0 if 1 in sizes or not sizes else 0.0}
     share = F.when(F.col("quality") == 0, min(1.0, SAMPLE / sizes[0])).otherwise(min(1.0, SAMPLE / sizes[1]))
     sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
-    found = id_and_text(docs).join(F.broadcast(sample), "doc_id").mapInArrow(_pack, "quality int, lines binary").toArrow()  # about 2 * SAMPLE rows
-    truth = np.array(found.column("quality").to_pylist())
+    sample = sample.withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0)
+    found = id_and_text(docs).join(F.broadcast(sample), "doc_id").mapInArrow(_pack, "quality int, held boolean, lines binary").toArrow()  # about 2 * SAMPLE rows
+    truth, held_back = np.array(found.column("quality").to_pylist()), np.array(found.column("held").to_pylist(), bool)
     if len(set(truth.tolist())) < 2:
         return {"constant": sizes[1] / sum(sizes.values())}
     columns = line_features([""])[0].shape[1] + 1
     rows = [np.frombuffer(b, "<f4").reshape(-1, columns) for b in found.column("lines").to_pylist()]
-    per_text = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows)
-    features, length = flat[:, :-1], flat[:, -1]
-    w, transition = fit(features, per_text, truth)
-    x = -_logit(bad_share(features, per_text, length, w, transition))
-    weight = np.array([sizes[int(t)] / max(1, (truth == t).sum()) for t in truth])
-    a, b = _curve(x, truth, weight / weight.mean())
+    if len(set(truth[held_back].tolist())) < 2 or len(set(truth[~held_back].tolist())) < 2:
+        held_back = np.zeros(len(truth), bool)  # too few for a held-back part of both classes
+    own, later = np.flatnonzero(~held_back), np.flatnonzero(held_back)
+    features, per_text, _ = _joined(rows, own)
+    w, transition = fit(features, per_text, truth[own])
+    later = later if len(later) else own
+    x = -_logit(bad_share(*_joined(rows, later), w, transition))
+    weight = np.array([sizes[int(t)] / max(1, (truth[later] == t).sum()) for t in truth[later]])
+    a, b = _curve(x, truth[later], weight / weight.mean())
     return {"w": w, "transition": transition, "a": a, "b": b}
 
 
+def _joined(rows: list[np.ndarray], which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, lines per text and line lengths of some of the sampled documents."""
+    flat = np.concatenate([rows[k] for k in which.tolist()])
+    return flat[:, :-1], np.array([len(rows[k]) for k in which.tolist()]), flat[:, -1]
+
+
 def predict(texts: list[str], model: dict) -> np.ndarray:
     if "constant" in model:
         return np.full(len(texts), model["constant"])

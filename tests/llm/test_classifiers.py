@@ -100,6 +100,57 @@ def test_marginals_equal_enumeration():
     assert pairs == pytest.approx(want_pairs)
 
 
+def test_objective_and_gradients():
+    """The value by enumeration of all labellings, and the gradients by finite differences."""
+    rng = np.random.default_rng(4)
+    sizes = np.array([3, 1, 4, 2])
+    x, truth = rng.normal(size=(10, 3)), rng.integers(0, 2, 10)
+    w, transition = rng.normal(size=3), rng.normal(size=(2, 2))
+    value, gw, gt = Q.objective(x, sizes, truth, w, transition)
+    want, at = 0.0, 0
+    for n in sizes:
+        def weight(labels, at=at):
+            return sum(x[at + i] @ w * y for i, y in enumerate(labels)) + sum(transition[a, b] for a, b in zip(labels, labels[1:], strict=False))
+        whole = np.log(sum(np.exp(weight(labels)) for labels in product((0, 1), repeat=int(n))))
+        want += (weight(truth[at : at + n]) - whole) / n / len(sizes)
+        at += n
+    assert value == pytest.approx(want - Q.PENALTY / 2 * ((w**2).sum() + (transition**2).sum()))
+    for k in range(3):
+        step = np.eye(3)[k] * 1e-6
+        assert gw[k] == pytest.approx((Q.objective(x, sizes, truth, w + step, transition)[0] - value) / 1e-6, abs=1e-4)
+    for a, b in product((0, 1), repeat=2):
+        step = np.zeros((2, 2))
+        step[a, b] = 1e-6
+        assert gt[a, b] == pytest.approx((Q.objective(x, sizes, truth, w, transition + step)[0] - value) / 1e-6, abs=1e-4)
+
+
+def test_quality_query_equals_brute_force(spark, docs, rows):
+    """Scores of the query from marginals by enumeration of all labellings, text by text."""
+    labels = spark.createDataFrame([(k, int(k % 2 == 0)) for k in range(0, 60)], "doc_id long, quality int")
+    model = Q.train(docs, labels)
+    found = {r.doc_id: r.score for r in Q.quality_scores(docs, labels).collect()}
+    for doc_id, text, *_ in rows:
+        features, per_text, length = Q.line_features([text or ""])
+        n = int(per_text[0])
+        if n > 8:
+            continue
+        bad = Q.with_neighbours(features, per_text) @ model["w"]
+        share, whole = 0.0, 0.0
+        for y in product((0, 1), repeat=n):
+            p = np.exp(sum(b * v for b, v in zip(bad, y, strict=True)) + sum(model["transition"][a, b] for a, b in zip(y, y[1:], strict=False)))
+            share += p * sum((m + 1) * v for m, v in zip(length, y, strict=True)) / (length + 1).sum()
+            whole += p
+        x = -float(Q._logit(np.array(share / whole)))
+        assert found[doc_id] == pytest.approx(1 / (1 + np.exp(-np.clip(model["a"] * x + model["b"], -30, 30))), abs=1e-4)
+
+
+def test_stray_labels_count_for_nothing(spark, docs):
+    pairs = [(k, int(k % 2 == 0)) for k in range(0, 60)]
+    plain, stray = (spark.createDataFrame(p, "doc_id long, quality int") for p in (pairs, [*pairs, (30, 2), (31, -1), (77, 5)]))
+    want, got = ({r.doc_id: round(r.score, 5) for r in Q.quality_scores(docs, labels).collect()} for labels in (plain, stray))
+    assert want == got
+
+
 def test_quality_of_held_out_documents(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     truth = {r.doc_id: r.quality for r in labels.collect()}
@@ -126,7 +177,7 @@ def test_training_reads_whole_texts():
     import pyarrow as pa
 
     text = "\n".join(["A plain line of prose."] * 60 + ["$$ || ## @@"] * 60)
-    (batch,) = Q._pack(iter([pa.record_batch([pa.array([1]), pa.array([text]), pa.array([0])], names=["doc_id", "text", "quality"])]))
+    (batch,) = Q._pack(iter([pa.record_batch([pa.array([1]), pa.array([text]), pa.array([0]), pa.array([False])], names=["doc_id", "text", "quality", "held"])]))
     features, _, length = Q.line_features([text])
     lines = np.frombuffer(batch.column("lines")[0].as_py(), "<f4").reshape(120, -1)
     assert np.array_equal(lines, np.concatenate([features, length[:, None]], 1).astype("<f4"))
