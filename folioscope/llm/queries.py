@@ -62,7 +62,7 @@ def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_groups(documents(spark, sf_dir))
+    return near_dedup.near_groups(documents(spark, sf_dir), 85)
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

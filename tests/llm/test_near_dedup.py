@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
+
 from folioscope.llm import near_dedup as N
 
 SCHEMA = "doc_id long, text string"
@@ -15,7 +17,7 @@ def shingle_set(text):
     return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-def brute(rows):
+def brute(rows, percent=80):
     sets = {d: shingle_set(t) for d, t in rows}
     up = {d: d for d in sets}
 
@@ -28,13 +30,14 @@ def brute(rows):
     for k, a in enumerate(ids):
         for b in ids[:k]:
             n = len(sets[a] & sets[b])
-            if n and 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+            if n and 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
                 x, y = sorted((find(a), find(b)))
                 up[y] = x
     return {d: (len(sets[d]), find(d), find(d) == d) for d in ids}
 
 
-def test_equals_brute_force(spark):
+@pytest.mark.parametrize("percent", [80, 85])
+def test_equals_brute_force(spark, percent):
     """Chains of copies, each a little different from the last, so that far members meet only through others."""
     rng = random.Random(3)
     words = [f"w{k}" for k in range(3000)]
@@ -51,8 +54,8 @@ def test_equals_brute_force(spark):
         rows.append((doc, " ".join(shared + [rng.choice(words) for _ in range(rng.randint(5, 60))])))
         doc += 1
     rng.shuffle(rows)
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in N.near_groups(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert got == brute(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in N.near_groups(spark.createDataFrame(rows, SCHEMA), percent).collect()}
+    assert got == brute(rows, percent)
 
 
 def test_odd_texts_and_clashing_columns(docs, rows):
@@ -76,6 +79,20 @@ def test_components(spark):
     assert got == {k: 0 for k in range(41)} | {100: 100, 150: 100, 200: 100}
 
 
+def test_components_extended_by_more_links(spark):
+    frame = lambda edges: spark.createDataFrame(edges, "a long, b long")
+    first, second = [(1, 2), (3, 4), (10, 11)], [(4, 2), (7, 8), (20, 1)]
+    got = dict(map(tuple, N.extended(N.components(frame(first)), frame(second)).collect()))
+    assert got == dict(map(tuple, N.components(frame(first + second)).collect())) == {1: 1, 2: 1, 3: 1, 4: 1, 20: 1, 10: 10, 11: 10, 7: 7, 8: 7}
+
+
+def test_a_text_among_namesakes_is_linked(spark):
+    """Two texts share a doc_id; a near copy of the second is linked to it."""
+    first, second = (" ".join(f"{mark}{k}" for k in range(60)) for mark in "ab")
+    got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in N.near_groups(spark.createDataFrame([(5, first), (5, second), (9, second + " more")], SCHEMA)).collect()}
+    assert got[9, 57] == (5, False) and got[5, 56] == (5, True)
+
+
 def test_banding_meets_similar_pairs():
     """Two sets at the limit of similarity share a table key (probability 0.9999)."""
     import numpy as np
