@@ -57,8 +57,8 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shards = token_files.write_token_shards(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), 2)
-    return token_files.read_token_shards(shards)
+    path = token_files.write_token_shards(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), 2)
+    return token_files.read_token_shards(spark, path)
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,17 +1,27 @@
 """Token ids in wavelet-matrix shards.
 
 Documents go by doc_id range to partitions; each partition writes shards of about SHARD_TOKENS ids. A shard is one
-compressed blob in its own format (magic WVM1): document ids and lengths, one bit-plane for each bit of an id, and a
-rank directory. From the blob alone a reader gets any id (access), counts of an id in a span (count), the places of an
-id (select) and all ids (decode). Blobs are rows of a Parquet table, because executors can write only through Spark.
+compressed file in its own format (magic WVM2):
 
-Defined results: null text is an empty document, which has the end id alone. Rows with equal doc_id go by text; null
-doc_ids come first. An empty table gives no shard and no row.
+    head            bits of an id, number of ids and of documents, partition, ids of the partition before the shard
+    zeros           zeros of each bit-plane
+    section ends    of the three kinds of section that follow
+    documents       doc_ids and lengths, compressed
+    rank directory  ones before every RANK bits of each plane, compressed
+    planes          one bit-plane for each bit of an id, in blocks of BLOCK bits, each compressed by itself
+
+From one file a reader gets any id (access), counts of an id in a span (count), the places of an id (select) and all ids
+(decode); it opens the directory and those blocks alone that the question touches. Executors can write to shared storage
+only through Spark, so files go out as one-row files of Spark's text writer, which appends a line end that readers ignore.
+
+Defined results: null text is an empty document, which has the end id alone. Rows with equal doc_id go by a hash of their
+text; null doc_ids come first. An empty table gives no shard and no row.
 """
 
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -19,32 +29,49 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, partitions_for, stored, text_rows
+from .common import id_and_text, partitions_for, text_rows, workspace
 from .tokens import encoder
 
 SHARD_TOKENS = 2_000_000
-_HEAD = struct.Struct("<4sIQQ")
-_BLOCK = 512
+#: Bytes of text for a partition: at least FEW where there are shuffle partitions enough, at most MANY.
+FEW_BYTES, MANY_BYTES = 8_000_000, 256_000_000
+RANK = 4096
+BLOCK = 1 << 17
+_HEAD = struct.Struct("<4sIQQQQ")
 
 
 class WaveletMatrix:
-    """Bit-planes from the highest bit down; below each plane the zeros stand before the ones, in order."""
+    """Bit-planes from the highest bit down; below each plane the zeros stand before the ones, in order.
+
+    directory: for each plane the ones before every RANK bits, and all of them."""
 
-    def __init__(self, size: int, planes: list[np.ndarray], zeros: list[int]):
-        self.size, self.planes, self.zeros = size, planes, zeros
-        self.directory = [self._directory(p) for p in planes]
+    def __init__(self, size: int, zeros: list[int], planes: list[np.ndarray] | None = None, directory: list[np.ndarray] | None = None):
+        self.size, self.zeros, self.planes = size, zeros, planes
+        self._directory = directory
+
+    @property
+    def directory(self) -> list[np.ndarray]:
+        if self._directory is None:
+            self._directory = [self.ranks(p) for p in self.planes]
+        return self._directory
 
     @staticmethod
-    def _directory(plane: np.ndarray) -> np.ndarray:
-        """Ones before each block of 512 bits."""
-        padded = np.zeros(-(-len(plane) // 64) * 64, np.uint8)
+    def ranks(plane: np.ndarray) -> np.ndarray:
+        padded = np.zeros(-(-len(plane) // (RANK // 8)) * (RANK // 8), np.uint8)
         padded[: len(plane)] = plane
-        ones = np.bitwise_count(padded.view(np.uint64)).reshape(-1, 8).sum(1, dtype=np.int64) if len(padded) else np.zeros(0, np.int64)
+        ones = np.bitwise_count(padded.view(np.uint64)).reshape(-1, RANK // 64).sum(1, dtype=np.int64) if len(padded) else np.zeros(0, np.int64)
         return np.concatenate([[0], np.cumsum(ones)])
 
+    def part(self, level: int, first: int, last: int) -> np.ndarray:
+        """The bytes first to last of a plane; they lie in one block."""
+        return self.planes[level][first:last]
+
+    def plane(self, level: int) -> np.ndarray:
+        return self.planes[level]
+
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
         planes, zeros, now = [], [], ids
@@ -54,13 +81,14 @@ class WaveletMatrix:
             low = np.compress(~up, now)
             zeros.append(len(low))
             now = np.concatenate([low, np.compress(up, now)])
-        return cls(len(ids), planes, zeros)
+        return cls(len(ids), zeros, planes)
 
     def decode(self, kind=np.uint16) -> np.ndarray:
         """All ids: the last plane's order is rebuilt plane by plane towards the first."""
         now = np.zeros(self.size, kind)
-        for bit, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros), strict=True)):
-            up = np.unpackbits(plane, count=self.size).view(bool)
+        for bit, level in enumerate(reversed(range(len(self.zeros)))):
+            zeros = self.zeros[level]
+            up = np.unpackbits(self.plane(level), count=self.size).view(bool)
             before = np.empty_like(now)
             before[np.flatnonzero(~up)] = now[:zeros]
             before[np.flatnonzero(up)] = now[zeros:] | kind(1 << bit)
@@ -68,13 +96,15 @@ class WaveletMatrix:
         return now
 
     def _bit(self, level: int, at: int) -> int:
-        return int(self.planes[level][at >> 3]) >> (7 - (at & 7)) & 1
+        return int(self.part(level, at >> 3, (at >> 3) + 1)[0]) >> (7 - (at & 7)) & 1
 
     def _ones(self, level: int, at: int) -> int:
         """Ones among the first `at` bits of a plane."""
-        block = at // _BLOCK
-        part = np.unpackbits(self.planes[level][block * 64 : (at + 7) >> 3])[: at - block * _BLOCK]
-        return int(self.directory[level][block]) + int(part.sum())
+        first = at // RANK
+        ones = int(self.directory[level][first])
+        if at > first * RANK:
+            ones += int(np.unpackbits(self.part(level, first * RANK >> 3, (at + 7) >> 3))[: at - first * RANK].sum())
+        return ones
 
     def access(self, at: int) -> int:
         value = 0
@@ -114,73 +144,93 @@ class WaveletMatrix:
 
     def _nth(self, level: int, k: int, one: bool) -> int:
         ones = self.directory[level]
-        before = ones if one else np.arange(len(ones)) * _BLOCK - ones
-        block = int(np.searchsorted(before, k, side="right")) - 1
-        part = np.unpackbits(self.planes[level][block * 64 : block * 64 + 64])
-        return block * _BLOCK + int(np.flatnonzero(part == one)[k - int(before[block])])
-
-
-def write_shard(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, bits: int) -> bytes:
-    """The file format. doc_ids ascend; lengths are ids per document."""
+        before = ones if one else np.arange(len(ones)) * RANK - ones
+        first = int(np.searchsorted(before, k, side="right")) - 1
+        part = np.unpackbits(self.part(level, first * RANK >> 3, (first + 1) * RANK >> 3))
+        return first * RANK + int(np.flatnonzero(part == one)[k - int(before[first])])
+
+
+class ShardFile(WaveletMatrix):
+    """A shard over the bytes of its file. Sections are decompressed when they are first asked for."""
+
+    def __init__(self, data: bytes | memoryview):
+        magic, self.bits, size, self.n_docs, self.part_number, self.before = _HEAD.unpack_from(data)
+        if magic != b"WVM2":
+            raise ValueError("not a token shard")
+        zeros = np.frombuffer(data, "<u8", self.bits, _HEAD.size)
+        self.blocks = -(-size // BLOCK)
+        table = _HEAD.size + zeros.nbytes
+        self.ends = np.frombuffer(data, "<u8", 2 + self.bits * self.blocks, table).astype(np.int64)
+        self.data, self.body = memoryview(data), table + self.ends.nbytes
+        self.opened: dict[int, bytes] = {}
+        super().__init__(size, [int(z) for z in zeros])
+
+    def _section(self, k: int) -> bytes:
+        if k not in self.opened:
+            first = int(self.ends[k - 1]) if k else 0
+            self.opened[k] = zstandard.ZstdDecompressor().decompress(self.data[self.body + first : self.body + int(self.ends[k])])
+        return self.opened[k]
+
+    def documents(self) -> tuple[list[int | None], np.ndarray]:
+        """doc_ids, and ids per document."""
+        data, n = self._section(0), self.n_docs
+        known, doc_ids = np.frombuffer(data, "u1", n), np.frombuffer(data, "<i8", n, n)
+        return [d if k else None for d, k in zip(doc_ids.tolist(), known.tolist(), strict=True)], np.frombuffer(data, "<u4", n, 9 * n)
+
+    @property
+    def directory(self) -> list[np.ndarray]:
+        if self._directory is None:
+            self._directory = list(np.frombuffer(self._section(1), "<u4").astype(np.int64).reshape(self.bits, -1))
+        return self._directory
+
+    def part(self, level: int, first: int, last: int) -> np.ndarray:
+        block = first // (BLOCK // 8)
+        return np.frombuffer(self._section(2 + level * self.blocks + block), np.uint8)[first - block * BLOCK // 8 : last - block * BLOCK // 8]
+
+    def plane(self, level: int) -> np.ndarray:
+        return np.frombuffer(b"".join(self._section(2 + level * self.blocks + k) for k in range(self.blocks)), np.uint8)
+
+
+def shard_bytes(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, bits: int, part: int = 0, before: int = 0) -> bytes:
+    """The file of a shard. doc_ids ascend; lengths are ids per document."""
     matrix = WaveletMatrix.build(ids, bits)
     known = np.array([d is not None for d in doc_ids], np.uint8)
-    parts = [
-        _HEAD.pack(b"WVM1", bits, len(ids), len(doc_ids)),
-        known.tobytes(),
-        np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
-        np.array(lengths, "<u4").tobytes(),
-        np.array(matrix.zeros, "<u8").tobytes(),
-        *(p.tobytes() for p in matrix.planes),
-    ]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
-
-
-def read_shard(blob: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
-    """doc_ids, ids per document, and the matrix."""
-    data = zstandard.ZstdDecompressor().decompress(blob)
-    magic, bits, size, docs = _HEAD.unpack_from(data)
-    if magic != b"WVM1":
-        raise ValueError("not a token shard")
-    at = _HEAD.size
+    told = known.tobytes() + np.array([d or 0 for d in doc_ids], "<i8").tobytes() + np.array(lengths, "<u4").tobytes()
+    pack = zstandard.ZstdCompressor(level=1).compress
+    sections = [pack(told), pack(np.concatenate(matrix.directory).astype("<u4").tobytes())]
+    for plane in matrix.planes:
+        sections += [pack(plane[at : at + BLOCK // 8].tobytes()) for at in range(0, len(plane), BLOCK // 8)]
+    head = _HEAD.pack(b"WVM2", bits, len(ids), len(doc_ids), part, before)
+    return b"".join([head, np.array(matrix.zeros, "<u8").tobytes(), np.cumsum([len(x) for x in sections]).astype("<u8").tobytes(), *sections])
 
-    def take(kind: str, count: int) -> np.ndarray:
-        nonlocal at
-        found = np.frombuffer(data, kind, count, at)
-        at += found.nbytes
-        return found
 
-    known, doc_ids, lengths, zeros = take("u1", docs), take("<i8", docs), take("<u4", docs), take("<u8", bits)
-    planes = [take("u1", (size + 7) // 8) for _ in range(bits)]
-    return [int(d) if k else None for d, k in zip(doc_ids, known, strict=True)], lengths, WaveletMatrix(size, planes, [int(z) for z in zeros])
+def _partitions(rows: DataFrame) -> int:
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return max(1, min(partitions_for(rows.sparkSession), -(-size // FEW_BYTES)), -(-size // MANY_BYTES))
 
 
-_SHARD = "part long, shard long, before long, n_docs long, n_tokens long, payload binary"
-
-
-def write_token_shards(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """The stored shard table: part, shard (order in the part), before (ids of the part before the shard), payload."""
-    rows = id_and_text(docs)
-    parts = partitions_for(docs.sparkSession)
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+def write_token_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None) -> str:
+    """Writes the shards of docs as files of a folder, by default a new one in the shared workspace, and names it."""
+    spark = docs.sparkSession
+    path = path or f"{workspace(spark)}/folioscope-{spark.sparkContext.applicationId}/token-shards-{uuid.uuid4().hex}"
+    rows = id_and_text(docs).withColumn("tie", F.xxhash64("text"))
+    # The hash shares out the rows of a doc_id (null, say) that very many rows have.
+    ordered = rows.repartitionByRange(_partitions(rows), "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, part = encoder(tokenizer, 500_000), TaskContext.get().partitionId()
         end = np.array([end_id], tool.kind).tobytes()
         bits = max(int(tool.tokenizer.get_vocab_size()), end_id + 1).bit_length()
-        done, shard, held, ids, sizes = 0, 0, 0, [], []
+        done, held, ids, sizes = 0, 0, [], []
         blobs: list[bytes] = []
 
         def flush() -> pa.RecordBatch:
-            nonlocal done, shard, held
-            payload = write_shard(ids, sizes, np.frombuffer(b"".join(blobs), tool.kind), bits)
-            row = pa.RecordBatch.from_pylist(
-                [{"part": part, "shard": shard, "before": done, "n_docs": len(ids), "n_tokens": held, "payload": payload}],
-                pa.schema([("part", pa.int64()), ("shard", pa.int64()), ("before", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("payload", pa.binary())]),
-            )
-            done, shard, held = done + held, shard + 1, 0
+            nonlocal done, held
+            payload = shard_bytes(ids, sizes, np.frombuffer(b"".join(blobs), tool.kind), bits, part, done)
+            done, held = done + held, 0
             for kept in (ids, sizes, blobs):
                 kept.clear()
-            return row
+            return pa.record_batch([pa.array([payload], pa.binary())], names=["payload"])
 
         for doc_ids, texts in text_rows(batches):
             for doc_id, found in zip(doc_ids, tool.encode(texts), strict=True):
@@ -193,47 +243,59 @@ def write_token_shards(docs: DataFrame, tokenizer: str, end_id: int) -> DataFram
         if ids:
             yield flush()
 
-    return stored(ordered.mapInArrow(encode, _SHARD), "token-shards")
+    files = ordered.select("doc_id", "text").mapInArrow(encode, "payload binary")
+    files.select(F.col("payload").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def shard_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, content: one row a shard file."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    return found.where(F.col("length") > 0).select("path", "content")
+
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, ShardFile]]:
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+            yield path.as_py(), ShardFile(memoryview(content.as_buffer()))
 
 
 _READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def read_token_shards(shards: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, from the payloads. The driver adds up one number for
-    each part, of which there are as many as shuffle partitions."""
-    totals = dict(shards.groupBy("part").agg(F.sum("n_tokens")).collect())
+def read_token_shards(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, from the files. The driver adds up two numbers for each
+    partition of the writer, of which there are as many as there are MANY_BYTES of text, or a few."""
+    files = shard_files(spark, path)
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, shard in _each(batches):
+            yield pa.record_batch([pa.array([shard.part_number], pa.int64()), pa.array([shard.size], pa.int64())], names=["part", "n_tokens"])
+
     starts, total = {}, 0
-    for part in sorted(totals):
+    for part, size in files.mapInArrow(heads, "part long, n_tokens long").groupBy("part").agg(F.sum("n_tokens")).orderBy("part").collect():
         starts[part] = total
-        total += totals[part]
+        total += size
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                doc_ids, lengths, matrix = read_shard(row["payload"])
-                wide = matrix.decode(np.uint16 if len(matrix.planes) <= 16 else np.uint32).astype("<u4").view(np.uint8)
-                ends = np.cumsum(lengths, dtype=np.int64)
-                view = memoryview(wide)
-                crcs = [zlib.crc32(view[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-                first = starts[row["part"]] + row["before"]
-                yield pa.record_batch(
-                    [pa.array(doc_ids, pa.int64()), pa.array(first + ends - lengths), pa.array(lengths.astype(np.int64)), pa.array(crcs, pa.int64())],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32"],
-                )
+        for _, shard in _each(batches):
+            doc_ids, lengths = shard.documents()
+            wide = shard.decode(np.uint16 if shard.bits <= 16 else np.uint32).astype("<u4").view(np.uint8)
+            ends = np.cumsum(lengths, dtype=np.int64)
+            view = memoryview(wide)
+            crcs = [zlib.crc32(view[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
+            first = starts[shard.part_number] + shard.before
+            columns = [pa.array(doc_ids, pa.int64()), pa.array(first + ends - lengths), pa.array(lengths.astype(np.int64)), pa.array(crcs, pa.int64())]
+            yield pa.record_batch(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.select("part", "before", "payload").mapInArrow(decode, _READ)
+    return files.mapInArrow(decode, _READ)
 
 
-def find_token(shards: DataFrame, token: int) -> DataFrame:
-    """part, shard, n: how often token stands in each shard, by rank on its planes, without decoding the ids."""
+def find_token(spark: SparkSession, path: str, token: int) -> DataFrame:
+    """path, n: how often token stands in each shard file, by rank on its planes, without decoding the ids."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pylist()
-            yield pa.record_batch(
-                [pa.array([r[c] for r in rows], pa.int64()) for c in ("part", "shard")] + [pa.array([read_shard(r["payload"])[2].count(token) for r in rows], pa.int64())],
-                names=["part", "shard", "n"],
-            )
-
-    return shards.select("part", "shard", "payload").mapInArrow(count, "part long, shard long, n long")
+        for name, shard in _each(batches):
+            yield pa.record_batch([pa.array([name]), pa.array([shard.count(token)], pa.int64())], names=["path", "n"])
+
+    return shard_files(spark, path).mapInArrow(count, "path string, n long")

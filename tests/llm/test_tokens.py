@@ -51,22 +51,53 @@ def test_wavelet_matrix(values):
 
 def test_shard_round_trip():
     ids = np.arange(1000, dtype=np.uint16) % 333
-    doc_ids, lengths, matrix = W.read_shard(W.write_shard([None, -5, 7], [10, 0, 990], ids, 9))
-    assert doc_ids == [None, -5, 7] and lengths.tolist() == [10, 0, 990] and matrix.decode().tolist() == ids.tolist()
-
-
-def test_shards_give_back_every_document(docs, rows):
+    shard = W.ShardFile(W.shard_bytes([None, -5, 7], [10, 0, 990], ids, 9, 4, 77) + b"\n")
+    doc_ids, lengths = shard.documents()
+    assert doc_ids == [None, -5, 7] and lengths.tolist() == [10, 0, 990] and shard.decode().tolist() == ids.tolist()
+    assert (shard.part_number, shard.before, shard.size) == (4, 77, 1000)
+    empty = W.ShardFile(W.shard_bytes([], [], ids[:0], 9))
+    assert empty.documents()[0] == [] and empty.decode().tolist() == [] and empty.count(3) == 0
+
+
+def test_a_shard_file_answers_from_the_blocks_it_needs():
+    """Access, count and select over several blocks equal plain search, and open one block a plane, or two."""
+    rng = np.random.default_rng(0)
+    ids = (rng.zipf(1.3, 3 * W.BLOCK + 17) % 60_000).astype(np.uint16)
+    data = W.shard_bytes([1], [len(ids)], ids, 16)
+    for at in (0, 1, W.BLOCK - 1, W.BLOCK, len(ids) - 1, *rng.integers(0, len(ids), 20).tolist()):
+        shard = W.ShardFile(data)
+        assert shard.access(at) == ids[at]
+        assert len(shard.opened) <= 1 + 16
+    for token in (1, 2, 999, 59_999):
+        places = np.flatnonzero(ids == token)
+        shard = W.ShardFile(data)
+        assert shard.count(token) == len(places)
+        assert shard.count(token, 1000, 2 * W.BLOCK) == ((places >= 1000) & (places < 2 * W.BLOCK)).sum()
+        for k in range(0, len(places), max(1, len(places) // 7)):
+            assert shard.select(token, k) == places[k]
+    assert W.ShardFile(data).decode().tolist() == ids.tolist()
+
+
+def test_shards_give_back_every_document(spark, docs, rows):
     tool = encoder(tokenizer_path(FILES[0]))
-    shards = W.write_token_shards(docs, tokenizer_path(FILES[0]), 2)
-    got = sorted(map(tuple, W.read_token_shards(shards).collect()))
+    path = W.write_token_shards(docs, tokenizer_path(FILES[0]), 2)
+    got = sorted(map(tuple, W.read_token_shards(spark, path).collect()))
     want, start = [], 0
     for doc_id, text in sorted((d, t or "") for d, t, *_ in rows):
         ids = [*tool.tokenizer.encode(text, add_special_tokens=False).ids, 2]
         want.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert got == sorted(want)
-    assert sum(r.n for r in W.find_token(shards, 2).collect()) >= len(rows)
+    assert sum(r.n for r in W.find_token(spark, path, 2).collect()) >= len(rows)
+
+
+def test_null_and_repeated_ids_lie_gapless_in_order(spark):
+    rows = [(None, "b b"), (None, "a"), (None, None), (3, "c c c"), (3, "d"), (1, "e")]
+    path = W.write_token_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), tokenizer_path(FILES[0]), 2)
+    found = sorted(W.read_token_shards(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in found] == [None, None, None, 1, 3, 3]
+    assert [r.start for r in found] == [sum(r.n_tokens for r in found[:k]) for k in range(len(found))]
 
 
-def test_empty_table(no_docs):
-    assert W.read_token_shards(W.write_token_shards(no_docs, tokenizer_path(FILES[0]), 2)).count() == 0
+def test_empty_table(spark, no_docs):
+    assert W.read_token_shards(spark, W.write_token_shards(no_docs, tokenizer_path(FILES[0]), 2)).count() == 0
