@@ -1,49 +1,60 @@
 """Best-fit packing of documents into sequences by a grouping genetic algorithm.
 
-Documents longer than a sequence are cut into full pieces and a rest; nothing else is cut. The pieces are dealt by hash
-to islands of about ISLAND_PIECES. On an island two populations evolve: crossover injects well-filled whole bins of one
-parent into the other, bins that would repeat a piece are dissolved, and displaced pieces go to the bin that they fill
-best. Every few generations the best individual of one population migrates to the other. An island stops as soon as it
-has no more bins than the sum of its lengths asks for. Its well-filled bins are final; pieces of all others migrate to
-fewer islands, epoch by epoch, until one island holds them or the epochs end.
-
-Defined results: null text is an empty document (the end id alone). A null doc_id is packed like any other. Repeated
-rows are packed as often as they come.
+Documents longer than a sequence are cut into full pieces and a rest; nothing else is cut. The pieces are dealt to regions
+of about REGION_PIECES, and several islands, each a Spark row of its own, evolve packings of one region. An individual is
+a list of bins. Crossover injects whole well-filled bins of one parent into the other; bins of the other that would repeat
+a piece are dissolved, as are its worse-filled ones, and the displaced pieces go, the longer about first, each to the bin
+with the least room that takes it. Fewer bins win, then the more uneven fill. After every epoch of generations an island's
+elites are stored and its best one migrates to the next island of the region. A region that has no more bins than the sum
+of its lengths asks for evolves no further.
+
+A region's well-filled bins are final. Pieces of the others go on to the next level, where they form fewer regions. What
+counts as well filled is relaxed from level to level, until nothing is left over.
+
+Defined results: null text is an empty document (the end id alone). A null doc_id is packed like any other, and rows that
+repeat a doc_id are dealt by their place in the table, so no region fills up with them. Repeated rows are packed as often
+as they come; pieces tied in length are interchangeable.
 """
 
 from __future__ import annotations
 
 import random
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, stored, text_rows
+from .common import id_and_text, partitions_for, stored, text_rows
 from .tokens import encoder
 
-ISLAND_PIECES = 3000
-EPOCHS = 4
-GENERATIONS = 8
-POPULATION = 3
-#: A bin with at most this share free is final.
-SLACK = 0.004
+REGION_PIECES = 3000
+ISLANDS = 2
+EPOCHS = 3
+GENERATIONS = 25
+POPULATION = 6
+ELITES = 2
+#: A bin with at most this share free is final, at each level; at the last level every bin is.
+SLACK = (0.004, 0.016, 0.064, 0.25, 1.0)
+#: Rows of islands in one task.
+ISLANDS_PER_TASK = 32
 
 Bin = tuple[int, list[int]]  # what is free, and the pieces
 
 
-def best_fit(bins: list[Bin], pieces: list[int], length: list[int], size: int) -> list[Bin]:
-    """Puts pieces, the longest first, each into the bin with the least room that takes it."""
-    out = [(free, list(held)) for free, held in bins]
+def best_fit(bins: Sequence[Bin], pieces: Sequence[int], length: Sequence[int], size: int) -> list[Bin]:
+    """Puts pieces in their order each into the bin with the least room that takes it. The given bins stay as they are."""
+    out = list(bins)
     by_room: dict[int, list[int]] = {}
     rooms = 0  # bit r is set if some bin has exactly r free
     for k, (free, _) in enumerate(out):
-        by_room.setdefault(free, []).append(k)
-        rooms |= 1 << free
-    for piece in sorted(pieces, key=length.__getitem__, reverse=True):
+        if free:
+            by_room.setdefault(free, []).append(k)
+            rooms |= 1 << free
+    own: set[int] = set()  # bins whose list is not shared with another individual
+    for piece in pieces:
         need = length[piece]
         above = rooms >> need
         if above:
@@ -51,71 +62,68 @@ def best_fit(bins: list[Bin], pieces: list[int], length: list[int], size: int) -
             k = by_room[room].pop()
             if not by_room[room]:
                 rooms ^= 1 << room
-            out[k][1].append(piece)
+            held = out[k][1] if k in own else list(out[k][1])
+            held.append(piece)
         else:
-            room, k = size, len(out)
-            out.append((size, [piece]))
+            room, k, held = size, len(out), [piece]
+            out.append((size, held))
+        own.add(k)
         left = room - need
-        out[k] = (left, out[k][1])
-        by_room.setdefault(left, []).append(k)
-        rooms |= 1 << left
+        out[k] = (left, held)
+        if left:
+            by_room.setdefault(left, []).append(k)
+            rooms |= 1 << left
     return out
 
 
-def fitness(bins: list[Bin], size: int) -> float:
-    """Few bins and full ones: the mean squared fill."""
-    return sum(((size - free) / size) ** 2 for free, _ in bins) / len(bins)
+def cost(bins: Sequence[Bin], size: int) -> tuple[int, int]:
+    """The lower the better: bins, then evenness of fill (room gathered in few bins can be used)."""
+    return len(bins), -sum((size - free) ** 2 for free, _ in bins)
 
 
-def crossover(base: list[Bin], donor: list[Bin], rng: random.Random, length: list[int], size: int) -> list[Bin]:
-    full = sorted(donor, key=lambda b: b[0])[: max(1, len(donor) // 2)]
-    given = rng.sample(full, max(1, len(full) // 2))
-    inside = {p for _, held in given for p in held}
-    kept, displaced = list(given), []
-    for free, held in base:
-        if inside.isdisjoint(held):
-            kept.append((free, held))
-        else:
-            displaced += [p for p in held if p not in inside]
-    return best_fit(kept, displaced, length, size)
+def falling(pieces: Sequence[int], length: Sequence[int], rng: random.Random, shake: float) -> list[int]:
+    """The longest first, with lengths taken up to a share `shake` too large."""
+    if not shake:
+        return sorted(pieces, key=length.__getitem__, reverse=True)
+    return sorted(pieces, key=lambda p: length[p] * (1 + shake * rng.random()), reverse=True)
 
 
-def mutate(bins: list[Bin], rng: random.Random, length: list[int], size: int) -> list[Bin]:
-    """Dissolves the emptiest bins and a few others."""
-    order = sorted(range(len(bins)), key=lambda k: -bins[k][0])
-    gone = {*order[: max(1, len(bins) // 50)], *rng.sample(order, max(1, len(bins) // 20))}
-    loose = [p for k in gone for p in bins[k][1]]
-    return best_fit([b for k, b in enumerate(bins) if k not in gone], loose, length, size)
+def crossover(base: Sequence[Bin], donor: Sequence[Bin], rng: random.Random, length: Sequence[int], size: int) -> list[Bin]:
+    bound = rng.choice((0, 0, 1, 2)) * size // 2048
+    well = [b for b in donor if b[0] <= bound] or sorted(donor, key=lambda b: b[0])[: max(1, len(donor) // 3)]
+    share = rng.random()
+    kept = [b for b in well if rng.random() < share]
+    inside = {p for _, held in kept for p in held}
+    dissolved = rng.choice((0, 1, 2, 4, 2048)) * size // 2048
+    displaced: list[int] = []
+    for free, held in base:
+        if not inside.isdisjoint(held):
+            displaced += [p for p in held if p not in inside]
+        elif free > dissolved or rng.random() < 0.02:
+            displaced += held
+        else:
+            kept.append((free, held))
+    return best_fit(kept, falling(displaced, length, rng, rng.choice((0.0, 0.05, 0.2, 0.5))), length, size)
 
 
-def evolve(length: list[int], size: int, seed: int) -> list[Bin]:
-    """Bins for pieces 0..n-1 with these lengths, each at most size."""
-    pieces = list(range(len(length)))
-    first = best_fit([], pieces, length, size)
-    least = -(-sum(length) // size)
-    if len(first) <= least:
-        return first
+def evolve(length: Sequence[int], size: int, seed: int, elites: Sequence[list[Bin]] = (), generations: int = GENERATIONS) -> list[list[Bin]]:
+    """One epoch of an island: individuals, the best first, that pack pieces 0..n-1 of these lengths. It begins with
+    elites; without them with best fit, longest first, and shaken forms of it."""
     rng = random.Random(seed)
-    islands = []
-    for island in range(2):
-        group = [first] if island == 0 else []
-        while len(group) < POPULATION:
-            group.append(mutate(mutate(first, rng, length, size), rng, length, size))
-        islands.append(group)
-    best = first
-    for generation in range(GENERATIONS):
-        for k, group in enumerate(islands):
-            child = crossover(*rng.sample(group, 2), rng, length, size)
-            group.append(mutate(child, rng, length, size) if rng.random() < 0.5 else child)
-            group.sort(key=lambda b: (len(b), -fitness(b, size)))
-            del group[POPULATION:]
-            if (len(group[0]), -fitness(group[0], size)) < (len(best), -fitness(best, size)):
-                best = group[0]
-            if generation % 3 == 2:
-                islands[1 - k][-1] = group[0]  # the elite migrates
-        if len(best) <= least:
+    least = -(-sum(length) // size)
+    group = list(elites) or [best_fit([], falling(range(len(length)), length, rng, 0.0), length, size)]
+    key = lambda bins: cost(bins, size)
+    while len(group) < POPULATION and min(map(len, group)) > least:
+        group.append(best_fit([], falling(range(len(length)), length, rng, 0.3), length, size))
+    group.sort(key=key)
+    for _ in range(generations):
+        if len(group[0]) <= least:
             break
-    return best
+        base, donor = rng.sample(range(len(group)), 2)
+        group.append(crossover(group[base], group[donor], rng, length, size))
+        group.sort(key=key)
+        del group[POPULATION:]
+    return group
 
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
@@ -143,43 +151,106 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, with_ids
     return pieces if with_ids else pieces.drop("ids")
 
 
-def _island(size: int, epoch: int, last: bool):
-    """Packs one island. sequence_id is null where a piece migrates."""
+def _numbers(bins: Sequence[Bin], count: int) -> bytes:
+    """An individual as the bin number of every piece."""
+    out = np.empty(count, "<u4")
+    for number, (_, held) in enumerate(bins):
+        out[held] = number
+    return out.tobytes()
+
+
+def _bins(numbers: bytes, length: Sequence[int], size: int) -> list[Bin]:
+    at = np.frombuffer(numbers, "<u4")
+    order = np.argsort(at, kind="stable")
+    parts = np.split(order, np.flatnonzero(np.diff(at[order])) + 1) if len(at) else []
+    return [(size - sum(length[p] for p in held), held) for held in (part.tolist() for part in parts)]
+
+
+def _in_order(table: pa.Table) -> pa.Table:
+    """A region's pieces, the longest first; pieces tied in all of these are alike."""
+    return table.sort_by([("length", "descending"), ("ids_crc32", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")])
+
 
-    def pack(key: tuple, table: pa.Table) -> pa.Table:
-        island = key[0].as_py()
-        table = table.sort_by([("length", "descending"), ("ids_crc32", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")])
+def _lengths(table: pa.Table) -> pa.Table:
+    length = np.array(_in_order(table).column("length"), "<u4")
+    return pa.table({"region": table.column("region").slice(0, 1), "lengths": pa.array([length.tobytes()], pa.binary())})
+
+
+_STATE = "region long, island int, lengths binary, elites array<binary>, bins int, cost long, least int"
+
+
+def _epoch(size: int, seed: int):
+    """One epoch of every island. Elites come in and go out as bin numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                length = np.frombuffer(row["lengths"], "<u4").tolist()
+                group = evolve(length, size, seed * 1_000_003 + row["region"] * 101 + row["island"], [_bins(e, length, size) for e in row["elites"]])
+                bins, squares = cost(group[0], size)
+                row |= {"elites": [_numbers(x, len(length)) for x in group[:ELITES]], "bins": bins, "cost": squares, "least": -(-sum(length) // size)}
+                kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.binary()), pa.int32(), pa.int64(), pa.int32()]
+                names = [c.split(" ")[0] for c in _STATE.split(", ")]
+                yield pa.record_batch([pa.array([row[c]], k) for c, k in zip(names, kinds, strict=True)], names=names)
+
+    return run
+
+
+def evolved(dealt: DataFrame, regions: int, size: int, level: int) -> DataFrame:
+    """region and the best individual of its islands (bin numbers of the pieces shorter than a sequence, in order)."""
+    lengths = dealt.where(F.col("length") < size).select("region", "length", "ids_crc32", "doc_id", "piece").groupBy("region").applyInArrow(_lengths, "region long, lengths binary")
+    rows = regions * ISLANDS
+    tasks = max(min(rows, partitions_for(dealt.sparkSession)), -(-rows // ISLANDS_PER_TASK))
+    state = lengths.select("region", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"), "lengths", F.array().cast("array<binary>").alias("elites"))
+    for epoch in range(EPOCHS):
+        spread = state.select("region", "island", "lengths", "elites").repartition(tasks, "region", "island")
+        state = stored(spread.mapInArrow(_epoch(size, level * EPOCHS + epoch), _STATE), "islands")
+        if epoch == EPOCHS - 1 or state.where("bins > least").limit(1).count() == 0:
+            break
+        guests = state.select("region", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).alias("island"), F.col("elites")[0].alias("guest"))
+        state = state.join(guests, ["region", "island"]).withColumn("elites", F.concat("elites", F.array("guest")))
+    return state.groupBy("region").agg(F.min_by(F.col("elites")[0], F.struct("bins", "cost", "island")).alias("best"))
+
+
+def _placed(size: int, level: int, last: bool):
+    """Sequences and offsets of a region's pieces. sequence_id is null where a piece goes on to the next level."""
+
+    def place(key: tuple, table: pa.Table, best: pa.Table) -> pa.Table:
+        table = _in_order(table)
         length = table.column("length").to_pylist()
         whole = sum(1 for n in length if n == size)  # sorted: full pieces come first, each is a bin
         bins = [(0, [k]) for k in range(whole)]
-        bins += [(free, [whole + p for p in held]) for free, held in evolve(length[whole:], size, island * 31 + epoch)] if whole < len(length) else []
+        if best.num_rows:
+            bins += [(free, [whole + p for p in held]) for free, held in _bins(best.column("best")[0].as_py(), length[whole:], size)]
         sequence: list[int | None] = [None] * len(length)
         offset: list[int | None] = [None] * len(length)
         for number, (free, held) in enumerate(bins):
-            if not last and free > SLACK * size:
+            if not last and free > SLACK[level] * size:
                 continue
             at = 0
             for piece in held:
-                sequence[piece], offset[piece] = epoch << 58 | island << 24 | number, at
+                sequence[piece], offset[piece] = level << 58 | key[0].as_py() << 24 | number, at
                 at += length[piece]
-        plain = table.drop_columns(["island"])
+        plain = table.drop_columns(["region"])
         return plain.append_column("sequence_id", pa.array(sequence, pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
 
-    return pack
+    return place
 
 
-def pack_pieces(pieces: DataFrame, size: int) -> DataFrame:
+def pack_pieces(pieces: DataFrame, size: int, region_pieces: int = REGION_PIECES) -> DataFrame:
     """pieces (stored; with doc_id, piece, length, ids_crc32 and any more) with sequence_id and offset."""
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
     done, left = None, pieces
-    for epoch in range(EPOCHS):
+    for level in range(len(SLACK)):
         count = left.count()
-        if epoch and not count:
+        if level and not count:
             break
-        islands = -(-max(1, count) // ISLAND_PIECES)
-        last = islands == 1 or epoch == EPOCHS - 1
-        dealt = left.withColumn("island", F.pmod(F.xxhash64("doc_id", "piece", F.lit(epoch)), F.lit(islands)))
-        packed = stored(dealt.groupBy("island").applyInArrow(_island(size, epoch, last), schema), "packed")
+        regions = -(-max(1, count) // region_pieces)
+        last = regions == 1 or level == len(SLACK) - 1
+        place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(regions))
+        dealt = stored(left.withColumn("region", place), "dealt")
+        best = evolved(dealt, regions, size, level)
+        packed = stored(dealt.groupBy("region").cogroup(best.groupBy("region")).applyInArrow(_placed(size, level, last), schema), "packed")
         final = packed.where(F.col("sequence_id").isNotNull())
         done = final if done is None else done.unionByName(final)
         if last:
