@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +38,35 @@ def workspace(spark: SparkSession) -> str:
     return spark._folioscope_folder
 
 
+_SCOPE: ContextVar[str] = ContextVar("scope", default="tables")
+
+
+def scratch(spark: SparkSession, scope: str | None = None) -> str:
+    """The folder for this application's tables of a scope, by default the one that is open."""
+    return f"{workspace(spark)}/folioscope-{spark.sparkContext.applicationId}/{scope or _SCOPE.get()}"
+
+
+@contextmanager
+def scoped(scope: str) -> Iterator[None]:
+    """Tables that are stored inside belong to the scope and can be discarded together."""
+    token = _SCOPE.set(scope)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+
+
+def discard(spark: SparkSession, scope: str) -> None:
+    """Deletes the tables of a scope. Nothing that still has to read them may be left."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch(spark, scope))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """df written to the shared folder and read again: a cut in the lineage that survives lost executors."""
-    spark = df.sparkSession
-    path = f"{workspace(spark)}/folioscope-{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    path = f"{scratch(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, partitions_for, text_rows, workspace
+from .common import id_and_text, partitions_for, scratch, text_rows
 from .tokens import encoder
 
 SHARD_TOKENS = 2_000_000
@@ -212,7 +212,7 @@ def _partitions(rows: DataFrame) -> int:
 def write_token_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None) -> str:
     """Writes the shards of docs as files of a folder, by default a new one in the shared workspace, and names it."""
     spark = docs.sparkSession
-    path = path or f"{workspace(spark)}/folioscope-{spark.sparkContext.applicationId}/token-shards-{uuid.uuid4().hex}"
+    path = path or f"{scratch(spark)}/token-shards-{uuid.uuid4().hex}"
     rows = id_and_text(docs).withColumn("tie", F.xxhash64("text"))
     # The hash shares out the rows of a doc_id (null, say) that very many rows have.
     ordered = rows.repartitionByRange(_partitions(rows), "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
