@@ -4,8 +4,7 @@ The hash of every word pair of every document is joined to the places of the tem
 the diagonal (place in the document less place in the template). Neighbouring diagonals merge, so that a few words
 more or less in a copy do not split it; a diagonal is a span by itself, too. Spans with enough votes are verified word by word in order: a phrase must be
 equal, a notice may be few edits away (words put in, left out or changed), fewer the shorter it is; its score is one less
-the edits' share of the longer side. Texts are split once; a fixed bit table of the templates' pairs leaves a few places
-of each text, and only texts with a span are read again.
+the edits' share of the longer side. Texts are split once for the votes; only texts with a span are read again.
 
 Defined results: one row for each row of the documents. Rows are told apart by doc_id and text (row_key), so null and
 repeated doc_ids are judged text by text. Null text has no words. Ties among spans go by place and then by label; their
@@ -32,7 +31,9 @@ FIRM = 5
 PER_EDIT = 4
 #: Notices with so many pairs take no notice of diagonals with a single vote.
 LONG = 30
-_BITS = 16
+#: Stand-ins for hashes, at the end of a document without words and of any other, and the first of their two numbers.
+EMPTY_MARK, END_MARK = -7_046_029_254_386_353_131, -4_417_276_706_812_531_889
+ENDED = -2
 
 # Phrases of the contract.
 PHRASES = [
@@ -113,15 +114,14 @@ def template_words() -> list[tuple[str, bool, list[str]]]:
     return [(label, True, split(text)) for label, text in PHRASES] + [(label, False, split(text)) for label, text in NOTICES + TEXTS]
 
 
-def templates(spark: SparkSession) -> DataFrame:
-    """template, label, exact, words, at, hash: one row per word pair of each template."""
+def templates(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """template, pairs, exact, at, hash: one row per word pair of each template; and template, label, notice (words).
+    The first has two more rows, for the marks that end every document."""
     rows = [(k, *template) for k, template in enumerate(template_words())]
-    table = spark.createDataFrame(rows, "template int, label string, exact boolean, words array<string>")
-    return table.select("*", F.posexplode(gram_hashes(F.col("words"), GRAM)).alias("at", "hash"))
-
-
-def _slot(hash_: Column) -> Column:
-    return hash_.bitwiseAND((1 << _BITS) - 1).cast("int")
+    table = spark.createDataFrame(rows, "template int, label string, exact boolean, notice array<string>")
+    pairs = table.select("template", (F.size("notice") - GRAM + 1).alias("pairs"), "exact", F.posexplode(gram_hashes(F.col("notice"), GRAM)).alias("at", "hash"))
+    marks = spark.createDataFrame([(ENDED, 0, False, 0, EMPTY_MARK), (ENDED + 1, 0, False, 0, END_MARK)], pairs.schema)
+    return pairs.unionByName(marks), table.select("template", "label", "notice")
 
 
 def _code(words: Column) -> Column:
@@ -130,42 +130,44 @@ def _code(words: Column) -> Column:
     return F.decode(F.unhex(F.array_join(F.transform(words, letter), "")), "UTF-16BE")
 
 
+def _lines(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Stored: doc_id, row_key, part, template, diagonal, votes, first, last. Each document's list of pair hashes ends in
+    a mark, which comes through the join with its place, and so the number of words: one split of the text is enough."""
+    words = rows.select("doc_id", "row_key", F.spark_partition_id().alias("part"), word_array(F.col("text")).alias("words"))
+    mark = F.when(F.size("words") == 0, F.lit(EMPTY_MARK)).otherwise(F.lit(END_MARK))
+    pairs = words.select("doc_id", "row_key", "part", F.posexplode(F.concat(gram_hashes(F.col("words"), GRAM), F.array(mark))).alias("place", "hash"))
+    votes = pairs.join(F.broadcast(known), "hash").withColumn("diagonal", F.col("place") - F.col("at"))
+    keys = ["doc_id", "row_key", "part", "template", "pairs", "exact", "diagonal"]
+    return stored(votes.groupBy(*keys).agg(F.count(F.lit(1)).alias("votes"), F.min("place").alias("first"), F.max("place").alias("last")), "license-lines")
+
+
 def license_spans(docs: DataFrame) -> DataFrame:
     """doc_id, row_key, n_words, spans: array of (first, last, label, exact, score), verified, in order of place."""
     rows = id_and_text(docs).withColumn("row_key", row_key(F.col("doc_id"), F.col("text")))
-    known = templates(docs.sparkSession)
-    table = bytearray(1 << _BITS)
-    for row in known.select(_slot(F.col("hash")).alias("slot")).distinct().collect():  # as many as the templates' pairs
-        table[row["slot"]] = 1
-    listed = lambda h: F.substring(F.lit(bytes(table)), _slot(h) + 1, 1) == F.lit(b"\x01")
-
-    words = rows.select("doc_id", "row_key", word_array(F.col("text")).alias("words"))
-    hashed = words.select("doc_id", "row_key", F.size("words").cast("long").alias("n_words"), gram_hashes(F.col("words"), GRAM).alias("hashes"))
-    at = F.filter(F.transform("hashes", lambda h, i: F.when(listed(h), i)), lambda i: i.isNotNull())
-    places = F.transform(at, lambda i: F.struct(i.alias("place"), F.get("hashes", i).alias("hash")))
-    marked = stored(hashed.select("doc_id", "row_key", "n_words", places.alias("places")), "license-places")
-
-    pairs = marked.where(F.size("places") > 0).dropDuplicates(["row_key"]).select("row_key", F.explode("places").alias("p")).select("row_key", "p.*")
-    votes = pairs.join(F.broadcast(known), "hash").withColumn("diagonal", F.col("place") - F.col("at"))
-    keys = ["row_key", "template"]
-    line = votes.groupBy(*keys, "diagonal").agg(F.collect_set("at").alias("ats"), F.min("place").alias("first"), F.max("place").alias("last"), F.first("label").alias("label"), F.first("exact").alias("exact"), F.first("words").alias("notice"))
-    line = stored(line.where(F.col("exact") | (F.size("notice") <= LONG) | (F.size("ats") > 1)), "license-lines")
-    step = Window.partitionBy(*keys).orderBy("diagonal")
+    known, notices = templates(docs.sparkSession)
+    lines = _lines(rows, known)
+    # Rows alike in doc_id and text of one input partition are one line with that many votes.
+    ended = lines.where(F.col("template") <= ENDED + 1).where(F.col("template") >= ENDED)
+    counted = ended.select("doc_id", "row_key", F.when(F.col("template") == ENDED, 0).otherwise(F.col("last") + GRAM - 1).cast("long").alias("n_words"), F.explode(F.sequence(F.lit(1), F.col("votes"))).alias("copy")).drop("copy")
+
+    line = lines.where(F.col("template") >= 0).groupBy("row_key", "template", "pairs", "exact", "diagonal").agg(F.max("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"))
+    line = line.where(F.col("exact") | (F.col("pairs") < LONG) | (F.col("votes") > 1))
+    step = Window.partitionBy("row_key", "template").orderBy("diagonal")
     far = F.col("diagonal") - F.lag("diagonal", 1).over(step) > NEAR
     banded = line.where("NOT exact").withColumn("band", F.sum(F.coalesce(far, F.lit(True)).cast("int")).over(step))
-    band = banded.groupBy(*keys, "band").agg(F.array_distinct(F.flatten(F.collect_set("ats"))).alias("ats"), F.min("first").alias("first"), F.max("last").alias("last"), *(F.first(c).alias(c) for c in ("label", "exact", "notice")))
+    band = banded.groupBy("row_key", "template", "pairs", "exact", "band").agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"))
     # A diagonal stands for itself as well: repeats close by would stretch its band.
     each = line.drop("diagonal").unionByName(band.drop("band")).withColumn("last", F.col("last") + GRAM - 1)
-    share = F.size("ats") / (F.size("notice") - GRAM + 1)
-    enough = each.where(F.when(F.col("exact"), share >= 1).otherwise(share >= VOTES))
-    spans = stored(enough.groupBy("row_key").agg(F.array_sort(F.collect_set(F.struct("first", "last", "label", "exact", "notice"))).alias("spans")), "license-spans")
+    enough = each.where(F.col("votes") >= F.col("pairs") * F.when(F.col("exact"), 1.0).otherwise(VOTES))
+    named = enough.join(F.broadcast(notices), "template")
+    spans = stored(named.groupBy("row_key").agg(F.array_sort(F.collect_set(F.struct("first", "last", "label", "exact", "notice"))).alias("spans")), "license-spans")
 
     again = rows.join(spans, "row_key").select("row_key", "spans", word_array(F.col("text")).alias("words"))
     scored = again.select("row_key", F.transform("spans", _scored(F.col("words"))).alias("spans")).dropDuplicates(["row_key"])
     real = F.transform(F.filter("spans", lambda s: s["good"]), lambda s: s.dropFields("good"))
     scored = scored.select("row_key", real.alias("spans"))
     none = F.array().cast(scored.schema["spans"].dataType)
-    return marked.select("doc_id", "row_key", "n_words").join(scored, "row_key", "left").withColumn("spans", F.coalesce("spans", none))
+    return counted.join(scored, "row_key", "left").withColumn("spans", F.coalesce("spans", none))
 
 
 def _scored(words: Column):
