@@ -34,9 +34,11 @@ from pyspark.sql import functions as F
 from .common import byte_words, crc_mod, id_and_text, mixed, stored, text_rows
 
 END = b" "  # no word has a space
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 8_000_000
+#: Blocks that one task of the scoring shuffle reads, one after another.
+BLOCKS_PER_TASK = 4
 #: Entries (words and n-grams of blocks) that one shard's task adds up, on average.
-SHARD_ENTRIES = 3_000_000
+SHARD_ENTRIES = 2_000_000
 #: Prior weight of the shorter history, for histories of one and of two words (tried on held-out texts).
 PRIOR = (100.0, 4.0)
 #: Hash bits beyond those that number all tokens.
@@ -285,11 +287,12 @@ def score_documents(
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Training leaves out fold `held`."""
     rows = id_and_text(docs).withColumn("held_out", crc_mod(F.col("doc_id"), folds) == held)
     blocks = stored(rows.mapInArrow(lambda batches: _encode(batches, block_bytes), _BLOCK), "blocks")
-    entries = int(2 * (blocks.agg(F.sum("n_tokens")).first()[0] or 0))
+    count, size = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+    entries, tasks = 2 * int(size), max(1, -(-count // BLOCKS_PER_TASK))
     bits = min(64, entries.bit_length() + SPARE_BITS)
     shard_bits = max(0, -(-entries // shard_entries) - 1).bit_length()
     asked = blocks.mapInArrow(_requests(bits, shard_bits), _ASKED)
-    told = stored(asked.groupBy("shard").applyInArrow(_add_up, _TOLD), "totals")
+    told = stored(asked.repartition(1 << shard_bits, "shard").groupBy("shard").applyInArrow(_add_up, _TOLD), "totals")
     kinds, tokens = (int(x or 0) for x in told.agg(F.sum("kinds"), F.sum("tokens")).first())
 
     def score(block: pa.Table, totals: pa.Table) -> pa.Table:
@@ -307,5 +310,6 @@ def score_documents(
         columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(held_out), pa.array(sizes), pa.array(known), pa.array(base), pa.array(total)]
         return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    scored = blocks.groupBy("block").cogroup(told.select("block", "shard", "word_totals", "gram_totals").groupBy("block")).applyInArrow(score, _SCORE)
+    answers = told.select("block", "shard", "word_totals", "gram_totals").repartition(tasks, "block")
+    scored = blocks.repartition(tasks, "block").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, _SCORE)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
