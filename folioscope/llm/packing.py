@@ -136,7 +136,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, with_ids
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(tokenizer, words)
         end = np.array([end_id], tool.kind).tobytes()
-        for doc_ids, texts in text_rows(batches):
+        for doc_ids, texts in text_rows(batches, 4_000_000):
             columns: list[list] = [[] for _ in range(6)]
             for doc_id, found in zip(doc_ids, tool.encode(texts), strict=True):
                 wide = np.frombuffer(found + end, tool.kind).astype("<u4").tobytes()

@@ -232,7 +232,7 @@ def write_token_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str |
                 kept.clear()
             return pa.record_batch([pa.array([payload], pa.binary())], names=["payload"])
 
-        for doc_ids, texts in text_rows(batches):
+        for doc_ids, texts in text_rows(batches, 4_000_000):
             for doc_id, found in zip(doc_ids, tool.encode(texts), strict=True):
                 blobs.append(found + end)
                 ids.append(doc_id)

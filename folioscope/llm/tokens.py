@@ -21,6 +21,17 @@ _LARGE = partial(pa.scalar, type=pa.large_string())
 _MARKS = ".,;:!?|#%&*$"
 
 
+def _joined(parts: list[np.ndarray], kind) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places starts[0], starts[0] + 1, ... of runs of these sizes, one run after another."""
+    total = int(sizes.sum())
+    kind = np.int32 if total + int(starts.max(initial=0)) < 1 << 31 else np.int64  # the narrower is much faster
+    return np.arange(total, dtype=kind) + np.repeat((starts - (np.cumsum(sizes) - sizes)).astype(kind), sizes)
+
+
 class Encoder:
     """path: a tokenizer file. spaces: whether words keep the space before them (byte-level vocabularies)."""
 
@@ -35,20 +46,20 @@ class Encoder:
         self.mark = "\n" if self.spaces else " |"
         (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
         self.most = most
-        #: Words and their ids; when it is full it becomes the older one, from which words in use come back.
-        #: The word "" has no ids: it is a text without words, or stands between spaces that are dropped.
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
+        #: Known words and where their ids are. The word "" has none: it is a text without words, or stands between
+        #: spaces that are dropped.
+        self.words = pa.array([""], pa.large_string())
+        self.sizes, self.flat = np.zeros(1, np.int64), np.zeros(0, self.kind)
+        self.used = np.zeros(0, np.int64)  # words of the last run
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+        return [np.array(e.ids, self.kind) for e in found]
 
-    def _many(self, words: list[str]) -> list[bytes]:
-        """Ids of words of Latin letters. They are encoded as one text with a mark between them that is always one
-        token of its own, and parted at the mark."""
-        out: list[bytes] = []
-        width = self.kind.itemsize
+    def _latin(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of Latin letters, one after another, and how many each has. They are encoded as one text with a
+        mark between them that is always one token of its own, and parted at the mark."""
+        flat, sizes = [], []
         for at in range(0, len(words), 4000):
             part = words[at : at + 4000]
             text = "".join(f" {w}{self.mark}" for w in part)
@@ -56,25 +67,35 @@ class Encoder:
             ends = np.flatnonzero(ids == self.mark_id)
             if len(ends) != len(part):
                 raise ValueError("the tokenizer joins words with the mark")
-            flat, ends = ids.tobytes(), (ends * width).tolist()
-            out += [flat[a:b] for a, b in zip([0, *(e + width for e in ends)], ends)]  # noqa: B905
-        return out
-
-    def _ids(self, latin: list[str], other: list[str]) -> list[bytes]:
-        """Ids of words of Latin letters and then of other words, from what is known or else by the tokenizer."""
-        known = self.known
-        if len(known) > self.most:
-            self.older, self.known = known, {"": b""}
-            known = self.known
-        for words, encode in ((latin, self._many), (other, self._others)):
-            missing = set(words).difference(known)
-            known.update((w, self.older[w]) for w in missing.intersection(self.older))
-            new = list(missing.difference(known))
-            known.update(zip(new, encode(new), strict=True))
-        return [*map(known.__getitem__, latin), *map(known.__getitem__, other)]
-
-    def _others(self, words: list[str]) -> list[bytes]:
-        return self._plain([w[1:] if w[:1] == "\n" else f" {w}" for w in words] if self.spaces else words)
+            sizes.append(np.diff(ends, prepend=-1) - 1)
+            flat.append(ids[ids != self.mark_id])
+        return _joined(flat, self.kind), _joined(sizes, np.int64)
+
+    def _others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self._plain([w[1:] if w[:1] == "\n" else f" {w}" for w in words] if self.spaces else words)
+        return _joined(found, self.kind), np.array([len(x) for x in found], np.int64)
+
+    def _rows(self, asked: pa.Array, latin: np.ndarray) -> np.ndarray:
+        """The numbers of words in the table of known ones; new ones are encoded and added. When the table is full it
+        shrinks to the words of the last run."""
+        if len(self.words) > self.most:
+            keep = np.unique(np.append(self.used, 0))
+            starts = np.cumsum(self.sizes) - self.sizes
+            self.flat = self.flat[_spread(starts[keep], self.sizes[keep])]
+            self.words, self.sizes = self.words.take(pa.array(keep)), self.sizes[keep]
+        at = pc.fill_null(pc.index_in(asked, value_set=self.words), -1).to_numpy().astype(np.int64)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            missing = np.concatenate([missing[latin[missing]], missing[~latin[missing]]])
+            new, cut = asked.take(pa.array(missing)), int(latin[missing].sum())
+            words = new.to_pylist()
+            parts = [self._latin(words[:cut]), self._others(words[cut:])]
+            at[missing] = len(self.words) + np.arange(len(missing))
+            self.words = pa.concat_arrays([self.words, new])
+            self.flat = np.concatenate([self.flat, *(p[0] for p in parts)])
+            self.sizes = np.concatenate([self.sizes, *(p[1] for p in parts)])
+        self.used = at
+        return at
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of self.kind.
@@ -105,36 +126,32 @@ class Encoder:
         taken = taken.dictionary_encode()
         marks[whole] = 0
 
-        # Numbers of distinct pieces: Latin stems, other stems, whole words, runs of marks, and last the empty piece.
-        order = np.concatenate([np.flatnonzero(is_latin), np.flatnonzero(~is_latin)])
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
-        where = np.empty((len(words), 2), np.int64)
-        where[:, 0] = rank[stem_at]
-        where[whole_at, 0] = len(order) + taken.indices.to_numpy()
+        # Numbers of distinct pieces: stems, whole words, runs of marks, and last the empty piece. A stem that only
+        # whole words have is not asked for; the empty word stands in for it.
+        count = len(numbered.dictionary)
+        used = np.zeros(count, bool)
+        used[stem_at[~whole]] = True
+        asked = pa.concat_arrays([pc.if_else(pa.array(used), numbered.dictionary, _LARGE("")), taken.dictionary])
+        rows = self._rows(asked, np.concatenate([is_latin, np.zeros(len(taken.dictionary), bool)]))
         runs, run_at, marked = self._runs(words, marks)
-        where[:, 1] = len(order) + len(taken.dictionary) + len(runs)
-        where[marked, 1] = len(order) + len(taken.dictionary) + run_at
-        cut = int(is_latin.sum())
-        # A stem that only whole words have is not asked for; the empty word stands in for it.
-        used = np.zeros(len(order), bool)
-        used[where[~whole, 0]] = True
-        asked = pc.if_else(pa.array(used), numbered.dictionary.take(pa.array(order)), _LARGE("")).to_pylist()
-        latin, rest = asked[:cut], asked[cut:]
-        pieces = self._ids(latin, rest + taken.dictionary.to_pylist()) + self._plain(runs) + [b""]
-
-        flat = np.frombuffer(b"".join(pieces), self.kind)
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.kind.itemsize
+        ends = self._plain(runs)
+        where = np.empty((len(words), 2), np.int64)
+        where[:, 0] = rows[stem_at]
+        where[whole_at, 0] = rows[count + taken.indices.to_numpy()]
+        where[:, 1] = 0
+        where[marked, 1] = len(self.words) + run_at
+
+        flat = np.concatenate([self.flat, *ends])
+        sizes = np.concatenate([self.sizes, np.array([len(x) for x in ends], np.int64)])
         starts = np.cumsum(sizes) - sizes
         at = where.ravel()
         size = sizes[at]
-        shift = starts[at] - (np.cumsum(size) - size)
-        out = flat[np.arange(int(size.sum())) + np.repeat(shift, size)].tobytes()
+        out = flat[_spread(starts[at], size)].tobytes()
         ends = np.cumsum(np.add.reduceat(size, 2 * firsts)) * self.kind.itemsize
         found = [out[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
         odd_at = np.flatnonzero(odd).tolist()
         for k, ids in zip(odd_at, self._plain([texts[k] for k in odd_at]), strict=True):
-            found[k] = ids
+            found[k] = ids.tobytes()
         return found
 
     @staticmethod
@@ -155,5 +172,5 @@ class Encoder:
 
 @lru_cache(maxsize=4)
 def encoder(path: str, most: int = 750_000) -> Encoder:
-    """One encoder a Python worker. It keeps up to twice `most` words, about 200 bytes each."""
+    """One encoder a Python worker. It keeps about `most` words, some 40 bytes each, and those of one run."""
     return Encoder(path, most)
