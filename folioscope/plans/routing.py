@@ -114,14 +114,17 @@ def background_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("table_analysis_pages", f"""WITH {EVIDENCE_SQL},
 l AS (SELECT * FROM evidence WHERE regexp_matches(text, '\\d') OR seq % 3 <> 1),
-n AS (SELECT r.doc_id, r.page, r.region, r.kind, count(*) AS n FROM l JOIN regions r ON l.doc_id = r.doc_id AND l.page = r.page AND l.x + l.w / 2 BETWEEN r.x AND r.x + r.w AND l.y + l.h / 2 BETWEEN r.y AND r.y + r.h WHERE r.region >= 10 GROUP BY ALL)
+k AS (SELECT * REPLACE (CASE WHEN region < 10 AND kind <> 'visual' OR kind = 'table' AND doc_id % 3 <> 0 THEN 'unknown' ELSE kind END AS kind) FROM regions),
+n AS (SELECT r.doc_id, r.page, r.region, r.kind, count(*) AS n FROM l JOIN k r ON l.doc_id = r.doc_id AND l.page = r.page AND l.x + l.w / 2 BETWEEN r.x AND r.x + r.w AND l.y + l.h / 2 BETWEEN r.y AND r.y + r.h GROUP BY ALL)
 SELECT doc_id, page FROM n WHERE (kind = 'visual' AND n >= 6) OR (kind = 'normal_text' AND n >= 8)
-UNION SELECT doc_id, page FROM regions WHERE region >= 10 AND kind = 'table' AND doc_id % 3 = 0 UNION SELECT doc_id, 1 FROM documents WHERE doc_id % 50 = 7""")
+UNION SELECT doc_id, page FROM k WHERE kind = 'table' UNION SELECT doc_id, 1 FROM documents WHERE doc_id % 50 = 7""")
 def table_analysis_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = evidence_lines(spark, sf_dir)
     numbered = lines.withColumn("text", F.when(F.col("text").rlike(r"\d") | (F.col("seq") % 3 != 1), "1").otherwise("none"))
-    regions = page_regions(lines).where("region >= 10 AND (kind <> 'table' OR doc_id % 3 = 0)")
-    plans = table(spark, sf_dir, "documents").where("doc_id % 50 = 7").select("doc_id", F.lit(1).cast("long").alias("page"), F.lit("table").alias("type"))
+    other = ((F.col("region") < 10) & (F.col("kind") != "visual")) | ((F.col("kind") == "table") & (F.col("doc_id") % 3 != 0))
+    regions = page_regions(lines).withColumn("kind", F.when(other, "unknown").otherwise(F.col("kind")))
+    plan = F.when(F.col("doc_id") % 50 == 7, "table").otherwise("chart")
+    plans = table(spark, sf_dir, "documents").select("doc_id", F.lit(1).cast("long").alias("page"), plan.alias("type"))
     return B.table_pages(regions, numbered, plans, PAGE)
 
 
@@ -147,18 +150,18 @@ def mask_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("brand_marks", f"""WITH {EVIDENCE_SQL},
-g AS (SELECT e.doc_id, d.lang AS document, seq AS grp, upper(replace(string_split(text, ' ')[1] || ' ' || coalesce(string_split(text, ' ')[2], ''), 'ß', 's')) AS text, x, y, 200 AS w, h FROM evidence e JOIN (SELECT doc_id, lang FROM documents) d USING (doc_id) WHERE seq % 5 = 0),
+g AS (SELECT e.doc_id, d.lang AS document, seq AS grp, CASE WHEN seq % 5 = 1 THEN text ELSE upper(replace(text, 'ß', 's')) END AS text, x, y, 200 AS w, h FROM evidence e JOIN (SELECT doc_id, lang FROM documents) d USING (doc_id)),
 tp AS (SELECT lang AS document, token, count(DISTINCT doc_id) AS pages FROM (SELECT lang, doc_id, unnest(regexp_extract_all(lower(text), '\\pL{{2,}}')) AS token FROM documents WHERE text IS NOT NULL) GROUP BY ALL),
 s AS (SELECT *, list_distinct(regexp_extract_all(lower(text), '\\pL{{2,}}')) AS tokens, length(regexp_replace(text, '\\PL', '', 'g')) AS letters, length(regexp_replace(text, '\\P{{Lu}}', '', 'g')) AS uppers FROM g WHERE NOT regexp_matches(text, '\\d')),
 k AS (SELECT * FROM s WHERE len(tokens) BETWEEN 1 AND 8 AND letters > 0 AND uppers >= letters * 0.72),
 e AS (SELECT k.doc_id, k.grp, avg(CASE WHEN coalesce(pages, 0) >= 2 THEN 1.0 ELSE 0.0 END) AS share FROM (SELECT doc_id, document, grp, unnest(tokens) AS token FROM k) k LEFT JOIN tp USING (document, token) GROUP BY ALL)
 SELECT doc_id, grp AS "group", text FROM k JOIN e USING (doc_id, grp) WHERE share >= 0.75 OR (w <= 360 AND h <= 140 AND (y >= 800 OR y + h <= 200) AND (x <= 400 OR x + w >= 600))""")
 def brand_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line as a group with its whole text; four in five are in capitals."""
     documents = table(spark, sf_dir, "documents")
-    lines = evidence_lines(spark, sf_dir).where("seq % 5 = 0").join(documents.select("doc_id", F.col("lang").alias("document")), "doc_id")
-    words = F.split("text", " ")
-    pair = F.concat(F.get(words, F.lit(0)), F.lit(" "), F.coalesce(F.get(words, F.lit(1)), F.lit("")))
-    text = F.upper(F.replace(pair, F.lit("ß"), F.lit("s")))  # engines differ on its capital
+    lines = evidence_lines(spark, sf_dir).join(documents.select("doc_id", F.col("lang").alias("document")), "doc_id")
+    upper = F.upper(F.replace("text", F.lit("ß"), F.lit("s")))  # engines differ on its capital
+    text = F.when(F.col("seq") % 5 == 1, F.col("text")).otherwise(upper)
     groups = lines.select("doc_id", "document", F.col("seq").alias("group"), F.lit(1).alias("n_lines"), text.alias("text"), "x", "y", F.lit(200).alias("w"), "h")
     pages = own.token_pages(documents, "lang", "doc_id").withColumnRenamed("lang", "document")
     return B.brand_marks(groups, pages, ["doc_id"])

@@ -58,11 +58,11 @@ def scalar_class_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("token_agreement", rf"""WITH {EVIDENCE_SQL},
-w AS (SELECT doc_id, seq, list_distinct(regexp_extract_all(lower(text), '[\pL\pN_]+')) AS a FROM evidence WHERE seq < 40),
+w AS (SELECT doc_id, seq, list_distinct(regexp_extract_all(lower(text), '[\pL\pN_]+')) AS a FROM evidence),
 p AS (SELECT l.doc_id, l.seq, l.a, r.a AS b FROM w l JOIN w r ON l.doc_id = r.doc_id AND r.seq = l.seq + 1)
 SELECT doc_id, seq, CASE WHEN len(a) > 0 AND len(b) > 0 THEN round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 5) END AS agreement FROM p""")
 def token_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = evidence_lines(spark, sf_dir).where("seq < 40").select("doc_id", "seq", "text")
+    lines = evidence_lines(spark, sf_dir).select("doc_id", "seq", "text")
     after = lines.select("doc_id", (F.col("seq") - 1).alias("seq"), F.col("text").alias("after"))
     return lines.join(after, ["doc_id", "seq"]).select("doc_id", "seq", T.token_agreement(F.col("text"), F.col("after")).alias("agreement"))
 
@@ -149,20 +149,20 @@ def layout_glyphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("box_overlaps", f"""WITH {EVIDENCE_SQL},
 p AS (SELECT a.doc_id, a.page, a.region AS left_region, b.region AS right_region, a.x AS ax, a.y AS ay, a.w AS aw, a.h AS ah, b.x AS x2, b.y AS y2, b.w AS w2, b.h AS h2
-      FROM regions a JOIN regions b ON a.doc_id = b.doc_id AND a.page = b.page AND a.region < b.region WHERE a.page = 1),
+      FROM regions a JOIN regions b ON a.doc_id = b.doc_id AND a.page = b.page AND a.region < b.region),
 i AS (SELECT *, greatest(0, least(ax + aw, x2 + w2) - greatest(ax, x2)) * greatest(0, least(ay + ah, y2 + h2) - greatest(ay, y2)) AS shared FROM p)
-SELECT doc_id, left_region, right_region, round(shared / greatest(1, least(aw * ah, w2 * h2)), 9) AS of_smaller, round(shared / (w2 * h2), 9) AS of_right,
+SELECT doc_id, page, left_region, right_region, round(shared / greatest(1, least(aw * ah, w2 * h2)), 9) AS of_smaller, round(shared / (w2 * h2), 9) AS of_right,
        round(greatest(0, least(ax + aw, x2 + w2) - greatest(ax, x2)) / greatest(1, least(aw, w2)), 9) AS of_width,
        round(sqrt(pow(ax + aw / 2 - x2 - w2 / 2, 2) + pow(ay + ah / 2 - y2 - h2 / 2, 2)), 6) AS distance,
        abs(ax + aw / 2 - x2 - w2 / 2) < 15 AND abs(ay + ah / 2 - y2 - h2 / 2) < 15 AS same_place FROM i WHERE shared > 0""")
 def box_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    regions = page_regions(evidence_lines(spark, sf_dir)).where("page = 1")
+    regions = page_regions(evidence_lines(spark, sf_dir))
     keys = ["doc_id", "page"]
     left, right = prefixed(regions, "a_", keys), prefixed(regions, "b_", keys)
     a, b = G.box("a_"), G.box("b_")
     pairs = page_join(left, right, keys, F.col("a_region") < F.col("b_region")).where(G.intersection(a, b) > 0)
     return pairs.select(
-        "doc_id",
+        *keys,
         F.col("a_region").alias("left_region"),
         F.col("b_region").alias("right_region"),
         F.round(G.overlap_of_smaller(a, b), 9).alias("of_smaller"),

@@ -86,13 +86,13 @@ def group_status_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("hierarchy_closure", """
-WITH RECURSIVE n AS (SELECT c_custkey AS block, CASE WHEN c_custkey > 1 THEN c_custkey // 8 END AS parent FROM customer WHERE c_custkey < 512),
+WITH RECURSIVE n AS (SELECT c_custkey AS block, CASE WHEN c_custkey > 1 THEN c_custkey // 8 END AS parent FROM customer),
 t AS (SELECT block, parent AS ancestor, 1 AS steps FROM n WHERE parent IS NOT NULL UNION ALL SELECT t.block, n.parent, steps + 1 FROM t JOIN n ON t.ancestor = n.block WHERE n.parent IS NOT NULL)
 SELECT block, ancestor, steps FROM t""")
 def hierarchy_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
-    nodes = table(spark, sf_dir, "customer").where("c_custkey < 512").select(F.lit(0).alias("tree"), key.alias("block"), F.when(key > 1, F.floor(key / 8)).alias("parent"))
-    return V.closure(nodes, ["tree"], 4).drop("tree")
+    nodes = table(spark, sf_dir, "customer").select(F.lit(0).alias("tree"), key.alias("block"), F.when(key > 1, F.floor(key / 8)).alias("parent"))
+    return V.closure(nodes, ["tree"], 8).drop("tree")
 
 
 @query("evidence_violations", OWNER_SQL + """,
