@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions import text as T
-from folioscope.functions.geometry import Box, box, overlap_of_smaller, same_place
+from folioscope.functions.geometry import Box, box, center_in, overlap_of_smaller, same_place
 
 from .joins import best, page_join, prefixed
 
@@ -51,34 +51,90 @@ def missing_tables(proposals: DataFrame, blocks: DataFrame, keys: Sequence[str],
     return tables.join(parents(tables, blocks, keys, proposal), [*keys, proposal], "left_anti")
 
 
-def unique_printed(wanted: DataFrame, lines: DataFrame, keys: Sequence[str], item: str, text: str, inside: Column | None = None) -> DataFrame:
-    """keys, item, evidence_id and box of the one place where an item's text is printed.
+_LETTERS, _PERCENT = "[A-Za-z]", r"^\d+(?:\.\d+)?%$"
 
-    Equal keys match. Matches within 15 units of the first are one place; an item printed in two places is declined.
-    Recognised lines come before native ones, then the more confident."""
-    keyed = lines.withColumn("_key", T.evidence_key(F.col("text"))).select(*keys, "seq", "evidence_id", "conf", "x", "y", "w", "h", "_key")
-    asked = wanted.select(*keys, item, T.evidence_key(F.col(text)).alias("_wanted"), *((inside.alias("_in"),) if inside is not None else ()))
-    met = page_join(asked.where("_wanted <> ''"), keyed, keys, F.col("_wanted") == F.col("_key"))
-    first = met.groupBy(*keys, item).agg(F.min(F.struct("seq", "x", "y", "w", "h")).alias("_f"))
-    met = met.join(first, [*keys, item])
-    at = Box(*(F.col(f"_f.{c}") for c in "xywh"))
-    native = ~F.col("evidence_id").contains("-ocr-")
-    pick = F.min(F.struct(native.alias("n"), (-F.col("conf")).alias("c"), "seq", "evidence_id", "x", "y", "w", "h")).alias("_p")
-    one = met.groupBy(*keys, item).agg(F.bool_and(same_place(at, box())).alias("_one"), pick).where("_one")
-    return one.select(*keys, item, *(F.col(f"_p.{c}").alias(c) for c in ("evidence_id", "x", "y", "w", "h")))
+
+def _box_of(line: Column) -> Box:
+    return Box(*(line[c] for c in "xywh"))
+
+
+def _with_lines(wanted: DataFrame, lines: DataFrame, keys: Sequence[str], item: str, condition: Column) -> DataFrame:
+    """keys, item and every other column of wanted, with found: the lines of the page that meet the condition on wanted
+    and on columns l_..., in order. Only what the condition lets through is gathered, one small list for each item."""
+    kept = lines.select(
+        *keys,
+        *(F.col(c).alias(f"l_{c}") for c in ("seq", "evidence_id", "text", "conf", "x", "y", "w", "h")),
+        T.evidence_key(F.col("text")).alias("l_key"),
+        F.col("evidence_id").contains("-ocr-").alias("l_ocr"),
+    )
+    limits = [c for c in wanted.columns if c.startswith("p_")]
+    inside = center_in(box("l_"), box("p_"), 15) if limits else F.lit(True)
+    asked = wanted.select(*keys, item, *(c for c in wanted.columns if c not in (*keys, item)))
+    met = page_join(asked, kept.withColumn("l_on", F.lit(True)), keys, condition, "left")
+    line = F.struct(*(F.col(f"l_{c}").alias(c) for c in ("seq", "evidence_id", "text", "conf", "x", "y", "w", "h", "key", "ocr")), inside.alias("inside"))
+    rest = [c for c in asked.columns if c not in (*keys, item)]
+    gathered = F.array_sort(F.collect_list(F.when(F.col("l_on"), line))).alias("found")
+    return met.groupBy(*keys, item).agg(*(F.first(c).alias(c) for c in rest), gathered)
+
+
+def one_place(found: Column) -> Column:
+    """Of lines in order the one to cite, if all stand within 15 units of the first; else null. Recognised lines come
+    before native ones, then the more confident."""
+    first = F.get(found, F.lit(0))
+    alone = F.forall(found, lambda line: same_place(_box_of(first), _box_of(line)))
+    ranked = F.transform(found, lambda line: F.struct((~line["ocr"]).alias("native"), (-line["conf"]).alias("conf"), line["seq"].alias("seq"), line.alias("line")))
+    return F.when((F.size(found) > 0) & alone, F.array_min(ranked)["line"])
+
+
+def joined_lines(found: Column, wanted: Column, value: Column) -> Column:
+    """The two lines, or failing that three, that print the wanted key together, in reading order; null if several such
+    sets do. They stand near the value: centres within 170, tops from 150 above its top to 20 below; the last begins at
+    most 100 below the first."""
+    at = _box_of(value)
+    near = lambda line: (F.abs(_box_of(line).cx - at.cx) <= 170) & line["y"].between(at.y - 150, at.y + 20)
+    pool = F.filter(found, lambda line: line["ocr"] & line["inside"] & line["text"].rlike(_LETTERS) & (line["key"] != "") & wanted.contains(line["key"]) & near(line))
+    order = F.array_sort(F.transform(pool, lambda line: F.struct(*(line[c].alias(c) for c in ("y", "x", "seq", "evidence_id", "w", "h", "key")))))
+
+    def after(head: Column, printed: Column) -> Column:
+        """head with each later line that goes on with the wanted key."""
+        last, first = F.element_at(head, -1), F.element_at(head, 1)
+        more = F.filter(order, lambda line: (last < line) & (line["y"] - first["y"] <= 100) & wanted.startswith(F.concat(printed, line["key"])))
+        return F.transform(more, lambda line: F.concat(head, F.array(line)))
+
+    text = lambda lines: F.array_join(F.transform(lines, lambda line: line["key"]), "")
+    pairs = F.flatten(F.transform(order, lambda a: after(F.array(a), a["key"])))
+    two = F.filter(pairs, lambda lines: text(lines) == wanted)
+    three = F.filter(F.flatten(F.transform(pairs, lambda lines: after(lines, text(lines)))), lambda lines: text(lines) == wanted)
+    sets = F.when(F.size(two) > 0, two).otherwise(three)
+    return F.when(F.size(sets) == 1, F.get(sets, F.lit(0)))
+
+
+def _envelope(lines: Column) -> Column:
+    """A struct of evidence_ids, x, y, w, h."""
+    each = lambda get: F.transform(lines, get)
+    x, y = F.array_min(each(lambda f: f["x"])), F.array_min(each(lambda f: f["y"]))
+    right, foot = F.array_max(each(lambda f: f["x"] + f["w"])), F.array_max(each(lambda f: f["y"] + f["h"]))
+    ids = each(lambda f: f["evidence_id"])
+    return F.when(lines.isNotNull(), F.struct(ids.alias("evidence_ids"), x.alias("x"), y.alias("y"), (right - x).alias("w"), (foot - y).alias("h")))
+
+
+def unique_printed(wanted: DataFrame, lines: DataFrame, keys: Sequence[str], item: str, text: str) -> DataFrame:
+    """keys, item, evidence_id and box of the one place where an item's text is printed, inside its proposal (p_x, p_y,
+    p_w, p_h; 15 to every side) where wanted has that. An item printed in two places is declined."""
+    asked = wanted.withColumn("_wanted", T.evidence_key(F.col(text))).where("_wanted <> ''")
+    found = _with_lines(asked, lines, keys, item, F.col("_wanted") == F.col("l_key"))
+    one = found.select(*keys, item, one_place(F.filter("found", lambda line: line["inside"])).alias("_one")).where("_one IS NOT NULL")
+    return one.select(*keys, item, *(F.col(f"_one.{c}").alias(c) for c in ("evidence_id", "x", "y", "w", "h")))
 
 
 def joined_labels(wanted: DataFrame, lines: DataFrame, keys: Sequence[str], item: str, text: str) -> DataFrame:
-    """keys, item, evidence_id (of the first line) and envelope where two lines, in reading order and at most 100 apart,
-    print an item's label together; declined if several pairs do. For labels that no single line prints."""
-    part = lines.where(F.col("evidence_id").contains("-ocr-") & F.col("text").rlike("[A-Za-z]")).select(*keys, "seq", "evidence_id", "x", "y", "w", "h", T.evidence_key(F.col("text")).alias("_key"))
-    asked = wanted.select(*keys, item, T.evidence_key(F.col(text)).alias("_wanted"))
-    head = page_join(asked, part, keys, F.col("_wanted").startswith(F.col("_key")) & (F.col("_wanted") != F.col("_key")))
-    tail = prefixed(part, "t_", keys)
-    order = F.struct("y", "x", "seq") < F.struct("t_y", "t_x", "t_seq")
-    both = page_join(head, tail, keys, (F.concat("_key", "t__key") == F.col("_wanted")) & order & (F.col("t_y") - F.col("y") <= 100))
-    one = both.groupBy(*keys, item).agg(F.count(F.lit(1)).alias("_n"), F.min("evidence_id").alias("evidence_id"), F.min(F.least("x", "t_x")).alias("x"), F.min(F.least("y", "t_y")).alias("y"), F.max(F.greatest(F.col("x") + F.col("w"), F.col("t_x") + F.col("t_w"))).alias("_r"), F.max(F.greatest(F.col("y") + F.col("h"), F.col("t_y") + F.col("t_h"))).alias("_b"))
-    return one.where("_n = 1").select(*keys, item, "evidence_id", "x", "y", (F.col("_r") - F.col("x")).alias("w"), (F.col("_b") - F.col("y")).alias("h"))
+    """keys, item, evidence_ids and envelope of the lines near an item's value (v_x, v_y, v_w, v_h) that print its label
+    together: joined_lines, for labels that no single line prints."""
+    asked = wanted.withColumn("_wanted", T.evidence_key(F.col(text)))
+    found = _with_lines(asked, lines, keys, item, F.col("_wanted").contains(F.col("l_key")))
+    value = F.struct(*(F.col(f"v_{c}").alias(c) for c in "xywh"))
+    one = found.select(*keys, item, _envelope(joined_lines(F.col("found"), F.col("_wanted"), value)).alias("_one")).where("_one IS NOT NULL")
+    return one.select(*keys, item, "_one.*")
 
 
 def label_owns_value(label: Box, value: Box) -> Column:
@@ -88,42 +144,66 @@ def label_owns_value(label: Box, value: Box) -> Column:
 
 
 def reconcile_items(claims: DataFrame, lines: DataFrame, observations: DataFrame, owned: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
-    """One decision for each claim of a chart.
+    """One decision for each claim.
+
+    claims: keys, item, type (of the proposal), label, value, block (null without a parent), pie (its parent is one), and
+    the proposal's box p_x, p_y, p_w, p_h. observations: block, obs, category, series, raw_value, value_evidence_id,
+    companion_raw, companion_evidence_id. owned: block, evidence_id of the lines that a block owns.
 
-    claims: keys, item, label, value, block (null without a parent). observations: block, obs, category, raw_value,
-    value_evidence_id. owned: block, evidence_id of the lines that a block owns."""
+    percentage_evidence_id: the one owned percentage below a printed amount of a pie, when an observation of it takes the
+    amount as companion, or has its label confirmed or corrected."""
     at = [*keys, item]
-    value = unique_printed(claims, lines, keys, item, "value")
-    single = unique_printed(claims, lines, keys, item, "label")
-    several = joined_labels(claims.join(single, at, "left_anti"), lines, keys, item, "label")
-    label = single.unionByName(several)
-    found = claims.join(prefixed(value, "v_", at), at, "left").join(prefixed(label, "l_", at), at, "left")
-    printed = F.coalesce(label_owns_value(box("l_"), box("v_")), F.lit(False))
-    found = found.withColumn("pair_printed", printed)
-
-    keyed = observations.select("block", "obs", "category", "value_evidence_id", T.evidence_key(F.col("raw_value")).alias("_key"))
-    met = found.withColumn("_key", T.evidence_key(F.col("value"))).join(keyed, ["block", "_key"])
-    met = met.withColumn("_exact", F.col("value_evidence_id").eqNullSafe(F.col("v_evidence_id")))
-    counted = met.groupBy(*at).agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_exact"), 1)).alias("_m"), F.min("category").alias("_any"), F.min(F.when(F.col("_exact"), F.col("category"))).alias("_own"))
-    several_values = (F.col("_n") > 1) & F.col("v_evidence_id").isNotNull()
-    found = found.join(counted, at, "left")
-    matches = F.coalesce(F.when(several_values, F.col("_m")).otherwise(F.col("_n")), F.lit(0))
-    source = F.when(several_values, F.col("_own")).otherwise(F.col("_any"))
-
-    for side in ("l", "v"):
-        mark = owned.select("block", F.col("evidence_id").alias(f"{side}_evidence_id")).distinct().withColumn(f"_{side}_owned", F.lit(True))
-        found = found.join(mark, ["block", f"{side}_evidence_id"], "left")
-    both_owned = F.col("_l_owned").isNotNull() & F.col("_v_owned").isNotNull()
+    key = lambda c: T.evidence_key(F.coalesce(F.col(c), F.lit("")))
+    asked = claims.withColumn("_vkey", key("value")).withColumn("_lkey", key("label"))
+    part = F.col("l_ocr") & (F.col("l_key") != "") & F.col("_lkey").contains(F.col("l_key"))
+    percent = F.col("l_ocr") & F.trim("l_text").rlike(_PERCENT)
+    found = _with_lines(asked, lines, keys, item, F.col("l_key").isin(F.col("_vkey"), F.col("_lkey")) | part | percent)
+    mine = owned.groupBy("block").agg(F.collect_set("evidence_id").alias("_owned"))  # the lines of one block of a page
+    claim = F.struct("obs", "category", "series", key("raw_value").alias("raw"), key("companion_raw").alias("side"), F.col("value_evidence_id").alias("vid"), F.col("companion_evidence_id").alias("cid"))
+    seen = observations.groupBy("block").agg(F.array_sort(F.collect_list(claim)).alias("_claims"))
+    found = found.join(mine, "block", "left").join(seen, "block", "left")
+
+    printed = lambda wanted: F.filter("found", lambda line: line["inside"] & (wanted != "") & (line["key"] == wanted))
+    found = found.withColumn("_value", one_place(printed(F.col("_vkey")))).withColumn("_single", one_place(printed(F.col("_lkey"))))
+    several = F.when(F.col("_single").isNull() & F.col("_value").isNotNull(), joined_lines(F.col("found"), F.col("_lkey"), F.col("_value")))
+    plain = F.struct(*(F.col(f"_single.{c}").alias(c) for c in ("y", "x", "seq", "evidence_id", "w", "h", "key")))
+    found = found.withColumn("_label", _envelope(F.when(F.col("_single").isNotNull(), F.array(plain)).otherwise(several)))
+    v, label = F.col("_value"), F.col("_label")
+    found = found.withColumn("pair_printed", F.coalesce(label_owns_value(_box_of(label), _box_of(v)), F.lit(False)))
+    both_owned = F.coalesce(F.array_contains("_owned", v["evidence_id"]) & (F.size(F.array_except(label["evidence_ids"], F.col("_owned"))) == 0), F.lit(False))
+
+    same = F.filter("_claims", lambda c: (c["raw"] == F.col("_vkey")) | (c["side"] == F.col("_vkey")))
+    found = found.withColumn("_same", F.coalesce(same, F.expr("filter(_claims, c -> false)")))
+    exact = F.filter("_same", lambda c: F.coalesce(c["vid"] == v["evidence_id"], F.lit(False)) | F.coalesce(c["cid"] == v["evidence_id"], F.lit(False)))
+    found = found.withColumn("_chosen", F.when((F.size("_same") > 1) & v.isNotNull(), exact).otherwise(F.col("_same")))
+    one = F.coalesce(F.size("_chosen"), F.lit(0)) == 1
+
+    amount = F.col("pair_printed") & (F.col("type") == "chart") & F.col("pie") & v["text"].rlike("[$€£]")
+    below = lambda p: (F.abs(_box_of(p).cx - _box_of(v).cx) <= 75) & (p["y"] - _box_of(v).bottom).between(-12, 75)
+    stacked = F.filter("found", lambda p: p["ocr"] & F.trim(p["text"]).rlike(_PERCENT) & F.coalesce(F.array_contains("_owned", p["evidence_id"]), F.lit(False)) & below(p))
+    found = found.withColumn("_percent", F.when(amount & (F.size(stacked) == 1), F.get(stacked, F.lit(0))))
+    of_it = F.filter("_claims", lambda c: (c["vid"] == F.col("_percent.evidence_id")) & (c["raw"] == F.col("_percent.key")))
+    found = found.withColumn("_of_it", F.when(F.col("_percent").isNotNull(), of_it)).withColumn("_stacked", F.coalesce(F.size("_of_it"), F.lit(0)) == 1)
+    attached = F.col("_stacked") & both_owned & F.get("_of_it", F.lit(0))["cid"].isNull() & T.numeric_value(v["text"])["value"].isNotNull()
+
+    is_kpi, chosen, wanted = F.col("type") == "kpi_panel", F.get("_chosen", F.lit(0)), F.col("_lkey")
+    category, series = (T.evidence_key(F.coalesce(chosen[c], F.lit(""))) for c in ("category", "series"))
+    own_label = F.when(is_kpi & (series != ""), series).otherwise(category)
+    agrees = (own_label == wanted) | (is_kpi & ((series == wanted) | (category == wanted)))
     decision = (
         F.when(F.col("block").isNull(), "no_matching_source_block")
-        .when((matches != 1) & F.col("v_evidence_id").isNotNull(), "printed_vision_value_missing_or_ambiguous_in_source_block")
-        .when(matches != 1, "vision_value_not_uniquely_printed")
-        .when(T.evidence_key(source) == T.evidence_key(F.col("label")), "agreement")
-        .when(~F.col("pair_printed"), "ownership_disagreement_needs_review")
+        .when(~one & attached, "printed_amount_attached_to_percentage")
+        .when(~one & v.isNotNull(), "printed_vision_value_missing_or_ambiguous_in_source_block")
+        .when(~one, "vision_value_not_uniquely_printed")
+        .when(agrees, "agreement")
+        .when((F.col("type") != "chart") | ~F.col("pair_printed"), "ownership_disagreement_needs_review")
         .when(~both_owned, "printed_pair_outside_block_ownership")
         .otherwise("label_corrected_from_printed_pair")
     )
-    return found.select(*at, decision.alias("decision"), F.col("v_evidence_id").alias("value_evidence_id"), F.col("l_evidence_id").alias("label_evidence_id"), "pair_printed")
+    found = found.withColumn("decision", decision)
+    settled = F.col("decision").isin("agreement", "label_corrected_from_printed_pair", "printed_amount_attached_to_percentage")
+    ids = label["evidence_ids"]
+    return found.select(*at, "decision", v["evidence_id"].alias("value_evidence_id"), F.get(ids, F.lit(0)).alias("label_evidence_id"), ids.alias("label_evidence_ids"), "pair_printed", F.when(settled & F.col("_stacked"), F.col("_percent.evidence_id")).alias("percentage_evidence_id"))
 
 
 def companion_percentages(amounts: DataFrame, lines: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
@@ -137,23 +217,6 @@ def companion_percentages(amounts: DataFrame, lines: DataFrame, keys: Sequence[s
     return one.where("_n = 1").drop("_n")
 
 
-def attached_amounts(decided: DataFrame, claims: DataFrame, lines: DataFrame, observations: DataFrame, owned: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
-    """keys, item, obs, decision for claims whose printed and owned amount stands over the one owned percentage of an
-    observation: the amount becomes that observation's companion. claims: with block of pies only; decided: the result
-    of reconcile_items."""
-    at = [*keys, item]
-    open_ = decided.where("pair_printed AND decision = 'printed_vision_value_missing_or_ambiguous_in_source_block'").join(claims.select(*at, "block"), at)
-    for side in ("value_evidence_id", "label_evidence_id"):
-        open_ = open_.join(owned.select("block", F.col("evidence_id").alias(side)), ["block", side], "left_semi")
-    place = lines.select(*keys, F.col("evidence_id").alias("value_evidence_id"), "text", "x", "y", "w", "h")
-    stacked = companion_percentages(open_.join(place, [*keys, "value_evidence_id"]), lines, keys, item)
-    mine = stacked.join(open_.select(*at, "block"), at).join(owned.select("block", "evidence_id"), ["block", "evidence_id"], "left_semi")
-    seen = observations.select("block", "obs", F.col("value_evidence_id").alias("evidence_id"), T.evidence_key(F.col("raw_value")).alias("_key"))
-    met = mine.withColumn("_key", T.evidence_key(F.col("text"))).join(seen, ["block", "evidence_id", "_key"])
-    one = met.groupBy(*at).agg(F.count(F.lit(1)).alias("_n"), F.min("obs").alias("obs")).where("_n = 1").drop("_n")
-    return one.withColumn("decision", F.lit("printed_amount_attached_to_percentage"))
-
-
 def reconcile_cells(proposed: DataFrame, cells: DataFrame, native: DataFrame) -> DataFrame:
     """table_id, item, decision for proposed cells (table_id, item, row_label, column_label, value).
 

@@ -63,58 +63,117 @@ def region_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.hint_regions(proposals(regions), regions, PAGE)
 
 
-#: Blocks: one chart a page, but none on pages 4, 9, ... Its observations name the segment after next where
-#: (page * slot) % 4 = 1 and lack the slots where (page + 3 * slot) % 8 = 2. It owns all lines but the values of slot 3.
+#: Printed lines of the charts: labels of slot 4 in two lines (page % 3 = 1) and of slot 3 in three (page % 3 = 2);
+#: percentages below the values (page % 3 = 0); values of slots 0 and 1 printed again (page % 4 = 2), out of the proposals'
+#: box and in it. Blocks: one a page, but none on pages 4, 9, ...; panels of figures where page % 7 = 3, pies where
+#: page % 3 = 0. Observations name the segment after next where (page * slot) % 4 = 1; where (page + 3 * slot) % 8 = 2 they
+#: are missing, or on pies hold the percentage, which on even pages has the amount as companion. A block owns all lines but
+#: the values of slot 3.
 ITEMS_SQL = f"""
 WITH {CHART_SQL}, {CLAIMS_SQL},
-obs AS (
-  SELECT v.page AS block, v.slot AS obs, v.evidence_id AS value_evidence_id, v.text AS raw_value,
-         CASE WHEN (v.page * v.slot) % 4 = 1 THEN (['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'])[(v.slot + 2) % 5 + 1] ELSE l.text END AS category
-  FROM chart v JOIN chart l ON v.page = l.page AND v.slot = l.slot AND v.role = 'value' AND l.role = 'label' WHERE v.page % 5 <> 4 AND (v.page + 3 * v.slot) % 8 <> 2),
-keyed AS (SELECT *, regexp_replace(lower(text), '[^a-z0-9%$€£.]+', '', 'g') AS key FROM chart),
-vm AS (SELECT c.page, c.slot, k.evidence_id, k.seq, k.x, k.y, k.w, k.h FROM claims c JOIN keyed k ON c.page = k.page AND regexp_replace(lower(c.value), '[^a-z0-9%$€£.]+', '', 'g') = k.key),
-lm AS (SELECT c.page, c.slot, k.evidence_id, k.seq, k.x, k.y, k.w, k.h FROM claims c JOIN keyed k ON c.page = k.page AND regexp_replace(lower(c.label), '[^a-z0-9%$€£.]+', '', 'g') = k.key),
-v1 AS (SELECT * FROM vm QUALIFY count(*) OVER (PARTITION BY page, slot) = 1),
-l1 AS (SELECT * FROM lm QUALIFY count(*) OVER (PARTITION BY page, slot) = 1),
+cl AS (
+  SELECT page, seq, evidence_id, text, x, y, w, h FROM chart WHERE NOT (role = 'label' AND (slot = 4 AND page % 3 = 1 OR slot = 3 AND page % 3 = 2))
+  UNION ALL SELECT page, 50 + k, page || '-ocr-l4' || k, part, x, 176 + 24 * k, 60, 18 FROM chart, (VALUES (0, 'MACHI'), (1, 'NERY')) t(k, part) WHERE role = 'label' AND slot = 4 AND page % 3 = 1
+  UNION ALL SELECT page, 60 + k, page || '-ocr-l3' || k, part, x, 152 + 24 * k, 60, 18 FROM chart, (VALUES (0, 'HOUSE'), (1, 'HO'), (2, 'LD')) t(k, part) WHERE role = 'label' AND slot = 3 AND page % 3 = 2
+  UNION ALL SELECT page, 100 + slot, page || '-ocr-p' || slot, (10 + slot) || '.5%', x + 10, 252, 40, 18 FROM chart WHERE role = 'value' AND page % 3 = 0
+  UNION ALL SELECT page, 200 + slot, page || '-ocr-d' || slot, text, CASE WHEN slot = 0 THEN x ELSE 900 END, CASE WHEN slot = 0 THEN 800 ELSE 300 END, 60, 18 FROM chart WHERE role = 'value' AND page % 4 = 2 AND slot <= 1),
+seen AS (
+  SELECT v.page AS block, v.slot AS obs, v.evidence_id AS vid, v.text AS raw, CASE WHEN (v.page * v.slot) % 4 = 1 THEN (['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'])[(v.slot + 2) % 5 + 1] ELSE l.text END AS name, NULL AS craw, NULL AS cid
+  FROM chart v JOIN chart l ON v.page = l.page AND v.slot = l.slot AND v.role = 'value' AND l.role = 'label' WHERE v.page % 5 <> 4 AND (v.page + 3 * v.slot) % 8 <> 2
+  UNION ALL
+  SELECT v.page, v.slot, v.page || '-ocr-p' || v.slot, (10 + v.slot) || '.5%', l.text, CASE WHEN v.page % 2 = 0 THEN v.text END, CASE WHEN v.page % 2 = 0 THEN v.evidence_id END
+  FROM chart v JOIN chart l ON v.page = l.page AND v.slot = l.slot AND v.role = 'value' AND l.role = 'label' WHERE v.page % 5 <> 4 AND v.page % 3 = 0 AND (v.page + 3 * v.slot) % 8 = 2),
+obs AS (SELECT block, obs, vid, cid, regexp_replace(lower(raw), '[^a-z0-9%$€£.]+', '', 'g') AS rk, regexp_replace(lower(coalesce(craw, '')), '[^a-z0-9%$€£.]+', '', 'g') AS ck, CASE WHEN block % 7 = 3 THEN 'total' ELSE lower(name) END AS category, CASE WHEN block % 7 = 3 THEN lower(name) ELSE '' END AS series FROM seen),
+keyed AS (SELECT *, regexp_replace(lower(text), '[^a-z0-9%$€£.]+', '', 'g') AS key FROM cl WHERE x + w / 2 BETWEEN -15 AND 1015 AND y + h / 2 BETWEEN 135 AND 365),
+c AS (SELECT *, regexp_replace(lower(value), '[^a-z0-9%$€£.]+', '', 'g') AS vk, regexp_replace(lower(label), '[^a-z0-9%$€£.]+', '', 'g') AS lk, CASE WHEN page % 7 = 3 THEN 'kpi_panel' ELSE 'chart' END AS type, CASE WHEN page % 5 <> 4 THEN page END AS block FROM claims),
+v1 AS (SELECT c.page, c.slot, k.evidence_id, k.text, k.x, k.y, k.w, k.h FROM c JOIN keyed k ON c.page = k.page AND c.vk = k.key QUALIFY count(*) OVER (PARTITION BY c.page, c.slot) = 1),
+l1 AS (SELECT c.page, c.slot, [k.evidence_id] AS ids, k.x, k.y, k.w, k.h FROM c JOIN keyed k ON c.page = k.page AND c.lk = k.key QUALIFY count(*) OVER (PARTITION BY c.page, c.slot) = 1),
+pool AS (SELECT c.page, c.slot, c.lk, k.key, k.evidence_id AS id, k.seq, k.x, k.y, k.w, k.h FROM c JOIN v1 USING (page, slot) ANTI JOIN l1 USING (page, slot) JOIN keyed k ON c.page = k.page AND regexp_matches(k.text, '[A-Za-z]') AND abs(k.x + k.w / 2 - v1.x - v1.w / 2) <= 170 AND k.y BETWEEN v1.y - 150 AND v1.y + 20),
+two AS (SELECT a.page, a.slot, [a.id, b.id] AS ids, least(a.x, b.x) AS x, a.y, greatest(a.x + a.w, b.x + b.w) - least(a.x, b.x) AS w, b.y + b.h - a.y AS h FROM pool a JOIN pool b ON a.page = b.page AND a.slot = b.slot AND (a.y, a.x, a.seq) < (b.y, b.x, b.seq) AND b.y - a.y <= 100 AND a.key || b.key = a.lk),
+three AS (SELECT a.page, a.slot, [a.id, b.id, c.id] AS ids, least(a.x, b.x, c.x) AS x, a.y, greatest(a.x + a.w, b.x + b.w, c.x + c.w) - least(a.x, b.x, c.x) AS w, c.y + c.h - a.y AS h FROM pool a JOIN pool b ON a.page = b.page AND a.slot = b.slot AND (a.y, a.x, a.seq) < (b.y, b.x, b.seq) JOIN pool c ON a.page = c.page AND a.slot = c.slot AND (b.y, b.x, b.seq) < (c.y, c.x, c.seq) AND c.y - a.y <= 100 AND a.key || b.key || c.key = a.lk WHERE NOT EXISTS (SELECT 1 FROM two t WHERE t.page = a.page AND t.slot = a.slot)),
+l2 AS (SELECT * FROM l1 UNION ALL SELECT * FROM (SELECT * FROM two UNION ALL SELECT * FROM three) QUALIFY count(*) OVER (PARTITION BY page, slot) = 1),
 f AS (
-  SELECT c.page, c.slot, c.label, c.value, CASE WHEN c.page % 5 <> 4 THEN c.page END AS block, v1.evidence_id AS v_id, l1.evidence_id AS l_id,
-         coalesce(abs(l1.x + l1.w / 2 - v1.x - v1.w / 2) <= greatest(90.0, (l1.w + v1.w) * 0.65) AND v1.y - l1.y - l1.h BETWEEN -25 AND 150, false) AS pair_printed
-  FROM claims c LEFT JOIN v1 USING (page, slot) LEFT JOIN l1 USING (page, slot)),
+  SELECT c.*, v1.evidence_id AS v_id, v1.text AS v_text, v1.x AS vx, v1.y AS vy, v1.w AS vw, v1.h AS vh, l2.ids,
+         coalesce(abs(l2.x + l2.w / 2 - v1.x - v1.w / 2) <= greatest(90.0, (l2.w + v1.w) * 0.65) AND v1.y - l2.y - l2.h BETWEEN -25 AND 150, false) AS pair_printed,
+         coalesce(ids IS NOT NULL AND v1.evidence_id NOT LIKE '%-ocr-v3', false) AS both_owned
+  FROM c LEFT JOIN v1 USING (page, slot) LEFT JOIN l2 USING (page, slot)),
 m AS (
-  SELECT f.page, f.slot, count(*) AS n, count(*) FILTER (o.value_evidence_id = f.v_id) AS m, min(o.category) AS any_category, min(o.category) FILTER (o.value_evidence_id = f.v_id) AS own_category
-  FROM f JOIN obs o ON f.block = o.block AND regexp_replace(lower(f.value), '[^a-z0-9%$€£.]+', '', 'g') = regexp_replace(lower(o.raw_value), '[^a-z0-9%$€£.]+', '', 'g') GROUP BY ALL),
+  SELECT f.page, f.slot, count(*) AS n, count(*) FILTER (o.vid = f.v_id OR o.cid = f.v_id) AS m, min(struct_pack(o := o.obs, category := o.category, series := o.series)) AS any_claim, min(struct_pack(o := o.obs, category := o.category, series := o.series)) FILTER (o.vid = f.v_id OR o.cid = f.v_id) AS own_claim
+  FROM f JOIN obs o ON f.block = o.block AND (f.vk = o.rk OR f.vk = o.ck) GROUP BY ALL),
+st AS (
+  SELECT f.page, f.slot, min(p.evidence_id) AS pid FROM f JOIN cl p ON f.page = p.page AND p.evidence_id LIKE '%-ocr-p%' AND abs(p.x + p.w / 2 - f.vx - f.vw / 2) <= 75 AND p.y - f.vy - f.vh BETWEEN -12 AND 75
+  WHERE f.pair_printed AND f.type = 'chart' AND f.page % 3 = 0 AND f.block IS NOT NULL GROUP BY ALL HAVING count(*) = 1),
+sk AS (SELECT st.*, o.cid FROM st JOIN obs o ON o.block = st.page AND o.vid = st.pid),
 g AS (
-  SELECT f.*, coalesce(CASE WHEN n > 1 AND v_id IS NOT NULL THEN m ELSE n END, 0) AS matches, CASE WHEN n > 1 AND v_id IS NOT NULL THEN own_category ELSE any_category END AS source
-  FROM f LEFT JOIN m USING (page, slot)),
+  SELECT f.*, pid, cid, coalesce(CASE WHEN n > 1 AND v_id IS NOT NULL THEN m ELSE n END, 0) AS matches, CASE WHEN n > 1 AND v_id IS NOT NULL THEN own_claim ELSE any_claim END AS claim
+  FROM f LEFT JOIN m USING (page, slot) LEFT JOIN sk USING (page, slot)),
 decided AS (
   SELECT page, slot, CASE WHEN block IS NULL THEN 'no_matching_source_block'
+    WHEN matches <> 1 AND pair_printed AND both_owned AND pid IS NOT NULL AND cid IS NULL THEN 'printed_amount_attached_to_percentage'
     WHEN matches <> 1 AND v_id IS NOT NULL THEN 'printed_vision_value_missing_or_ambiguous_in_source_block'
     WHEN matches <> 1 THEN 'vision_value_not_uniquely_printed'
-    WHEN lower(source) = lower(label) THEN 'agreement'
-    WHEN NOT pair_printed THEN 'ownership_disagreement_needs_review'
-    WHEN l_id IS NULL OR v_id IS NULL OR v_id LIKE '%v3' THEN 'printed_pair_outside_block_ownership'
-    ELSE 'label_corrected_from_printed_pair' END AS decision, v_id AS value_evidence_id, l_id AS label_evidence_id, pair_printed FROM g)
+    WHEN claim.category = lk OR type = 'kpi_panel' AND claim.series = lk THEN 'agreement'
+    WHEN type <> 'chart' OR NOT pair_printed THEN 'ownership_disagreement_needs_review'
+    WHEN NOT both_owned THEN 'printed_pair_outside_block_ownership'
+    ELSE 'label_corrected_from_printed_pair' END AS decision, v_id AS value_evidence_id, ids[1] AS label_evidence_id, array_to_string(ids, ',') AS label_evidence_ids, pair_printed, pid FROM g),
+final AS (SELECT * EXCLUDE (pid), CASE WHEN decision IN ('agreement', 'label_corrected_from_printed_pair', 'printed_amount_attached_to_percentage') THEN pid END AS percentage_evidence_id FROM decided)
 """
 
 
+def _printed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chart = chart_lines(spark, sf_dir)
+    page, slot, x = F.col("page"), F.col("slot"), F.col("x")
+    two, three = (slot == 4) & (page % 3 == 1), (slot == 3) & (page % 3 == 2)
+    labels, values = chart.where("role = 'label'"), chart.where("role = 'value'")
+    row = lambda frame, seq, mark, text, x, y, w: frame.select("page", seq.cast("long").alias("seq"), F.concat(page, F.lit("-ocr-"), mark).alias("evidence_id"), text.alias("text"), x.cast("long").alias("x"), y.cast("long").alias("y"), F.lit(w).cast("long").alias("w"), F.lit(18).cast("long").alias("h"))
+
+    def parts(where, words, seq, mark, top):
+        cut = labels.where(where).select("page", "x", F.posexplode(F.array(*map(F.lit, words))).alias("k", "part"))
+        return row(cut, seq + F.col("k"), F.concat(F.lit(mark), "k"), F.col("part"), x, top + 24 * F.col("k"), 60)
+
+    plain = chart.where(~((F.col("role") == "label") & (two | three))).select("page", "seq", "evidence_id", "text", "x", "y", "w", "h")
+    below = row(values.where("page % 3 = 0"), 100 + slot, F.concat(F.lit("p"), slot), F.concat(10 + slot, F.lit(".5%")), x + 10, F.lit(252), 40)
+    again = row(values.where("page % 4 = 2 AND slot <= 1"), 200 + slot, F.concat(F.lit("d"), slot), F.col("text"), F.when(slot == 0, x).otherwise(900), F.when(slot == 0, 800).otherwise(300), 60)
+    found = plain.unionByName(parts(two, ("MACHI", "NERY"), 50, "l4", 176)).unionByName(parts(three, ("HOUSE", "HO", "LD"), 60, "l3", 152))
+    return found.unionByName(below).unionByName(again).withColumn("conf", F.lit(90))
+
+
+def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chart = chart_lines(spark, sf_dir).where("page % 5 <> 4")
+    label = chart.where("role = 'label'").select("page", "slot", F.col("text").alias("label"))
+    page, slot = F.col("page"), F.col("slot")
+    values = chart.where("role = 'value'").join(label, ["page", "slot"]).withColumn("gone", (page + 3 * slot) % 8 == 2).where(~F.col("gone") | (page % 3 == 0))
+    wrong = F.element_at(F.array(*(F.lit(s) for s in SEGMENTS)), ((slot + 2) % 5 + 1).cast("int"))
+    name = F.when(~F.col("gone") & (page * slot % 4 == 1), wrong).otherwise(F.col("label"))
+    panel, side = page % 7 == 3, F.col("gone") & (page % 2 == 0)
+    return values.select(
+        page.alias("block"),
+        slot.alias("obs"),
+        F.when(panel, "total").otherwise(name).alias("category"),
+        F.when(panel, name).alias("series"),
+        F.when(F.col("gone"), F.concat(10 + slot, F.lit(".5%"))).otherwise(F.col("text")).alias("raw_value"),
+        F.when(F.col("gone"), F.concat(page, F.lit("-ocr-p"), slot)).otherwise(F.col("evidence_id")).alias("value_evidence_id"),
+        F.when(side, F.col("text")).alias("companion_raw"),
+        F.when(side, F.col("evidence_id")).alias("companion_evidence_id"),
+    )
+
+
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = chart_lines(spark, sf_dir).withColumn("conf", F.lit(90))
-    block = F.when(F.col("page") % 5 != 4, F.col("page"))
-    claims = chart_claims(spark, sf_dir).withColumn("block", block)
-    label = lines.where("role = 'label'").select("page", "slot", F.col("text").alias("label"))
-    values = lines.where("role = 'value' AND page % 5 <> 4 AND (page + 3 * slot) % 8 <> 2").join(label, ["page", "slot"])
-    wrong = F.element_at(F.array(*(F.lit(s) for s in SEGMENTS)), ((F.col("slot") + 2) % 5 + 1).cast("int"))
-    observations = values.select(F.col("page").alias("block"), F.col("slot").alias("obs"), F.when(F.col("page") * F.col("slot") % 4 == 1, wrong).otherwise(F.col("label")).alias("category"), F.col("text").alias("raw_value"), F.col("evidence_id").alias("value_evidence_id"))
-    owned = lines.where(~((F.col("role") == "value") & (F.col("slot") == 3))).select(F.col("page").alias("block"), "evidence_id")
-    return R.reconcile_items(claims, lines, observations, owned, ["page"], "slot")
+    lines, page = _printed(spark, sf_dir), F.col("page")
+    within = {"p_x": 0, "p_y": 150, "p_w": 1000, "p_h": 200}
+    claims = chart_claims(spark, sf_dir).withColumn("block", F.when(page % 5 != 4, page)).withColumn("type", F.when(page % 7 == 3, "kpi_panel").otherwise("chart")).withColumn("pie", page % 3 == 0)
+    claims = claims.withColumns({c: F.lit(v) for c, v in within.items()})
+    owned = lines.where(~F.col("evidence_id").endswith("-ocr-v3")).select(page.alias("block"), "evidence_id")
+    found = R.reconcile_items(claims, lines, _observations(spark, sf_dir), owned, ["page"], "slot")
+    return found.withColumn("label_evidence_ids", F.array_join("label_evidence_ids", ","))
 
 
-@query("reconcile_items", ITEMS_SQL + "SELECT * FROM decided")
+@query("reconcile_items", ITEMS_SQL + "SELECT * FROM final")
 def reconcile_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _items(spark, sf_dir)
 
 
-@query("decision_counts", ITEMS_SQL + "SELECT page, decision, count(*) AS decisions FROM decided GROUP BY page, decision UNION ALL SELECT NULL, decision, count(*) FROM decided GROUP BY decision")
+@query("decision_counts", ITEMS_SQL + "SELECT page, decision, count(*) AS decisions FROM final GROUP BY page, decision UNION ALL SELECT NULL, decision, count(*) FROM final GROUP BY decision")
 def decision_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.decision_counts(_items(spark, sf_dir), "page")
 

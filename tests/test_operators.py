@@ -88,12 +88,22 @@ def test_grounding_uses_a_value_once_and_declines_ties(spark):
     assert ordered == found
 
 
-def test_two_lines_make_a_label(spark):
-    made = lines(spark, ("Real", 100, 100), ("Estate", 100, 115), ("Cash", 300, 100), ("Real", 600, 100), ("Other", 600, 115))
-    asked = spark.createDataFrame([(1, 1, 0, "Real Estate"), (1, 1, 1, "Cash"), (1, 1, 2, "Nothing")], "doc_id long, page long, item long, label string")
-    assert {(r.item, r.evidence_id, r.h) for r in R.joined_labels(asked, made, ["doc_id", "page"], "item", "label").where("item = 0 AND x = 100").collect()} == set()
-    once = made.where("seq <> 3")
-    assert {(r.item, r.evidence_id, r.h) for r in R.joined_labels(asked, once, ["doc_id", "page"], "item", "label").collect()} == {(0, "p-ocr-0", 25)}
+def test_two_or_three_lines_make_a_label(spark):
+    made = lines(spark, ("Real", 100, 100), ("Estate", 100, 115), ("Cash", 300, 100), ("Real", 600, 100), ("Other", 600, 115), ("Real", 110, 130), ("Net", 500, 100), ("Asset", 500, 115), ("Value", 500, 130))
+    keys, at = ["doc_id", "page"], "doc_id long, page long, item long"
+    asked = [(1, 1, 0, "Real Estate", 100, 140), (1, 1, 1, "Cash", 300, 120), (1, 1, 2, "Nothing", 100, 140), (1, 1, 3, "Real Estate", 800, 140), (1, 1, 4, "Net Asset Value", 500, 145), (1, 1, 5, "Estate Real", 100, 140)]
+    wanted = spark.createDataFrame([(*r, 40, 10) for r in asked], f"{at}, label string, v_x long, v_y long, v_w long, v_h long")
+    found = {r.item: (r.evidence_ids, r.x, r.y, r.h) for r in R.joined_labels(wanted, made, keys, "item", "label").collect()}
+    assert found == {0: (["p-ocr-0", "p-ocr-1"], 100, 100, 25), 4: (["p-ocr-6", "p-ocr-7", "p-ocr-8"], 500, 100, 40), 5: (["p-ocr-1", "p-ocr-5"], 100, 115, 25)}
+    twice = made.unionByName(lines(spark, ("x", 0, 0), ("Estate", 120, 135)).where("seq = 1").withColumn("evidence_id", F.lit("p-ocr-20")).withColumn("seq", F.lit(20)))
+    assert 0 not in {r.item for r in R.joined_labels(wanted, twice, keys, "item", "label").collect()}
+
+
+def test_a_value_printed_outside_the_proposal_does_not_decline(spark):
+    made = lines(spark, ("5%", 100, 100), ("5%", 100, 800))
+    asked = spark.createDataFrame([(1, 1, 0, "5%", 90, 90, 100, 50), (1, 1, 1, "5%", 0, 0, 1000, 1000)], "doc_id long, page long, item long, value string, p_x long, p_y long, p_w long, p_h long")
+    found = R.unique_printed(asked, made, ["doc_id", "page"], "item", "value").collect()
+    assert [(r.item, r.evidence_id) for r in found] == [(0, "p-ocr-0")]
 
 
 def test_printed_twice_is_declined_unless_in_one_place(spark):
@@ -106,14 +116,20 @@ def test_printed_twice_is_declined_unless_in_one_place(spark):
 def test_amount_attaches_to_the_percentage_below(spark):
     made = lines(spark, ("Cash", 100, 100), ("$80M", 100, 120), ("80%", 100, 135))
     keys, at = ["doc_id", "page"], "doc_id long, page long, item long"
-    claims = spark.createDataFrame([(1, 1, 0, "Cash", "$80M", 7)], f"{at}, label string, value string, block long")
-    observations = spark.createDataFrame([(7, 3, "Cash", "80%", "p-ocr-2")], "block long, obs long, category string, raw_value string, value_evidence_id string")
+    claims = spark.createDataFrame([(1, 1, 0, "chart", "Cash", "$80M", 7, True, 0, 0, 1000, 1000)], f"{at}, type string, label string, value string, block long, pie boolean, p_x long, p_y long, p_w long, p_h long")
+    schema = "block long, obs long, category string, series string, raw_value string, value_evidence_id string, companion_raw string, companion_evidence_id string"
+    observations = spark.createDataFrame([(7, 3, "Cash", None, "80%", "p-ocr-2", None, None)], schema)
     owned = spark.createDataFrame([(7, f"p-ocr-{k}") for k in range(3)], "block long, evidence_id string")
-    decided = R.reconcile_items(claims, made, observations, owned, keys, "item")
-    assert decided.first().decision == "printed_vision_value_missing_or_ambiguous_in_source_block"
-    found = R.attached_amounts(decided, claims, made, observations, owned, keys, "item").collect()
-    assert [(r.item, r.obs, r.decision) for r in found] == [(0, 3, "printed_amount_attached_to_percentage")]
-    assert R.attached_amounts(decided, claims, made, observations, owned.where("evidence_id <> 'p-ocr-2'"), keys, "item").count() == 0
+    decide = lambda claims, observations, owned: R.reconcile_items(claims, made, observations, owned, keys, "item").first()
+    found = decide(claims, observations, owned)
+    assert (found.decision, found.percentage_evidence_id) == ("printed_amount_attached_to_percentage", "p-ocr-2")
+    missing = "printed_vision_value_missing_or_ambiguous_in_source_block"
+    assert decide(claims, observations, owned.where("evidence_id <> 'p-ocr-2'")).decision == missing
+    assert decide(claims.withColumn("pie", F.lit(False)), observations, owned).decision == missing
+    taken = spark.createDataFrame([(7, 3, "Cash", None, "80%", "p-ocr-2", "$9M", "p-ocr-9")], schema)
+    assert decide(claims, taken, owned).decision == missing
+    companion = spark.createDataFrame([(7, 3, "Other", None, "80%", "p-ocr-2", "$80M", "p-ocr-1")], schema)
+    assert decide(claims, companion, owned).decision == "label_corrected_from_printed_pair"
 
 
 def test_bindings_without_additions(spark):
