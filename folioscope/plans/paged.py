@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioscope.operators import cards as K
 from folioscope.operators import charts as C
 from folioscope.operators import paged as P
 from folioscope.sources.evidence import CHART_SQL, chart_lines, evidence_lines, page_regions, table
@@ -121,6 +122,58 @@ def axis_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.neighbours(marks, ticks, ["page"])
 
 
+#: Three cards a nation: no sign where (page + k) % 7 = 6, a second line of the name where page % 3 = 0, a count where
+#: (page + k) % 2 = 0.
+CARDS_SQL = r"""
+WITH base AS (SELECT CAST(n_nationkey AS BIGINT) AS page, lower(n_name) AS name, count(c_custkey) AS n FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL),
+b AS (SELECT *, 100 + 250 * k AS top FROM base, range(3) t(k)),
+l AS (
+  SELECT page, k * 10 AS seq, '$' AS text, 100 AS x, top AS y, 15 AS w, 40 AS h FROM b WHERE (page + k) % 7 <> 6
+  UNION ALL SELECT page, k * 10 + 1, CAST(n + k * 1000 AS VARCHAR), 130, top, 60, 40 FROM b
+  UNION ALL SELECT page, k * 10 + 2, CASE WHEN (page + k) % 2 = 0 THEN 'Million' ELSE 'k' END, 200, top + 10, 70, 18 FROM b
+  UNION ALL SELECT page, k * 10 + 3, name, 120, top + 70, 120, 18 FROM b
+  UNION ALL SELECT page, k * 10 + 4, 'of all', 120, top + 95, 120, 18 FROM b WHERE page % 3 = 0
+  UNION ALL SELECT page, k * 10 + 5, CAST(page * 3 + k + 1 AS VARCHAR), 400, top + 20, 40, 18 FROM b WHERE (page + k) % 2 = 0
+  UNION ALL SELECT page, k * 10 + 6, 'Accounts', 390, top + 50, 80, 18 FROM b),
+c AS (SELECT *, page || '-ocr-' || seq AS id, x + w / 2 AS cx, y + h / 2 AS cy, regexp_full_match(text, '\d[\d,]*') AS num, text IN ('Million', 'k') AS unit FROM l),
+un AS (SELECT u.page, u.seq AS u, n.seq AS n FROM c u JOIN c n ON u.page = n.page AND u.unit AND n.num AND n.cx < u.cx + 25 AND n.cy BETWEEN u.y - 25 AND u.y + u.h + 25 QUALIFY row_number() OVER (PARTITION BY u.page, u.seq ORDER BY sqrt(pow(u.cx - n.cx, 2) + pow(u.cy - n.cy, 2)), n.seq) = 1),
+us AS (SELECT un.*, s.seq AS s FROM un JOIN c f ON f.page = un.page AND f.seq = un.n JOIN c s ON s.page = un.page AND s.text = '$' AND s.cx < f.cx AND abs(s.cy - f.cy) <= 90 QUALIFY row_number() OVER (PARTITION BY un.page, un.u ORDER BY sqrt(pow(s.cx - f.cx, 2) + pow(s.cy - f.cy, 2)), s.seq) = 1),
+cards AS (
+  SELECT us.*, f.cy AS middle, f.cx, row_number() OVER w - 1 AS card, coalesce((lag(f.cy) OVER w + f.cy) / 2, f.cy - 140) AS low, coalesce((lead(f.cy) OVER w + f.cy) / 2, f.cy + 180) AS high
+  FROM us JOIN c f ON f.page = us.page AND f.seq = us.n WINDOW w AS (PARTITION BY us.page ORDER BY f.cy, f.seq)),
+counts AS (
+  SELECT a.page, a.card, n.seq AS n, o.seq AS o, n.cx FROM cards a JOIN c n ON n.page = a.page AND n.num AND n.cy BETWEEN a.low AND a.high AND NOT EXISTS (SELECT 1 FROM cards z WHERE z.page = n.page AND z.n = n.seq)
+  JOIN c o ON o.page = n.page AND NOT regexp_matches(o.text, '\d') AND NOT o.unit AND o.text <> '$' AND abs(o.cx - n.cx) <= 130 AND o.cy - n.cy BETWEEN 0 AND 100
+  QUALIFY row_number() OVER (PARTITION BY a.page, a.card ORDER BY sqrt(pow(o.cx - n.cx, 2) + pow(o.cy - n.cy, 2)), n.seq, o.seq) = 1),
+names AS (
+  SELECT a.page, a.card, string_agg(r.text, ' ' ORDER BY r.y, r.x) AS series, arg_min(r.id, r.y) AS id FROM cards a LEFT JOIN counts k ON k.page = a.page AND k.card = a.card
+  JOIN c r ON r.page = a.page AND NOT r.num AND NOT r.unit AND r.text <> '$' AND r.cy BETWEEN greatest(a.low, a.middle + 45) AND a.high AND abs(r.cx - a.cx) <= 190 AND r.cx < coalesce(k.cx, 1000) - 30 GROUP BY ALL)
+SELECT a.page, CAST(a.card AS INTEGER) AS card, series, 'amount' AS label, '$' || f.text || ' ' || lower(u.text) AS value, CAST(f.text AS DOUBLE) * CASE WHEN u.text = 'k' THEN 1e3 ELSE 1e6 END AS normalized, f.id AS value_evidence_id, m.id AS label_evidence_id
+FROM cards a JOIN names m USING (page, card) JOIN c f ON f.page = a.page AND f.seq = a.n JOIN c u ON u.page = a.page AND u.seq = a.u
+UNION ALL SELECT a.page, CAST(a.card AS INTEGER), series, o.text, n.text, CAST(n.text AS DOUBLE), n.id, o.id FROM cards a JOIN names USING (page, card) JOIN counts k USING (page, card) JOIN c n ON n.page = a.page AND n.seq = k.n JOIN c o ON o.page = a.page AND o.seq = k.o
+"""
+
+
+@query("figure_cards", CARDS_SQL)
+def figure_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "customer"), F.col("c_nationkey") == F.col("n_nationkey"), "left").groupBy(F.col("n_nationkey").cast("long").alias("page"), F.lower("n_name").alias("name")).agg(F.count("c_custkey").alias("n"))
+    base = counted.select("*", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k"))
+    page, k, at = F.col("page"), F.col("k"), 100 + 250 * F.col("k")
+    even = (page + k) % 2 == 0
+    made = [
+        (0, F.lit("$"), 100, at, 15, 40, (page + k) % 7 != 6),
+        (1, (F.col("n") + k * 1000).cast("string"), 130, at, 60, 40, None),
+        (2, F.when(even, "Million").otherwise("k"), 200, at + 10, 70, 18, None),
+        (3, F.col("name"), 120, at + 70, 120, 18, None),
+        (4, F.lit("of all"), 120, at + 95, 120, 18, page % 3 == 0),
+        (5, (page * 3 + k + 1).cast("string"), 400, at + 20, 40, 18, even),
+        (6, F.lit("Accounts"), 390, at + 50, 80, 18, None),
+    ]
+    each = F.array(*(F.when(F.lit(True) if where is None else where, F.struct((k * 10 + n).alias("seq"), text.alias("text"), F.lit(x).alias("x"), y.alias("y"), F.lit(w).alias("w"), F.lit(h).alias("h"))) for n, text, x, y, w, h, where in made))
+    lines = base.select("page", F.explode(each).alias("r")).where("r IS NOT NULL").select("page", "r.*").withColumn("evidence_id", F.concat("page", F.lit("-ocr-"), "seq"))
+    return K.figure_cards(lines, ["page"]).select("page", "card", "series", "label", "value", "normalized", "value_evidence_id", "label_evidence_id")
+
+
 @query("merged_visuals")
 def merged_visuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions = page_regions(evidence_lines(spark, sf_dir)).where("kind IN ('visual', 'unknown')").withColumnRenamed("region", "seq")
