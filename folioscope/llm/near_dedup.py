@@ -5,8 +5,8 @@ of the first collection and hash j of the second, so 32 minhashes make 64 tables
 texts share can make a shared table key, so the rest is dropped before the pairs are formed.
 
 Candidates are confirmed on full shingle sets without forming all pairs of a bucket:
-1. each text is compared with one pivot of its buckets (the smallest rep), then with a second one (the largest rep) in
-   buckets that still hold several components;
+1. a bucket's pivot is its first class by doc_id; each text is compared with the pivot that most of its buckets have,
+   which is likely the most similar, and then in buckets that still hold several components likewise with the last;
 2. texts of buckets that still hold several components are joined by an exact prefix filter (shingles by document
    frequency, rarest first, with length and position bounds), across components only. It loses no link among them. The
    join's key is a shingle and a band of set sizes, so that a frequent shingle falls into many keys.
@@ -117,20 +117,22 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _shared_cells(classes: DataFrame, column: str) -> DataFrame:
-    """rep, table, cell of the hashes that at least two classes have."""
-    cells = classes.select("rep", F.posexplode(column).alias("table", "cell"))
+    """rep, first_id, table, cell of the hashes that at least two classes have."""
+    cells = classes.select("rep", "first_id", F.posexplode(column).alias("table", "cell"))
     shared = cells.groupBy("table", "cell").count().where("count > 1").select("table", "cell")
     return cells.join(shared, ["table", "cell"], "left_semi")
 
 
 def bucket_members(classes: DataFrame) -> DataFrame:
-    """key, rep, low, high: every bucket with at least two classes, with its smallest and largest rep."""
-    first = _shared_cells(classes, "first").select("rep", F.col("table").alias("i"), F.col("cell").alias("a"))
+    """key, rep, low, high: every bucket with at least two classes, with the reps of its first and its last class by
+    doc_id: an original that copies were made from most often comes before them or after them."""
+    first = _shared_cells(classes, "first").select("rep", "first_id", F.col("table").alias("i"), F.col("cell").alias("a"))
     second = _shared_cells(classes, "second").select("rep", F.col("table").alias("j"), F.col("cell").alias("b"))
-    keyed = first.join(second, "rep").select("rep", F.xxhash64("i", "a", "j", "b").alias("key"))
+    keyed = first.join(second, "rep").select("rep", "first_id", F.xxhash64("i", "a", "j", "b").alias("key"))
     keyed = stored(keyed, "buckets")
-    ends = keyed.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    return stored(keyed.join(ends, "key"), "bucket-members")
+    place = F.struct("first_id", "rep")
+    ends = keyed.groupBy("key").agg(F.min(place)["rep"].alias("low"), F.max(place)["rep"].alias("high")).where("low <> high")
+    return stored(keyed.drop("first_id").join(ends, "key"), "bucket-members")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -225,10 +227,10 @@ def near_components(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
     full = texts.mapInArrow(_sets, "doc_id long, set_key binary, shingles array<long>")
     sets = stored(full.join(wanted, ["doc_id", "set_key"]).dropDuplicates(["rep"]).select("rep", "shingles"), "sets")
 
-    star = members.where("rep <> low").groupBy(F.col("rep").alias("a")).agg(F.min("low").alias("b"))
+    star = members.where("rep <> low").groupBy(F.col("rep").alias("a")).agg(F.mode("low", True).alias("b"))
     found = components(confirmed(star, sets, percent))
     open_ = _unresolved(members, found)
-    star = open_.where("rep <> high").groupBy(F.col("rep").alias("a")).agg(F.max("high").alias("b"))
+    star = open_.where("rep <> high").groupBy(F.col("rep").alias("a")).agg(F.mode("high", True).alias("b"))
     found = extended(found, confirmed(star, sets, percent))
     open_ = stored(_unresolved(members, found).select("rep", "component").distinct(), "open")
     pairs = stored(prefix_pairs(sets.join(open_, "rep"), percent), "prefix-pairs")
