@@ -6,7 +6,7 @@ from .base import QUERIES, SQL, Query
 
 
 def _load() -> None:
-    from . import capture, evidence, layout, paged, reconciliation, routing, scalars, stream, tables, validation  # noqa: F401
+    from . import capture, evidence, layout, paged, publication, reconciliation, routing, scalars, stream, tables, validation  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
