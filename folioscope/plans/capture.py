@@ -26,6 +26,8 @@ obs AS (
 
 
 def observations(lines: DataFrame) -> DataFrame:
+    """Surrogate observations of a page: native words of every third line and wide texts over every tenth, which leave
+    gaps on purpose. They are matched with all lines."""
     word = F.get(F.split("text", " "), F.lit(0))
     words = lines.where("seq % 3 = 0").select(*PAGE, F.concat(F.lit("w"), "seq").alias("obs"), F.lit("native_pdf_word").alias("source"), F.concat(word, F.when(F.col("seq") % 6 == 0, "q").otherwise("")).alias("text"), "x", "y", (8 * F.length(word)).cast("long").alias("w"), "h")
     after = lines.select(*PAGE, (F.col("seq") - 1).alias("seq"), F.col("text").alias("after"))
