@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions.geometry import box, overlap_of_smaller
@@ -15,39 +17,54 @@ SCHEMA = """page_number int, blocks array<struct<
 MOST_BLOCKS, MOST_ITEMS, MOST_ROWS, MOST_CELLS, MOST_REPEATS = 65, 130, 60, 20, 3
 
 
-def parsed(proposals: DataFrame) -> DataFrame:
-    """page, error and p (the parsed struct). error names the first rule that a proposal breaks, null if it is valid."""
-    p = proposals.select("page", F.from_json("raw", SCHEMA).alias("p"))
-    blocks = F.coalesce("p.blocks", F.array())
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once; in a plain expression the optimizer repeats it at every use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _error(page: Column, p: Column) -> Column:
+    """The first rule that a parsed proposal breaks, null if it is valid."""
+    blocks = F.coalesce(p["blocks"], F.array())
     corner = lambda b, k: F.get(b["bbox"], F.lit(k))
     good_box = lambda b: (F.size(b["bbox"]) == 4) & (corner(b, 0) >= 0) & (corner(b, 0) < corner(b, 2)) & (corner(b, 2) <= 1000) & (corner(b, 1) >= 0) & (corner(b, 1) < corner(b, 3)) & (corner(b, 3) <= 1000)
-    most = lambda values: F.array_max(F.transform(F.array_distinct(values), lambda v: F.size(F.filter(values, lambda w: w.eqNullSafe(v)))))
+    # in sorted values, one that stands over MOST_REPEATS times meets itself that many places before
+    met = lambda s: F.exists(F.transform(s, lambda v, i: (i >= MOST_REPEATS) & v.eqNullSafe(F.get(s, i - MOST_REPEATS))), lambda v: v)
+    too_often = lambda values: F.coalesce(_bound(F.sort_array(values), met), F.lit(False))
     signature = F.transform(blocks, lambda b: F.to_json(F.struct(b["type"], b["title"], b["text"], b["bbox"])))
-    repeated = F.exists(blocks, lambda b: F.coalesce(most(F.transform(b["items"], lambda i: F.to_json(i))) > MOST_REPEATS, F.lit(False)))
+    repeated = F.exists(blocks, lambda b: too_often(F.transform(b["items"], lambda i: F.to_json(i))))
     parent = F.exists(F.transform(blocks, lambda b, i: F.coalesce((b["parent_index"] < 0) | (b["parent_index"] >= i), F.lit(False))), lambda v: v)
     too_many = F.exists(blocks, lambda b: (F.coalesce(F.size(b["items"]), F.lit(0)) > MOST_ITEMS) | (F.coalesce(F.size(b["rows"]), F.lit(0)) > MOST_ROWS) | F.coalesce(F.exists(b["rows"], lambda r: F.size(r["cells"]) > MOST_CELLS), F.lit(False)))
-    error = (
-        F.when(F.col("p").isNull() | F.col("p.blocks").isNull(), "not_json")
-        .when(~F.col("p.page_number").eqNullSafe(F.col("page").cast("int")), "other_page")
+    return (
+        F.when(p.isNull() | p["blocks"].isNull(), "not_json")
+        .when(~p["page_number"].eqNullSafe(page.cast("int")), "other_page")
         .when((F.size(blocks) > MOST_BLOCKS) | too_many, "too_many")
         .when(F.exists(blocks, lambda b: ~F.coalesce(good_box(b), F.lit(False))), "invalid_box")
         .when(repeated, "repeated_item")
         .when(parent, "invalid_parent")
-        .when(F.coalesce(most(signature) > MOST_REPEATS, F.lit(False)), "repeated_block")
+        .when(too_often(signature), "repeated_block")
     )
-    return p.select("page", error.alias("error"), "p")
+
+
+def parsed(proposals: DataFrame) -> DataFrame:
+    """page, error and p (the parsed struct). error names the first rule that a proposal breaks, null if it is valid."""
+    judged = _bound(F.from_json("raw", SCHEMA), lambda p: F.struct(_error(F.col("page"), p).alias("error"), p.alias("p")))
+    return proposals.select("page", judged.alias("_judged")).select("page", "_judged.error", "_judged.p")
+
+
+def _valid_blocks(valid: DataFrame) -> DataFrame:
+    """page, block, b of valid proposals. An outer explode, as no filter is then derived from it that parses again."""
+    blocks = F.when(F.col("error").isNull(), F.col("p.blocks"))
+    return valid.select("page", F.posexplode_outer(blocks).alias("block", "b")).where("block IS NOT NULL")
 
 
 def proposal_blocks(valid: DataFrame) -> DataFrame:
     """page, block, type, title, box and counts of the blocks of valid proposals."""
-    each = valid.where("error IS NULL").select("page", F.posexplode("p.blocks").alias("block", "b"))
     at = [F.get("b.bbox", F.lit(k)) for k in range(4)]
-    return each.select("page", "block", "b.type", "b.title", at[0].alias("x"), at[1].alias("y"), (at[2] - at[0]).alias("w"), (at[3] - at[1]).alias("h"), F.coalesce(F.size("b.items"), F.lit(0)).alias("n_items"), F.coalesce(F.size("b.rows"), F.lit(0)).alias("n_rows"))
+    return _valid_blocks(valid).select("page", "block", "b.type", "b.title", at[0].alias("x"), at[1].alias("y"), (at[2] - at[0]).alias("w"), (at[3] - at[1]).alias("h"), F.coalesce(F.size("b.items"), F.lit(0)).alias("n_items"), F.coalesce(F.size("b.rows"), F.lit(0)).alias("n_rows"))
 
 
 def proposal_items(valid: DataFrame) -> DataFrame:
-    each = valid.where("error IS NULL").select("page", F.posexplode("p.blocks").alias("block", "b"))
-    return each.select("page", "block", F.posexplode("b.items").alias("item", "i")).select("page", "block", "item", "i.label", "i.value")
+    return _valid_blocks(valid).select("page", "block", F.posexplode("b.items").alias("item", "i")).select("page", "block", "item", "i.label", "i.value")
 
 
 def reusable(requests: DataFrame, cache: DataFrame) -> DataFrame:

@@ -235,3 +235,28 @@ def test_nothing_imports_the_corpus_package():
     for path in root.rglob("*.py"):
         if "llm" not in path.parts:
             assert not re.search(r"\bllm\b", path.read_text()), path
+
+
+def test_a_proposal_is_parsed_once_for_each_result(spark):
+    import json
+
+    block = {"type": "text", "bbox": [0, 0, 9, 9], "title": "t", "text": "", "parent_index": None, "items": []}
+    item = lambda name: {"label": name, "value": "1"}
+    blocks = [
+        ([block | {"items": [item("a"), None, None, None, item("a"), item("b"), item("a")]}, block], None),
+        ([block, block | {"items": [item("b"), item("a"), item("c"), item("a"), item("a"), item("a")]}], "repeated_item"),
+        ([block | {"items": [None] * 4}], "repeated_item"),
+        ([block, block, block | {"bbox": [0, 0, 9, 8]}, block], None),
+        ([block, block, block | {"bbox": [0, 0, 9, 8]}, block, block], "repeated_block"),
+        ([block | {"parent_index": 1}, block], "invalid_parent"),
+        ([block | {"items": [item(str(k)) for k in range(131)]}], "too_many"),
+        ([], None),
+        (None, "not_json"),
+    ]
+    raw = spark.createDataFrame([(k, json.dumps({"page_number": k, "blocks": b})) for k, (b, _) in enumerate(blocks)], "page long, raw string")
+    found = P.parsed(raw)
+    assert {r.page: r.error for r in found.collect()} == {k: error for k, (_, error) in enumerate(blocks)}
+    assert sorted((r.page, r.block, r.n_items) for r in P.proposal_blocks(found).collect()) == [(0, 0, 7), (0, 1, 0), (3, 0, 0), (3, 1, 0), (3, 2, 0), (3, 3, 0)]
+    assert sorted((r.item, r.label) for r in P.proposal_items(found).collect()) == [(0, "a"), (1, None), (2, None), (3, None), (4, "a"), (5, "b"), (6, "a")]
+    for frame in (found, P.proposal_blocks(found), P.proposal_items(found)):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
