@@ -34,6 +34,24 @@ def grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], a: Box, b:
     return page_join(spot, wide, [*keys, "_gx", "_gy"], condition).drop("_gx", "_gy")
 
 
+def pieces(df: DataFrame, size: int = 16 << 20) -> int | None:
+    """How many partitions give a task about size bytes of the files that df reads; None where that is unknown.
+
+    Rows of positions shrink to a few bytes in a shuffle, so partitions that Spark merges by those bytes hold more rows
+    with every file, and a task's sorts grow to gigabytes."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    each = (leaves.apply(k) for k in range(leaves.size()))
+    found = {leaf.canonicalized().hashCode(): int(leaf.stats().sizeInBytes()) for leaf in each}
+    if (total := sum(found.values())) >= 1 << 60:
+        return None
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-total // size))
+
+
+def dealt(df: DataFrame, keys: Sequence[str], n: int | None) -> DataFrame:
+    """df in n partitions by keys, or as it is for None."""
+    return df.repartition(n, *keys) if n else df
+
+
 def best(df: DataFrame, keys: Sequence[str], order: Sequence[Column], values: Sequence[str]) -> DataFrame:
     """For each key the values of the row that comes first in order. One partial aggregation, no sort; order must end
     in a unique sequence number, which makes ties definite."""
@@ -48,4 +66,4 @@ def only(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame
     return one.where("_n = 1").drop("_n")
 
 
-__all__ = ["Box", "best", "box", "grid_join", "only", "page_join", "prefixed"]
+__all__ = ["Box", "best", "box", "dealt", "grid_join", "only", "page_join", "pieces", "prefixed"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import text as T
 from folioscope.functions.geometry import box, center_in
 
-from .joins import best, page_join, prefixed
+from .joins import best, dealt, page_join, pieces, prefixed
 
 PAGE = ["doc_id", "page"]
 # A kind with more weight takes a line first.
@@ -17,7 +17,8 @@ PRIORITY = {"table": 6, "visual": 5, "normal_text": 4, "unknown": 2, "other": 2,
 
 def candidates(lines: DataFrame, regions: DataFrame) -> DataFrame:
     """Every pair of a line and a region of its page that holds the line's centre."""
-    return page_join(lines, prefixed(regions, "r_", PAGE), PAGE, center_in(box(), box("r_")))
+    n = pieces(lines)
+    return page_join(dealt(lines, PAGE, n), dealt(prefixed(regions, "r_", PAGE), PAGE, n), PAGE, center_in(box(), box("r_")))
 
 
 def region_owner(lines: DataFrame, regions: DataFrame) -> DataFrame:
@@ -28,9 +29,11 @@ def region_owner(lines: DataFrame, regions: DataFrame) -> DataFrame:
     return best(found, [*PAGE, "seq"], [-F.col("weight"), F.col("area"), -F.col("r_conf"), F.col("region")], ["region", "kind"])
 
 
-def with_owner(lines: DataFrame, regions: DataFrame) -> DataFrame:
-    """Every line, with region and kind where it has an owner."""
-    return lines.join(region_owner(lines, regions), [*PAGE, "seq"], "left")
+def with_owner(lines: DataFrame, regions: DataFrame, how: str = "left") -> DataFrame:
+    """Every line, with region and kind where it has an owner. how: inner for
+    the lines that have one only, left_anti for those that have none."""
+    key, n = [*PAGE, "seq"], pieces(lines)
+    return dealt(lines, key, n).join(dealt(region_owner(lines, regions), key, n), key, how)
 
 
 def dispositions(owned: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import dealt, pieces
+
 # What a block may be.
 BLOCK_TYPES = ("heading", "text", "footnote", "contact", "table", "comparison_panel", "chart", "map", "kpi_panel", "photograph", "brand_mark", "decoration", "unclassified_visual", "group")
 STATUSES = ("passed", "needs_review", "failed")
@@ -84,17 +86,20 @@ def closure(blocks: DataFrame, keys: Sequence[str], depth: int) -> DataFrame:
 
 def evidence_violations(evidence: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
     """rule, keys, block (an evidence id). evidence: keys, block, evidence_id that blocks own; ledger: keys,
-    evidence_id, text, owner. Every nonblank line has one owner, and the ledger names that owner."""
-    owners = evidence.groupBy(*keys, "evidence_id").agg(F.countDistinct("block").alias("_n"), F.min("block").alias("_block"))
-    both = ledger.where(F.trim("text") != "").join(owners, [*keys, "evidence_id"], "full_outer")
-    return _union(
-        [
-            _rule(both, "several_owners", keys, F.col("_n") > 1, "evidence_id"),
-            _rule(both, "line_without_owner", keys, F.col("_n").isNull(), "evidence_id"),
-            _rule(both, "evidence_not_in_ledger", keys, F.col("text").isNull(), "evidence_id"),
-            _rule(both, "ledger_names_other_owner", keys, F.col("text").isNotNull() & (F.col("_n") == 1) & ~F.col("owner").eqNullSafe(F.col("_block")), "evidence_id"),
-        ]
-    )
+    evidence_id, text, owner. Every nonblank line has one owner, and the ledger names that owner. Both are read once for
+    all rules, and texts stay out of the shuffle."""
+    key, n = [*keys, "evidence_id"], pieces(ledger)
+    owners = dealt(evidence.select(*key, "block"), key, n).groupBy(*key).agg(F.min("block").alias("_block"), F.max("block").alias("_last"))
+    listed = dealt(ledger.where(F.trim("text") != "").select(*key, "owner"), key, n).withColumn("_listed", F.lit(True))
+    both = listed.join(owners.withColumn("_held", F.lit(True)), key, "full_outer")
+    rules = {
+        "several_owners": F.col("_block") != F.col("_last"),
+        "line_without_owner": F.col("_held").isNull(),
+        "evidence_not_in_ledger": F.col("_listed").isNull(),
+        "ledger_names_other_owner": F.col("_listed") & (F.col("_block") == F.col("_last")) & ~F.col("owner").eqNullSafe(F.col("_block")),
+    }
+    broken = F.explode(F.array_compact(F.array(*(F.when(bad, rule) for rule, bad in rules.items()))))
+    return both.select(broken.alias("rule"), *keys, F.col("evidence_id").cast("string").alias("block"))
 
 
 def table_violations(cells: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def evidence_disposition(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("unowned_lines", OWNER_SQL + "SELECT doc_id, page, seq, text FROM evidence ANTI JOIN owners USING (doc_id, page, seq)")
 def unowned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = evidence_lines(spark, sf_dir)
-    return lines.join(own.region_owner(lines, page_regions(lines)), ["doc_id", "page", "seq"], "left_anti").select("doc_id", "page", "seq", "text")
+    return own.with_owner(lines, page_regions(lines), "left_anti").select("doc_id", "page", "seq", "text")
 
 
 @query("multi_owner_evidence", OWNER_SQL + "SELECT doc_id, page, seq, count(*) AS owners FROM pairs GROUP BY ALL HAVING count(*) > 1")
@@ -71,7 +71,7 @@ covered AS (
 def region_content(lines: DataFrame) -> DataFrame:
     """What regions hold. Every second line is left out of the content on purpose, so that the coverage rule, which is
     asked about all lines, has something to find."""
-    owned = lines.join(own.region_owner(lines, page_regions(lines)), ["doc_id", "page", "seq"]).where("seq % 2 = 0")
+    owned = own.with_owner(lines, page_regions(lines), "inner").where("seq % 2 = 0")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda s: s["text"]), " ")
     return owned.groupBy("doc_id", "page", "region").agg(F.min("x").alias("x"), F.min("y").alias("y"), (F.max(F.col("x") + F.col("w")) - F.min("x")).alias("w"), (F.max(F.col("y") + F.col("h")) - F.min("y")).alias("h"), text.alias("text"))
 

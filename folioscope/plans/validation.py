@@ -109,11 +109,12 @@ UNION ALL SELECT 'evidence_not_in_ledger', doc_id, page, evidence_id FROM b WHER
 UNION ALL SELECT 'ledger_names_other_owner', doc_id, page, evidence_id FROM b WHERE text IS NOT NULL AND n = 1 AND owner IS DISTINCT FROM block""")
 def evidence_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = evidence_lines(spark, sf_dir)
-    owned = lines.join(own.region_owner(lines, page_regions(lines)), [*PAGE, "seq"])
+    owned = own.with_owner(lines, page_regions(lines), "inner")
     k = F.col("doc_id") + F.col("seq")
-    held = owned.where(k % 41 != 0).select(*PAGE, F.col("region").alias("block"), "evidence_id")
-    held = held.unionByName(owned.where(k % 43 == 0).select(*PAGE, (F.col("region") + 50).alias("block"), "evidence_id"))
-    held = held.unionByName(owned.where(k % 101 == 0).select(*PAGE, F.col("region").alias("block"), F.concat("doc_id", F.lit("-ghost-"), "seq").alias("evidence_id")))
+    holds = lambda when, block, evidence_id: F.when(when, F.struct(block.alias("block"), evidence_id.alias("evidence_id")))
+    ghost = F.concat("doc_id", F.lit("-ghost-"), "seq")
+    planted = F.array(holds(k % 41 != 0, F.col("region"), F.col("evidence_id")), holds(k % 43 == 0, F.col("region") + 50, F.col("evidence_id")), holds(k % 101 == 0, F.col("region"), ghost))
+    held = owned.select(*PAGE, F.explode(F.array_compact(planted)).alias("h")).select(*PAGE, "h.block", "h.evidence_id")
     ledger = owned.select(*PAGE, "evidence_id", "text", F.when(k % 47 == 0, 77).otherwise(F.col("region")).alias("owner"))
     return V.evidence_violations(held, ledger, PAGE)
 

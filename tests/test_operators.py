@@ -260,3 +260,35 @@ def test_a_proposal_is_parsed_once_for_each_result(spark):
     assert sorted((r.item, r.label) for r in P.proposal_items(found).collect()) == [(0, "a"), (1, None), (2, None), (3, None), (4, "a"), (5, "b"), (6, "a")]
     for frame in (found, P.proposal_blocks(found), P.proposal_items(found)):
         assert frame._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
+def test_evidence_rules_read_their_rows_once(spark):
+    held = [(1, 1, 1, "a"), (1, 1, 2, "a"), (1, 1, 1, "b"), (1, 1, 1, "b"), (1, 1, None, "c"), (1, 2, 1, "d"), (1, 1, 5, "e"), (1, 1, 5, "blank"), (1, 1, None, "lost")]
+    ledger = [(1, 1, "a", "t", 1), (1, 1, "b", "t", 2), (1, 1, "b", "t", 1), (1, 1, "c", "t", None), (1, 1, "d", "t", 1), (1, 1, "e", "t", None), (1, 1, "blank", " ", 5), (1, 1, "no text", None, 5)]
+    held = spark.createDataFrame(held, "doc_id long, page long, block long, evidence_id string")
+    ledger = spark.createDataFrame(ledger, "doc_id long, page long, evidence_id string, text string, owner long")
+    found = V.evidence_violations(held, ledger, ["doc_id", "page"])
+    assert sorted((r.rule, r.page, r.block) for r in found.collect()) == [
+        ("evidence_not_in_ledger", 1, "blank"),
+        ("evidence_not_in_ledger", 1, "lost"),
+        ("evidence_not_in_ledger", 2, "d"),
+        ("ledger_names_other_owner", 1, "b"),
+        ("ledger_names_other_owner", 1, "e"),
+        ("line_without_owner", 1, "d"),
+        ("several_owners", 1, "a"),
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1 and plan.count("LogicalRDD") == 2
+
+
+def test_partitions_of_ownership_follow_the_files(spark, tmp_path):
+    from folioscope.sources.evidence import evidence_lines, page_regions
+
+    for k in range(3):
+        spark.range(k, k + 1).selectExpr("id AS doc_id", "repeat('a line of text\n', 100) AS text").write.mode("append").parquet(f"{tmp_path}/documents.parquet")
+    made = evidence_lines(spark, str(tmp_path))
+    assert J.pieces(made) == J.pieces(made.join(page_regions(made), ["doc_id", "page"])) == spark.sparkContext.defaultParallelism
+    assert J.pieces(made, 100) > 3 * spark.sparkContext.defaultParallelism
+    assert J.pieces(lines(spark, ("a", 1, 1))) is None
+    assert O.region_owner(made, page_regions(made)).count() == O.with_owner(made, page_regions(made), "inner").count() == O.with_owner(made, page_regions(made)).count() - O.with_owner(made, page_regions(made), "left_anti").count() > 0
+    assert "REPARTITION_BY_NUM" in O.region_owner(made, page_regions(made))._jdf.queryExecution().executedPlan().toString()
